@@ -10,9 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortlake.functions import ids, names, tensor, text
+from cohortlake.operators import deid, elements, listing, position, sets, split, tensors
 from cohortlake.plans import cohort
-from cohortlake.sources import demo
+from cohortlake.session import shared_dir
+from cohortlake.sources import demo, readers
+from cohortlake.streaming import peak
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,3 +37,338 @@ def cohort_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filtered T1w images joined to visits of phases ADNI2/ADNI3."""
     v = demo.visits(spark, sf_dir)
     return cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
+
+
+# ------------------------------------------------------------------ helpers
+def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = demo.visits(spark, sf_dir)
+    return cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
+
+
+def _layout_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lay = demo.layout(demo.visits(spark, sf_dir))
+    sub, ses = ids.extract_entities("filename")
+    return lay.withColumn("ptid", ids.to_ptid(sub)).withColumn("session", ses)
+
+
+SPLIT_ORDER = ["session", "path", "filename"]
+TRAIN, VAL = 0.8, 0.1
+
+
+@query
+def included_subjects_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pet images (18FFDG, coregiso) semi-joined to visits of five phases."""
+    v = demo.visits(spark, sf_dir)
+    return cohort.included_subjects(demo.layout(v), demo.clinical(v), INCLUDED_PHASES,
+                                    suffix="pet", trc="18FFDG", rec="coregiso")
+
+
+@query
+def entity_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 lenient (NULL when absent) and X2 on every index row."""
+    lay = demo.layout(demo.visits(spark, sf_dir))
+    sub, ses = ids.extract_entities("filename")
+    psub, _ = ids.extract_entities("path")
+    return lay.select("filename", "path", sub.alias("subject"), ses.alias("session"),
+                      ids.to_ptid(sub).alias("ptid"), psub.alias("path_subject"))
+
+
+@query
+def visit_session_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 on codes of every length, ``bl``, ``sc`` and NULL."""
+    o = demo.table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    code = (F.when(k % 7 == 0, F.lit("bl")).when(k % 11 == 0, F.lit(None).cast("string"))
+             .when(k % 13 == 0, F.lit("sc")).otherwise(F.concat(F.lit("m"), k.cast("string"))))
+    return o.select("o_orderkey", code.alias("viscode")).withColumn(
+        "session", ids.visit_to_session("viscode"))
+
+
+@query
+def dx_normalise_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised diagnosis counts per phase with validity."""
+    c = demo.clinical(demo.visits(spark, sf_dir))
+    return (c.select(F.col("COLPROT").alias("phase"), text.strip_lower("DX").alias("dx"))
+            .groupBy("phase", "dx").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("is_valid", ids.valid_dx("dx")))
+
+
+@query
+def pet_image_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 pet branch: scan parameters must all match."""
+    lay = demo.layout(demo.visits(spark, sf_dir))
+    return cohort.select_images(lay, "pet", trc="18FFDG", rec="coregiso", desc="Crop", res="1x1x1")
+
+
+@query
+def subject_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + J3/J4: cohort rows routed to train (all rows) / val, test (first row)."""
+    return split.split_train_val_test(_cohort(spark, sf_dir), TRAIN, VAL, order_cols=SPLIT_ORDER)
+
+
+@query
+def subject_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2 over W1: rows and subjects per split."""
+    rows = split.split_train_val_test(_cohort(spark, sf_dir), TRAIN, VAL, order_cols=SPLIT_ORDER)
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.countDistinct("ptid").alias("n_subjects"))
+
+
+@query
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-pass hash split of customers."""
+    c = demo.table(spark, sf_dir, "customer").select("c_custkey")
+    return split.hash_split(c, TRAIN, VAL, key="c_custkey").select("c_custkey", "split")
+
+
+@query
+def first_row_per_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: first index row per subject by (session, path, filename)."""
+    return split.first_row_per_subject(_layout_with_ids(spark, sf_dir), "ptid", SPLIT_ORDER)
+
+
+@query
+def session_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most three sessions per subject."""
+    return split.cap_sessions(_cohort(spark, sf_dir), 3, "ptid", SPLIT_ORDER)
+
+
+@query
+def split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balance of account balance and segment across the exact split."""
+    subjects = (demo.table(spark, sf_dir, "orders")
+                .select(F.col("o_custkey").cast("string").alias("ptid")).distinct())
+    assign = split.assign_splits(subjects, TRAIN, VAL)
+    cust = demo.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("ptid"), "c_acctbal", "c_mktsegment")
+    x = assign.join(cust, "ptid")
+    return split.balance_report(x, ["c_acctbal"], ["c_mktsegment"])
+
+
+@query
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, type, day) keys of events that repeat."""
+    e = demo.table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return position.duplicate_keys(e, ["user_id", "event_type", "day"])
+
+
+@query
+def tensor_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on array columns: value / 255 as float32."""
+    e = demo.table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.posexplode(tensor.scale_voxels("embedding")).alias("idx", "value")) \
+        .withColumn("idx", F.col("idx").cast("long"))
+
+
+@query
+def tensor_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8 slices of 8 flattened back in C order."""
+    e = demo.table(spark, sf_dir, "embeddings")
+    flat = tensor.flatten_c_order(tensor.nest("embedding", 8))
+    return e.select("vec_id", F.posexplode(flat).alias("idx", "value")) \
+        .withColumn("idx", F.col("idx").cast("long"))
+
+
+@query
+def tensor_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk (of 128 rows, from 0) of each tensor row in id order."""
+    e = demo.table(spark, sf_dir, "embeddings").select("vec_id")
+    return listing.with_chunks(e, ["vec_id"], 128, first_chunk=0)
+
+
+@query
+def tsv_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: chunk (of 10 lines, from 1) of each order line in key order."""
+    o = demo.table(spark, sf_dir, "orders").select("o_orderkey")
+    return listing.with_chunks(o, ["o_orderkey"], 10, first_chunk=1)
+
+
+def _manifest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sets.compare_files(demo.disk_paths(spark, sf_dir), demo.manifest_paths(spark, sf_dir),
+                              carry=["dir"])
+
+
+@query
+def manifest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: each path with its set (only on disk / only in index / common)."""
+    return _manifest_status(spark, sf_dir)
+
+
+@query
+def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per folder and up-to-date state."""
+    return sets.manifest_summary(_manifest_status(spark, sf_dir), "dir")
+
+
+@query
+def only_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``dicomfiles`` selection."""
+    return sets.select_sets(_manifest_status(spark, sf_dir), ["dicomfiles"])
+
+
+@query
+def sessions_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + K7: sessions having both ``view`` and ``purchase`` folders."""
+    return sets.sessions_with_all(demo.session_dirs(spark, sf_dir), ["view", "purchase"])
+
+
+@query
+def not_in_keep_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top folders not on the keep-list."""
+    return sets.not_in_keep_list(demo.top_folders(spark, sf_dir), demo.keep_list(spark, sf_dir))
+
+
+@query
+def dir_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and files per folder."""
+    return listing.dir_sizes(demo.dir_files(spark, sf_dir))
+
+
+@query
+def running_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running maximum size per folder in (ts, event_id) order."""
+    s = demo.size_samples(spark, sf_dir)
+    return listing.running_peak(s, ["ts", "event_id"]).select("event_id", "dir", "bytes", "peak_bytes")
+
+
+@query
+def size_to_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size text to bytes."""
+    n = demo.file_names(spark, sf_dir)
+    return n.select("p_partkey", "size_text", text.size_to_bytes("size_text").alias("bytes"))
+
+
+@query
+def dicom_name_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index-check name rule."""
+    n = demo.file_names(spark, sf_dir)
+    return n.select("p_partkey", "name", names.is_dicom_name_prefix("name").alias("is_dicom"))
+
+
+@query
+def dicom_name_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """De-identification name rule (on the stem)."""
+    n = demo.file_names(spark, sf_dir)
+    return n.select("p_partkey", "name", names.stem("name").alias("stem"),
+                    names.is_dicom_name_stem("name").alias("is_dicom"))
+
+
+@query
+def readable_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: ``.dcm`` exactly or no suffix."""
+    n = demo.file_names(spark, sf_dir)
+    return n.select("p_partkey", "name", names.suffix("name").alias("ext"),
+                    names.is_readable_name("name").alias("readable"))
+
+
+# Fixed value: the tag list used by the selection queries (keyword and tag text).
+TAG_LIST = ["PatientID", "(0010, 0030)"]
+
+
+def _elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = demo.elements(spark, sf_dir)
+    return e.withColumn("sort_key", elements.position_key()).drop("elem_pos")
+
+
+@query
+def tag_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching elements at any depth."""
+    e = demo.elements(spark, sf_dir)
+    return elements.select_tags(e, TAG_LIST).select(
+        "file_path", elements.position_key().alias("sort_key"), "depth", "tag", "vr", "keyword", "value")
+
+
+@query
+def tag_select_top_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching non-sequence elements at the top level."""
+    e = demo.elements(spark, sf_dir)
+    return elements.select_tags_top_level(e, TAG_LIST).select(
+        "file_path", elements.position_key().alias("sort_key"), "tag", "vr", "keyword", "value")
+
+
+@query
+def tag_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indented pre-order report of all elements."""
+    return elements.report_lines(demo.elements(spark, sf_dir), None, all_tags=True)
+
+
+@query
+def max_files_per_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five readable files per folder, with failures before them."""
+    return elements.first_files_per_dir(demo.dir_files(spark, sf_dir), 5)
+
+
+@query
+def tree_top4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record tree with the first four images per level."""
+    return elements.tree_listing(demo.dicomdir_records(spark, sf_dir))
+
+
+@query
+def dicomdir_referenced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files named by IMAGE records below their index's folder."""
+    r = demo.dicomdir_records(spark, sf_dir).withColumnRenamed("dicomdir_path", "directory")
+    return readers.dicomdir_file_paths(r, "directory")
+
+
+@query
+def rename_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 + A9: sort-target path per file and target collisions."""
+    return listing.sort_targets(demo.rename_elements(spark, sf_dir))
+
+
+@query
+def id_map_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + A4: one new id per old id, the last line winning."""
+    return deid.last_wins(demo.id_map_rows(spark, sf_dir))
+
+
+@query
+def deid_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + X15: header edits for files of mapped subjects."""
+    return deid.anonymize_elements(_elements(spark, sf_dir), demo.customer_id_map(spark, sf_dir))
+
+
+@query
+def deid_nested_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers left inside sequences."""
+    return deid.nested_identifier_audit(_elements(spark, sf_dir)).select(
+        "file_path", "sort_key", "keyword", "value")
+
+
+@query
+def deid_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3/D4 with J6, J7, J9: per-file action plan."""
+    return deid.deid_plan(demo.subject_tree(spark, sf_dir), demo.customer_id_map(spark, sf_dir),
+                          demo.done_sessions(spark, sf_dir))
+
+
+@query
+def peak_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current and peak size per folder, Structured Streaming over the
+    events file, run until caught up."""
+    schema = demo.table(spark, sf_dir, "events").schema
+    s = peak.stream_samples(spark, sf_dir, schema, file_glob="events.parquet")
+    samples = s.select(F.col("user_id").cast("string").alias("dir"), "ts", "event_id",
+                       F.col("value").alias("bytes"))
+    agg = peak.peak_aggregate(samples, order_cols=("ts", "event_id"))
+    return peak.run_until_caught_up(agg)
+
+
+# Fixed value: sample volume shape (non-cubic, 64 voxels per embedding row).
+VOLUME_SHAPE = (2, 4, 8)
+
+
+@query
+def volume_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding rows written as NIfTI files to the shared folder, then
+    decoded, scaled and flattened by the tensor job."""
+    vols = demo.volumes(spark, sf_dir)
+    out = shared_dir(spark, "volumes")
+    tensors.write_sample_volumes(vols, out, VOLUME_SHAPE).write.format("noop").mode("overwrite").save()
+    paths = vols.select("vec_id", "dx", F.concat(F.lit(out + "/"), F.col("vec_id").cast("string"),
+                                                F.lit(".nii.gz")).alias("path"))
+    t = tensors.volumes_to_tensors(paths, keep=["vec_id"])
+    return t.select("vec_id", F.posexplode("raw").alias("idx", "value")) \
+        .withColumn("idx", F.col("idx").cast("long"))
