@@ -47,15 +47,16 @@ def nested_identifier_audit(elements: DataFrame) -> DataFrame:
 
 
 def _parts(listing: DataFrame, root: str) -> DataFrame:
-    """(old_id, session, rest) of paths ``<root>/<subject>/<session>/<rest>``."""
-    pat = "^" + root.rstrip("/") + r"/([^/]+)/([^/]+)/(.+)$"
+    """(old_id, session, rest) of paths ``<root>/<subject>/<session>/<rest>``;
+    paths elsewhere are dropped.  The filter is on the raw path (one anchored
+    match) so the split is computed once, not once per derived column."""
+    prefix = root.rstrip("/") + "/"
     p = F.col("path")
-    return listing.select(
-        "path",
-        F.regexp_extract(p, pat, 1).alias("old_id"),
-        F.regexp_extract(p, pat, 2).alias("session"),
-        F.regexp_extract(p, pat, 3).alias("rest"),
-    ).filter(F.col("old_id") != "")
+    inside = p.rlike(r"^\Q" + prefix + r"\E[^/]+/[^/]+/.")
+    parts = F.split(p.substr(len(prefix) + 1, 1 << 30), "/", 3)
+    return (listing.filter(inside).select("path", parts.alias("_p"))
+            .select("path", F.col("_p")[0].alias("old_id"), F.col("_p")[1].alias("session"),
+                    F.col("_p")[2].alias("rest")))
 
 
 def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame,
@@ -68,41 +69,47 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
     (session already in the output), ``warn_no_dicomdir``, ``warn_no_dicom``.
     Folders without a map entry are not touched."""
     src = _parts(input_files, input_root)
-    out = _parts(output_files, output_root).select(
-        F.col("old_id").alias("new_id"), "session").distinct()
-    subjects = src.select("old_id").distinct()
     ids = id_map.select("old_id", "new_id")
-
-    def row(df, action, source=None, target=None, session=True):
-        return df.select("old_id", "new_id",
-                         F.col("session") if session else F.lit(None).cast("string").alias("session"),
-                         (source if source is not None else F.lit(None).cast("string")).alias("source"),
-                         (target if target is not None else F.lit(None).cast("string")).alias("target"),
-                         F.lit(action).alias("action"))
-
-    no_subject = row(ids.join(subjects, "old_id", "left_anti"), "skip_no_subject", session=False)
-
+    done = (_parts(output_files, output_root)
+            .select(F.col("old_id").alias("new_id"), "session").distinct()
+            .withColumn("_done", F.lit(True)))
+    # one row per session: what it holds (J9) and whether it is done
     flags = src.groupBy("old_id", "session").agg(
         F.max(F.col("rest") == "DICOMDIR").alias("has_dicomdir"),
         F.max(F.col("rest").startswith("DICOM/")).alias("has_dicom"))
-    sessions = flags.join(ids, "old_id", "inner")
-    exists = sessions.join(out, ["new_id", "session"], "left_semi")
-    todo = sessions.join(out, ["new_id", "session"], "left_anti")
-    sess_src = F.concat_ws("/", F.lit(input_root.rstrip("/")), "old_id", "session")
-    sess_dst = F.concat_ws("/", F.lit(output_root.rstrip("/")), "new_id", "session")
-
-    skip = row(exists, "skip_exists", sess_src, sess_dst)
-    warn_dir = row(todo.filter(~F.col("has_dicomdir")), "warn_no_dicomdir", sess_src)
-    warn_dcm = row(todo.filter(~F.col("has_dicom")), "warn_no_dicom", sess_src)
+    sess = (flags.join(ids, "old_id", "inner")
+            .join(done, ["new_id", "session"], "left")
+            .withColumn("_done", F.coalesce(F.col("_done"), F.lit(False))))
+    root_in, root_out = F.lit(input_root.rstrip("/")), F.lit(output_root.rstrip("/"))
+    sess_src = F.concat_ws("/", root_in, "old_id", "session")
+    sess_dst = F.concat_ws("/", root_out, "new_id", "session")
+
+    # session-level rows in one pass over the session table
+    acts = F.filter(F.array(
+        F.when(F.col("_done"), F.lit("skip_exists")),
+        F.when(~F.col("_done") & ~F.col("has_dicomdir"), F.lit("warn_no_dicomdir")),
+        F.when(~F.col("_done") & ~F.col("has_dicom"), F.lit("warn_no_dicom"))),
+        lambda a: a.isNotNull())
+    session_rows = (sess.select("old_id", "new_id", "session", sess_src.alias("source"),
+                                sess_dst.alias("_dst"), F.explode(acts).alias("action"))
+                    .select("old_id", "new_id", "session", "source",
+                            F.when(F.col("action") == "skip_exists", F.col("_dst")).alias("target"),
+                            "action"))
+
+    # Map entries without a folder
+    no_subject = (ids.join(flags.select("old_id").distinct(), "old_id", "left_anti")
+                  .select("old_id", "new_id", *[F.lit(None).cast("string").alias(c)
+                                                for c in ("session", "source", "target")],
+                          F.lit("skip_no_subject").alias("action")))
 
     files = (src.filter((F.col("rest") == "DICOMDIR") | F.col("rest").startswith("DICOM/"))
-             .join(todo.select("old_id", "session", "new_id"), ["old_id", "session"], "inner"))
+             .join(sess.filter(~F.col("_done")).select("old_id", "session", "new_id"),
+                   ["old_id", "session"], "inner"))
     action = (F.when(F.col("rest") == "DICOMDIR", F.lit("anonymize"))
                .when(is_dicom_name_stem(base_name("rest")), F.lit("anonymize"))
                .otherwise(F.lit("copy")))
     file_rows = files.select(
         "old_id", "new_id", "session", F.col("path").alias("source"),
-        F.concat_ws("/", F.lit(output_root.rstrip("/")), "new_id", "session", "rest").alias("target"),
+        F.concat_ws("/", root_out, "new_id", "session", "rest").alias("target"),
         action.alias("action"))
-    return (no_subject.unionByName(skip).unionByName(warn_dir).unionByName(warn_dcm)
-            .unionByName(file_rows))
+    return no_subject.unionByName(session_rows).unionByName(file_rows)

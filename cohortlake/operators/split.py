@@ -77,16 +77,22 @@ def split_train_val_test(df: DataFrame, train: float, val: float, seed: int = DE
     """W1 + J3/J4: rows routed to their subject's split, in one table with a
     ``split`` column.  Train keeps every row of its subjects, val and test one
     row per subject (A3); ``caps`` (W9) may bound rows per subject per split,
-    e.g. ``{"train": 3}``."""
+    e.g. ``{"train": 3}``.  Splits with the same cap share one branch, and a
+    cap is applied with a partial top-k before the shuffle, so a subject with
+    very many rows never lands whole in one task.  ``df`` is read once per
+    distinct cap: persist it when it is expensive to recompute."""
     assign = assign_splits(df, train, val, seed, key)
     routed = df.join(assign, key, "inner")
-    caps = {"val": 1, "test": 1, **(caps or {})}
+    caps = {"train": None, "val": 1, "test": 1, **(caps or {})}
     order = list(order_cols) if order_cols else [c for c in df.columns if c != key]
-    parts = []
+    by_cap: dict = {}
     for name in SPLITS:
-        part = routed.filter(F.col("split") == name)
-        if name in caps and caps[name] is not None:
-            part = first_k_per_group(part, [key], order, caps[name])
+        by_cap.setdefault(caps.get(name), []).append(name)
+    parts = []
+    for cap, names in by_cap.items():
+        part = routed.filter(F.col("split").isin(names))
+        if cap is not None:
+            part = first_k_per_group(part, [key], order, cap)
         parts.append(part)
     out = parts[0]
     for p in parts[1:]:

@@ -29,7 +29,7 @@ def build_training_set(layout: DataFrame, clinical: DataFrame, out_dir: str,
     The cohort is computed once and persisted: it feeds all three outputs."""
     check_fractions(train, val)
     cohort = collect_cohort(layout, clinical, phases, valid_dx, suffix, trc, rec, desc, res)
-    cohort = cohort.persist(StorageLevel.MEMORY_AND_DISK)
+    cohort = cohort.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         base = out_dir.rstrip("/")
         paths = {"dataset": f"{base}/dataset", "splits": f"{base}/splits",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions import ids, names, tensor, text
 from cohortlake.operators import deid, elements, listing, position, sets, split, tensors
 from cohortlake.plans import cohort
-from cohortlake.session import shared_dir
+from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import demo, readers
 from cohortlake.streaming import peak
 
@@ -40,9 +40,11 @@ def cohort_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ helpers
-def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cohort(spark: SparkSession, sf_dir: str, persist: bool = False) -> DataFrame:
     v = demo.visits(spark, sf_dir)
-    return cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
+    c = cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
+    # the split reads the cohort once for the assignment and once per routing branch
+    return materialize(c) if persist else c
 
 
 def _layout_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,13 +105,13 @@ def pet_image_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def subject_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + J3/J4: cohort rows routed to train (all rows) / val, test (first row)."""
-    return split.split_train_val_test(_cohort(spark, sf_dir), TRAIN, VAL, order_cols=SPLIT_ORDER)
+    return split.split_train_val_test(_cohort(spark, sf_dir, True), TRAIN, VAL, order_cols=SPLIT_ORDER)
 
 
 @query
 def subject_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1, A2 over W1: rows and subjects per split."""
-    rows = split.split_train_val_test(_cohort(spark, sf_dir), TRAIN, VAL, order_cols=SPLIT_ORDER)
+    rows = split.split_train_val_test(_cohort(spark, sf_dir, True), TRAIN, VAL, order_cols=SPLIT_ORDER)
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.countDistinct("ptid").alias("n_subjects"))
 
@@ -340,8 +342,9 @@ def deid_nested_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def deid_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3/D4 with J6, J7, J9: per-file action plan."""
-    return deid.deid_plan(demo.subject_tree(spark, sf_dir), demo.customer_id_map(spark, sf_dir),
-                          demo.done_sessions(spark, sf_dir))
+    # the listing is read twice (session flags, file rows): computed once
+    tree = materialize(demo.subject_tree(spark, sf_dir))
+    return deid.deid_plan(tree, demo.customer_id_map(spark, sf_dir), demo.done_sessions(spark, sf_dir))
 
 
 @query

@@ -18,7 +18,9 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
               app: str = "cohortlake", extra: dict | None = None) -> SparkSession:
     """Local session with the settings every job here assumes."""
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
-    parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
+    # local runs: two tasks per core for CPU-bound stages; on a cluster size
+    # shuffle partitions from the data (AQE coalesces toward the advisory size)
+    parts = shuffle_partitions or (2 * int(cpus) if str(cpus).isdigit() else 16)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -27,6 +29,8 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small local inputs: do not merge partitions below 64 KiB (keeps all cores busy)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
@@ -75,3 +79,13 @@ def reliable_checkpoint(df):
     """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
     checkpoint_base(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df):
+    """Persist ``df`` (memory, spilling to disk) and fill the cache now, so
+    branches of a later plan that run at the same time share one copy.  Lost
+    blocks are recomputed from the lineage, which is deterministic here."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)   # columnar cache, no per-read decode
+    df.count()
+    return df

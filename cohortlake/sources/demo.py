@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.operators.position import with_position
+from cohortlake.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     v = with_position(o, ["o_orderdate", "o_orderkey"], ["o_custkey"], pos_col="visit")
-    return (v.withColumn("mo", F.col("visit") * 6)
-             .withColumn("A", F.lpad(_s(F.floor(F.col("o_custkey") / 10000)), 3, "0"))
-             .withColumn("B", F.lpad(_s(F.col("o_custkey") % 10000), 4, "0")))
+    v = (v.withColumn("mo", F.col("visit") * 6)
+          .withColumn("A", F.lpad(_s(F.floor(F.col("o_custkey") / 10000)), 3, "0"))
+          .withColumn("B", F.lpad(_s(F.col("o_custkey") % 10000), 4, "0")))
+    # read by both the index and the clinical adapter: computed once
+    return materialize(v)
 
 
 def layout(v: DataFrame) -> DataFrame:
