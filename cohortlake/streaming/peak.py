@@ -1,8 +1,8 @@
 """Current and peak size per folder from a stream of size samples.
 
-State is one row per folder (all-time peak, no watermark).  The result is
-kept as a parquet table in the shared folder; the stream's checkpoint sits
-next to it, so a restarted query resumes where it stopped."""
+State is one row per folder (all-time peak, no watermark).  Changed rows are
+appended to a parquet folder in the shared folder; the stream's checkpoint
+sits next to it, so a restarted query resumes where it stopped."""
 
 from __future__ import annotations
 
@@ -34,19 +34,36 @@ def stream_samples(spark: SparkSession, source_dir: str, schema: StructType | st
 
 
 def run_until_caught_up(agg: DataFrame, out_dir: str | None = None,
-                        checkpoint: str | None = None) -> DataFrame:
-    """Process everything available now, keep the full result table at
-    ``out_dir`` (rewritten each micro-batch) and return it as a DataFrame."""
+                        checkpoint: str | None = None, keys: tuple[str, ...] = ("dir",)) -> DataFrame:
+    """Process everything available now and return the current table.
+
+    Update mode: each micro-batch appends only the keys whose state changed,
+    tagged with the batch id, to ``out_dir``; the current table is the latest
+    row per key (``current_table``).  A replayed batch appends identical rows,
+    so retries do not change the result."""
     spark = agg.sparkSession
     out_dir = out_dir or shared_dir(spark, "peak_out")
     checkpoint = checkpoint or shared_dir(spark, "peak_ckpt")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        batch.withColumn("_batch", F.lit(epoch).cast("long")).write.mode("append").parquet(out_dir)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out_dir)
+    return current_table(spark, out_dir, agg.schema, keys)
+
+
+def current_table(spark: SparkSession, out_dir: str, schema: StructType,
+                  keys: tuple[str, ...] = ("dir",)) -> DataFrame:
+    """Latest appended row per key (partial aggregation, one row per key)."""
+    from cohortlake.sources.listing import _exists
+    if not _exists(spark, out_dir):
+        return spark.createDataFrame([], schema)
+    updates = spark.read.parquet(out_dir)
+    values = [c for c in schema.names if c not in keys]
+    latest = updates.groupBy(*keys).agg(
+        F.max_by(F.struct(*values), "_batch").alias("_v"))
+    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])

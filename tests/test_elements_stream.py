@@ -71,3 +71,27 @@ def test_peak_stream_equals_batch(spark, tmp_dir):
                                    os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
     exp = peak.peak_aggregate(df, order_cols=("ts",))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_peak_stream_incremental_restart(spark, tmp_dir):
+    import os
+    src = os.path.join(tmp_dir, "in")
+    schema = "event_id long, dir string, bytes double, ts long"
+    all_rows = [(i, f"d{i % 4}", float((i * 53) % 17), i) for i in range(80)]
+    for k in range(3):
+        spark.createDataFrame(all_rows[k * 20:(k + 1) * 20], schema).coalesce(1) \
+            .write.mode("append").parquet(src)
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+
+    def run():
+        s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src))
+        return peak.run_until_caught_up(peak.peak_aggregate(s, order_cols=("ts",)), out, ck)
+
+    got = run()
+    exp = peak.peak_aggregate(spark.createDataFrame(all_rows[:60], schema), order_cols=("ts",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    assert spark.read.parquet(out).select("_batch").distinct().count() == 3
+    spark.createDataFrame(all_rows[60:], schema).coalesce(1).write.mode("append").parquet(src)
+    got = run()   # resumes from the checkpoint: only the new file is read
+    exp = peak.peak_aggregate(spark.createDataFrame(all_rows, schema), order_cols=("ts",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
