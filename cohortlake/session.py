@@ -89,3 +89,32 @@ def materialize(df):
     df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)   # columnar cache, no per-read decode
     df.count()
     return df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cohortlake`` importable in Python workers (``addPyFile``, the
+    programmatic form of ``--py-files``), once per SparkContext.  Needed by
+    the operators that run Python inside tasks (``mapInArrow``)."""
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import cohortlake
+    pkg_dir = os.path.dirname(os.path.abspath(cohortlake.__file__))
+    base = checkpoint_base(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local or not os.path.isdir(local):
+        local = tempfile.mkdtemp(prefix="run-")   # source for Spark's file server only
+    zpath = os.path.join(local, f"cohortlake-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
