@@ -129,3 +129,24 @@ def test_tag_report_with_decoder(spark, tmp_dir):
     lines = sorted((r["file_path"].split("/")[-1], r["sort_key"], r["text"]) for r in res["lines"].collect())
     assert lines == [("a1", "000001.000000.000000", "    (0010,0020) LO: PatientID = 7"),
                      ("a3", "000001.000000.000000", "    (0010,0020) LO: PatientID = 7")]
+
+
+def test_readable_files_keep_list_and_multi_root(spark, tmp_dir):
+    a, b = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    for rel in ["IM_0001", "x.dcm", "y.DCM", "notes.txt", "sub/IM_0002"]:
+        touch(a, rel)
+    touch(b, "DICOMDIR")
+    lst = listing.file_listing(spark, [a, b])                    # G3: union of roots
+    assert lst.count() == 6
+    root_a = listing._qualify(spark, a)
+    names = sorted(r["name"] for r in listing.readable_files(lst, root_a).collect())
+    assert names == ["IM_0001", "x.dcm"]                         # S9 / X11, direct children only
+    keep = os.path.join(tmp_dir, "keep.txt")
+    with open(keep, "w") as f:
+        f.write("a\n")
+    from cohortlake.sources import readers
+    assert [r[0] for r in readers.read_keep_list(spark, keep).collect()] == ["a"]   # S12
+    tree = jobs.directory_tree(spark.createDataFrame(
+        [("d", [], 1, "PATIENT"), ("d", [1], 1, "STUDY")],
+        "dicomdir_path string, parent_pos array<int>, pos int, record_type string"))
+    assert sorted(r["text"] for r in tree.collect()) == ["  |-STUDY", "|-PATIENT"]   # C6
