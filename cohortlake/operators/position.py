@@ -1,18 +1,23 @@
 """Row positions in a total order, globally or within groups (W2), and
 ordered running aggregates (W8), without a single-task window.
 
-Method: range-partition the rows on (group, order) so that a hot group is
-spread over many tasks, sort inside partitions and cut the lineage with a
-reliable checkpoint (partition ids and record numbers must be the same
-wherever they are read).  A row's position is then
+Ranged method: range-partition the rows on (group, order) so that a hot
+group is spread over many tasks, sort inside partitions and cut the lineage
+with a reliable checkpoint (partition ids and record numbers must be the
+same wherever they are read).  A row's position is then
 
     rows of the same group in earlier partitions   (offset)
   + rows of the same group before it in its own partition (local index).
 
 Only a group that starts in an earlier partition has a non-zero offset, so
 the offset table holds at most one row per partition: it is broadcast with
-that proven bound.  ``order_cols`` must be a total order inside a group
-(add a unique tie-breaker), otherwise positions among ties are arbitrary.
+that proven bound.
+
+Grouped calls first count rows per group (one column-pruned aggregate).
+Groups within ``group_budget`` rows -- what one task sorts comfortably --
+use a plain window (one shuffle); only larger groups take the ranged method.
+``order_cols`` must be a total order inside a group (add a unique
+tie-breaker), otherwise positions among ties are arbitrary.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 from cohortlake.session import reliable_checkpoint
 
 _PID, _MID = "_pid", "_mid"
+# Rows of one group that a single task may sort in a window.
+DEFAULT_GROUP_BUDGET = 5_000_000
 
 
 def _cols(cols) -> list:
@@ -65,15 +72,54 @@ def _join_carry(seg: DataFrame, carry: DataFrame, groups: list[str]) -> DataFram
     return seg.join(F.broadcast(renamed), cond, "left")
 
 
+def _hot_groups(df: DataFrame, groups: list[str], budget: int) -> DataFrame | None:
+    """Groups with more than ``budget`` rows, or None when there are none
+    (decided by one scalar action over the per-group counts)."""
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_gcnt"))
+    biggest = counts.agg(F.max("_gcnt")).first()[0]
+    if biggest is None or biggest <= budget:
+        return None
+    return counts.filter(F.col("_gcnt") > budget).select(*groups)
+
+
+def _split_hot(df: DataFrame, hot: DataFrame, groups: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups); NULL-safe on the keys.
+    The hot key table is small (few groups exceed the budget); AQE picks the
+    join from its measured size."""
+    h = hot.select(*[F.col(g).alias(f"_h_{i}") for i, g in enumerate(groups)])
+    cond = None
+    for i, g in enumerate(groups):
+        c = F.col(g).eqNullSafe(F.col(f"_h_{i}"))
+        cond = c if cond is None else cond & c
+    return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
+
+
 def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = (),
                   pos_col: str = "pos", total_col: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``pos_col``: 0-based position in ``order_cols`` order, inside
-    ``group_cols`` groups when given, else over the whole table.
+                  num_partitions: int | None = None,
+                  group_budget: int = DEFAULT_GROUP_BUDGET) -> DataFrame:
+    """Add ``pos_col``: 0-based position (bigint) in ``order_cols`` order,
+    inside ``group_cols`` groups when given, else over the whole table.
 
     ``total_col`` (global form only) adds the table's row count to every row.
     """
     groups = _names(_cols(group_cols))
+    if not groups:
+        return _ranged_position(df, order_cols, [], pos_col, total_col, num_partitions)
+    if total_col:
+        raise ValueError("total_col is only supported for the global position")
+    hot = _hot_groups(df, groups, group_budget)
+    w = Window.partitionBy(*groups).orderBy(*_cols(order_cols))
+    plain = (F.row_number().over(w) - 1).cast("long").alias(pos_col)
+    if hot is None:
+        return df.select(*df.columns, plain)
+    cold, hot_rows = _split_hot(df, hot, groups)
+    ranged = _ranged_position(hot_rows, order_cols, groups, pos_col, None, num_partitions)
+    return cold.select(*df.columns, plain).unionByName(ranged)
+
+
+def _ranged_position(df: DataFrame, order_cols: Sequence, groups: list[str], pos_col: str,
+                     total_col: str | None, num_partitions: int | None) -> DataFrame:
     seg = ordered_segments(df, order_cols, groups, num_partitions)
     out_cols = [c for c in seg.columns if c not in (_PID, _MID)]
 
@@ -91,9 +137,6 @@ def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = ()
             extra.append(F.col("_total").alias(total_col))
         return joined.select(*out_cols, *extra)
 
-    if total_col:
-        raise ValueError("total_col is only supported for the global position")
-
     # local index inside (partition, group); the hash exchange is on
     # (partition, group), so a hot group is still spread over its partitions
     local = F.row_number().over(Window.partitionBy(_PID, *groups).orderBy(_MID)) - 1
@@ -106,13 +149,28 @@ def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = ()
              .filter(F.col("_off") > 0)
              .select(_PID, *groups, "_off"))
     joined = _join_carry(seg, carry, groups)
-    return joined.select(*out_cols, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).alias(pos_col))
+    return joined.select(*out_cols,
+                         (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).cast("long").alias(pos_col))
 
 
 def running_max(df: DataFrame, value_col: str, order_cols: Sequence, group_cols: Sequence,
-                out_col: str = "running_max", num_partitions: int | None = None) -> DataFrame:
+                out_col: str = "running_max", num_partitions: int | None = None,
+                group_budget: int = DEFAULT_GROUP_BUDGET) -> DataFrame:
     """Highest ``value_col`` seen so far in ``order_cols`` order per group."""
     groups = _names(_cols(group_cols))
+    frame = (Window.partitionBy(*groups).orderBy(*_cols(order_cols))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    plain = F.max(value_col).over(frame).alias(out_col)
+    hot = _hot_groups(df, groups, group_budget)
+    if hot is None:
+        return df.select(*df.columns, plain)
+    cold, hot_rows = _split_hot(df, hot, groups)
+    return cold.select(*df.columns, plain).unionByName(
+        _ranged_running_max(hot_rows, value_col, order_cols, groups, out_col, num_partitions))
+
+
+def _ranged_running_max(df: DataFrame, value_col: str, order_cols: Sequence, groups: list[str],
+                        out_col: str, num_partitions: int | None) -> DataFrame:
     seg = ordered_segments(df, order_cols, groups, num_partitions)
     out_cols = [c for c in seg.columns if c not in (_PID, _MID)]
     frame = (Window.partitionBy(_PID, *groups).orderBy(_MID)

@@ -31,7 +31,8 @@ def test_global_position_matches_row_number(spark):
 def test_grouped_position_matches_row_number_with_hot_group(spark):
     df = skewed(spark)
     for parts in (1, 5, 16):
-        got = with_position(df, ["t", "id"], ["g"], pos_col="pos", num_partitions=parts)
+        got = with_position(df, ["t", "id"], ["g"], pos_col="pos", num_partitions=parts,
+                            group_budget=100)   # "hot" and NULL groups take the ranged path
         exp = df.withColumn("pos", F.row_number().over(
             Window.partitionBy("g").orderBy("t", "id")) - 1)
         assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
@@ -40,7 +41,7 @@ def test_grouped_position_matches_row_number_with_hot_group(spark):
 
 def test_running_max_matches_window(spark):
     df = skewed(spark)
-    got = running_max(df, "v", ["t", "id"], ["g"], num_partitions=9)
+    got = running_max(df, "v", ["t", "id"], ["g"], num_partitions=9, group_budget=100)
     w = Window.partitionBy("g").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.withColumn("running_max", F.max("v").over(w))
     assert sorted((r["id"], r["running_max"]) for r in got.collect()) == \
@@ -69,3 +70,22 @@ def test_assert_unique(spark):
     with pytest.raises(ValueError):
         assert_unique(df, ["k"])
     assert_unique(df.distinct(), ["k"])
+
+
+def test_grouped_position_plain_path(spark):
+    df = skewed(spark)
+    got = with_position(df, ["t", "id"], ["g"], pos_col="pos")      # no group over the budget
+    assert "Window" in got._jdf.queryExecution().executedPlan().toString()
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
+    assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
+        sorted((r["id"], r["pos"]) for r in exp.collect())
+    assert dict(got.dtypes)["pos"] == "bigint"
+
+
+def test_null_group_can_be_hot(spark):
+    rows = [(i, None if i < 50 else "a", i % 7) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, g string, t int")
+    got = with_position(df, ["t", "id"], ["g"], group_budget=10)
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
+    assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
+        sorted((r["id"], r["pos"]) for r in exp.collect())
