@@ -59,10 +59,11 @@ def run_until_caught_up(agg: DataFrame, out_dir: str | None = None,
 def current_table(spark: SparkSession, out_dir: str, schema: StructType,
                   keys: tuple[str, ...] = ("dir",)) -> DataFrame:
     """Latest appended row per key (partial aggregation, one row per key)."""
-    from cohortlake.sources.listing import _exists
-    if not _exists(spark, out_dir):
+    from pyspark.errors import AnalysisException
+    try:
+        updates = spark.read.parquet(out_dir)
+    except AnalysisException:                # nothing written yet
         return spark.createDataFrame([], schema)
-    updates = spark.read.parquet(out_dir)
     values = [c for c in schema.names if c not in keys]
     latest = updates.groupBy(*keys).agg(
         F.max_by(F.struct(*values), "_batch").alias("_v"))

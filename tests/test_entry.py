@@ -14,3 +14,11 @@ def test_queries_have_oracles_and_run(spark):
     assert set(orc) <= set(qs)
     for name in ["cohort_inner_join", "subject_split_sizes", "deid_plan", "tree_top4"]:
         assert qs[name](spark, SF_SMALL).count() >= 0
+
+
+def test_plans_have_no_cross_joins_or_row_udfs(spark):
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        found = [b for b in banned if b in plan]
+        assert not found, (name, found)

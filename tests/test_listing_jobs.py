@@ -61,7 +61,7 @@ def test_keep_list_candidates(spark, tmp_dir):
 def test_check_manifest(spark, tmp_dir):
     for rel in ["DICOM/IM_0001", "DICOM/IM_0002", "DICOM/x.dcm", "DICOM/notes.txt", "DICOM/IM_12a"]:
         touch(tmp_dir, rel)
-    root = listing._qualify(spark, tmp_dir)
+    root = listing.qualified_root(listing.file_listing(spark, tmp_dir), tmp_dir)
     recs = spark.createDataFrame([
         ([], 1, "PATIENT", []), ([], 2, "IMAGE", ["DICOM", "IM_0001"]),
         ([], 3, "IMAGE", ["DICOM", "IM_0003"]), ([], 4, "IMAGE", ["DICOM", "x.dcm"])],
@@ -138,7 +138,7 @@ def test_readable_files_keep_list_and_multi_root(spark, tmp_dir):
     touch(b, "DICOMDIR")
     lst = listing.file_listing(spark, [a, b])                    # G3: union of roots
     assert lst.count() == 6
-    root_a = listing._qualify(spark, a)
+    root_a = listing.qualified_root(listing.file_listing(spark, a), a)
     names = sorted(r["name"] for r in listing.readable_files(lst, root_a).collect())
     assert names == ["IM_0001", "x.dcm"]                         # S9 / X11, direct children only
     keep = os.path.join(tmp_dir, "keep.txt")
