@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.operators.position import first_k_per_group, with_position
+from cohortlake.session import materialize
 
 SPLITS = ["train", "val", "test"]
 # Fixed value: the seed of the subject shuffle.
@@ -105,28 +108,38 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     """Per split, size, mean and sample std of numeric attributes and the
     share of each category; plus rows ``split='max_gap'`` with the largest
     difference between splits for each metric.  Long form
-    ``(split, metric, value)``."""
-    aggs = [F.count(F.lit(1)).cast("double").alias("n")]
+    ``(split, metric, value)``.
+
+    One pass over ``df``: a grouping-sets aggregate per split and per
+    (split, category value).  Its result is small (splits x category values)
+    and is the only thing kept and read again."""
+    cats = list(categorical)
+    aggs = [F.count(F.lit(1)).alias("_n")]
     for c in numeric:
-        aggs += [F.avg(c).alias(f"mean:{c}"), F.stddev_samp(c).alias(f"std:{c}")]
-    per_split = df.groupBy(split_col).agg(*aggs)
-    metrics = [c for c in per_split.columns if c != split_col]
-    stacked = per_split.select(split_col, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("value"))
-        for m in metrics])))
-    parts = [stacked]
-    totals = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("_tot"))  # one row per split
-    for c in categorical:
-        counts = df.groupBy(split_col, c).agg(F.count(F.lit(1)).alias("_cnt"))
-        shares = (counts.join(F.broadcast(totals), split_col)
-                  .select(split_col,
-                          F.concat(F.lit(f"share:{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
-                           .alias("metric"),
-                          (F.col("_cnt") / F.col("_tot")).alias("value")))
-        parts.append(shares)
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+        aggs += [F.avg(c).alias(f"_mean_{c}"), F.stddev_samp(c).alias(f"_std_{c}")]
+    if cats:
+        aggs += [F.grouping(c).alias(f"_g{i}") for i, c in enumerate(cats)]
+        g = df.groupingSets([[split_col]] + [[split_col, c] for c in cats], split_col, *cats).agg(*aggs)
+        whole_split = functools.reduce(operator.and_, [F.col(f"_g{i}") == 1 for i in range(len(cats))])
+    else:
+        g = df.groupBy(split_col).agg(*aggs)
+        whole_split = F.lit(True)
+    g = materialize(g)
+
+    def item(cond, metric, value):
+        return F.when(cond, F.struct(metric.alias("metric"), value.cast("double").alias("value")))
+
+    g = g.withColumn("_tot", F.max(F.when(whole_split, F.col("_n"))).over(Window.partitionBy(split_col)))
+    total = F.col("_tot")
+    items = [item(whole_split, F.lit("n"), F.col("_n"))]
+    for c in numeric:
+        items += [item(whole_split, F.lit(f"mean:{c}"), F.col(f"_mean_{c}")),
+                  item(whole_split, F.lit(f"std:{c}"), F.col(f"_std_{c}"))]
+    for i, c in enumerate(cats):
+        label = F.concat(F.lit(f"share:{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+        items.append(item(F.col(f"_g{i}") == 0, label, F.col("_n") / total))
+    long = (g.select(split_col, F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("m"))
+            .select(split_col, "m.metric", "m.value"))
     gaps = (long.groupBy("metric")
             .agg((F.max("value") - F.min("value")).alias("value"))
             .select(F.lit("max_gap").alias(split_col), "metric", "value"))
