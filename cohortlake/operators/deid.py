@@ -73,37 +73,37 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
     done = (_parts(output_files, output_root)
             .select(F.col("old_id").alias("new_id"), "session").distinct()
             .withColumn("_done", F.lit(True)))
-    # one row per session: what it holds (J9) and whether it is done
+    # one row per session: what it holds (J9) and whether it is done (J7);
+    # the full outer join also yields one row (session NULL) per map entry
+    # without any folder (J6).  Folders without a map entry get no new id.
     flags = src.groupBy("old_id", "session").agg(
         F.max(F.col("rest") == "DICOMDIR").alias("has_dicomdir"),
         F.max(F.col("rest").startswith("DICOM/")).alias("has_dicom"))
-    sess = (flags.join(ids, "old_id", "inner")
+    sess = (flags.join(ids, "old_id", "full_outer")
             .join(done, ["new_id", "session"], "left")
             .withColumn("_done", F.coalesce(F.col("_done"), F.lit(False))))
     root_in, root_out = F.lit(input_root.rstrip("/")), F.lit(output_root.rstrip("/"))
-    sess_src = F.concat_ws("/", root_in, "old_id", "session")
-    sess_dst = F.concat_ws("/", root_out, "new_id", "session")
+    mapped = F.col("new_id").isNotNull()
+    has_session = F.col("session").isNotNull()
+    live = mapped & has_session & ~F.col("_done")
 
-    # session-level rows in one pass over the session table
+    # session-level rows and map entries without a folder, in one pass
     acts = F.filter(F.array(
-        F.when(F.col("_done"), F.lit("skip_exists")),
-        F.when(~F.col("_done") & ~F.col("has_dicomdir"), F.lit("warn_no_dicomdir")),
-        F.when(~F.col("_done") & ~F.col("has_dicom"), F.lit("warn_no_dicom"))),
+        F.when(mapped & ~has_session, F.lit("skip_no_subject")),
+        F.when(mapped & has_session & F.col("_done"), F.lit("skip_exists")),
+        F.when(live & ~F.col("has_dicomdir"), F.lit("warn_no_dicomdir")),
+        F.when(live & ~F.col("has_dicom"), F.lit("warn_no_dicom"))),
         lambda a: a.isNotNull())
-    session_rows = (sess.select("old_id", "new_id", "session", sess_src.alias("source"),
-                                sess_dst.alias("_dst"), F.explode(acts).alias("action"))
-                    .select("old_id", "new_id", "session", "source",
-                            F.when(F.col("action") == "skip_exists", F.col("_dst")).alias("target"),
+    session_rows = (sess.select("old_id", "new_id", "session", F.explode(acts).alias("action"))
+                    .select("old_id", "new_id", "session",
+                            F.when(F.col("session").isNotNull(),
+                                   F.concat_ws("/", root_in, "old_id", "session")).alias("source"),
+                            F.when(F.col("action") == "skip_exists",
+                                   F.concat_ws("/", root_out, "new_id", "session")).alias("target"),
                             "action"))
 
-    # Map entries without a folder
-    no_subject = (ids.join(flags.select("old_id").distinct(), "old_id", "left_anti")
-                  .select("old_id", "new_id", *[F.lit(None).cast("string").alias(c)
-                                                for c in ("session", "source", "target")],
-                          F.lit("skip_no_subject").alias("action")))
-
     files = (src.filter((F.col("rest") == "DICOMDIR") | F.col("rest").startswith("DICOM/"))
-             .join(sess.filter(~F.col("_done")).select("old_id", "session", "new_id"),
+             .join(sess.filter(live).select("old_id", "session", "new_id"),
                    ["old_id", "session"], "inner"))
     action = (F.when(F.col("rest") == "DICOMDIR", F.lit("anonymize"))
                .when(is_dicom_name_stem(base_name("rest")), F.lit("anonymize"))
@@ -112,4 +112,4 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
         "old_id", "new_id", "session", F.col("path").alias("source"),
         F.concat_ws("/", root_out, "new_id", "session", "rest").alias("target"),
         action.alias("action"))
-    return no_subject.unionByName(session_rows).unionByName(file_rows)
+    return session_rows.unionByName(file_rows)
