@@ -153,6 +153,35 @@ def _ranged_position(df: DataFrame, order_cols: Sequence, groups: list[str], pos
                          (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).cast("long").alias(pos_col))
 
 
+def with_hash_position(df: DataFrame, hash_col: str, tie_cols: Sequence[str] = (),
+                       pos_col: str = "pos", total_col: str | None = None,
+                       prefix_len: int = 3) -> DataFrame:
+    """Global position in (``hash_col``, ``tie_cols``) order when ``hash_col``
+    is a uniformly distributed hex digest (md5 and the like).
+
+    Rows are bucketed by the first ``prefix_len`` hex digits (16**prefix_len
+    buckets, 4096 by default).  Bucket order is digest order, so a row's
+    position is the number of rows in earlier buckets (from the per-bucket
+    counts: at most 16**prefix_len rows, broadcast with that bound) plus its
+    rank inside its bucket.  Buckets are even for distinct keys, so no task
+    holds a hot bucket; everything is value-based, so no checkpoint is
+    needed."""
+    bucket = F.substring(F.col(hash_col), 1, prefix_len)
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        "_bucket",
+        (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(hash_col, *tie_cols)) - 1
+    ranked = b.withColumn("_rank", rank)
+    joined = ranked.join(F.broadcast(offsets), "_bucket", "left")
+    extra = [(F.col("_off") + F.col("_rank")).cast("long").alias(pos_col)]
+    if total_col:
+        extra.append(F.col("_total").alias(total_col))
+    return joined.select(*df.columns, *extra)
+
+
 def running_max(df: DataFrame, value_col: str, order_cols: Sequence, group_cols: Sequence,
                 out_col: str = "running_max", num_partitions: int | None = None,
                 group_budget: int = DEFAULT_GROUP_BUDGET) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.operators.position import first_k_per_group, with_position
+from cohortlake.operators.position import first_k_per_group, with_hash_position
 from cohortlake.session import materialize
 
 SPLITS = ["train", "val", "test"]
@@ -34,11 +34,11 @@ def assign_splits(df: DataFrame, train: float, val: float, seed: int = DEFAULT_S
     (hash, id); the first ``rint(n*train)`` go to train, the next
     ``rint(n*val)`` to val, the rest to test (half-even rounding, as Python's
     ``round``).  NULL subjects take no slot.  Sizes are exact; positions come
-    from the range-partitioned position operator, not a one-task window."""
+    from hash-prefix buckets (``with_hash_position``), not a one-task window."""
     check_fractions(train, val)
     subjects = (df.select(key).filter(F.col(key).isNotNull()).distinct()
                 .withColumn("_h", subject_hash(key, seed)))
-    ranked = with_position(subjects, ["_h", key], pos_col="_pos", total_col="_n")
+    ranked = with_hash_position(subjects, "_h", [key], pos_col="_pos", total_col="_n")
     n = F.col("_n").cast("double")
     n_train = F.rint(n * F.lit(train))
     n_val = F.rint(n * F.lit(val))
@@ -84,7 +84,8 @@ def split_train_val_test(df: DataFrame, train: float, val: float, seed: int = DE
     cap is applied with a partial top-k before the shuffle, so a subject with
     very many rows never lands whole in one task.  ``df`` is read once per
     distinct cap: persist it when it is expensive to recompute."""
-    assign = assign_splits(df, train, val, seed, key)
+    # one row per subject, read by every routing branch: computed once
+    assign = materialize(assign_splits(df, train, val, seed, key))
     routed = df.join(assign, key, "inner")
     caps = {"train": None, "val": 1, "test": 1, **(caps or {})}
     order = list(order_cols) if order_cols else [c for c in df.columns if c != key]

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlake.operators.position import (assert_unique, duplicate_keys, first_k_per_group,
-                                           running_max, with_position)
+                                           running_max, with_hash_position, with_position)
 
 
 def skewed(spark, n=3000, seed=1):
@@ -89,3 +89,12 @@ def test_null_group_can_be_hot(spark):
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
     assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
         sorted((r["id"], r["pos"]) for r in exp.collect())
+
+
+def test_hash_position_matches_row_number(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k")) \
+        .withColumn("h", F.md5(F.concat("k", F.lit(":22"))))
+    got = with_hash_position(df, "h", ["k"], pos_col="pos", total_col="n", prefix_len=2)
+    exp = df.withColumn("pos", F.row_number().over(Window.orderBy("h", "k")) - 1)
+    assert sorted((r["k"], r["pos"], r["n"]) for r in got.collect()) == \
+        sorted((r["k"], r["pos"], 5000) for r in exp.collect())
