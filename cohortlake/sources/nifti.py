@@ -1,7 +1,7 @@
-"""Single-file NIfTI-1 volumes (``.nii``, ``.nii.gz``): the per-file
-helper run inside Spark tasks by the tensor job.  Header fields used:
-dim, datatype, vox_offset, scl_slope, scl_inter; voxels are stored with the
-first axis fastest (Fortran order)."""
+"""Single-file NIfTI-1 and NIfTI-2 volumes (``.nii``, ``.nii.gz``): the
+per-file helper run inside Spark tasks by the tensor job.  Header fields
+used: dim, datatype, vox_offset, scl_slope, scl_inter; voxels are stored
+with the first axis fastest (Fortran order)."""
 
 from __future__ import annotations
 
@@ -10,38 +10,53 @@ import struct
 
 import numpy as np
 
-# NIfTI-1 datatype codes -> numpy types.
+# NIfTI datatype codes (same in versions 1 and 2) -> numpy types.
 DTYPES = {2: np.uint8, 4: np.int16, 8: np.int32, 16: np.float32, 64: np.float64,
           256: np.int8, 512: np.uint16, 768: np.uint32, 1024: np.int64, 1280: np.uint64}
 CODES = {np.dtype(v): k for k, v in DTYPES.items()}
 HEADER_SIZE = 348
+HEADER2_SIZE = 540
 
 
 def _maybe_gunzip(data: bytes) -> bytes:
     return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
 
 
-def decode(data: bytes) -> np.ndarray:
-    """Volume as float64 with intensity scaling applied (slope 0 or not
-    finite means unscaled)."""
-    raw = _maybe_gunzip(data)
-    if len(raw) < HEADER_SIZE:
-        raise ValueError("file too short for a NIfTI-1 header")
+def _header(raw: bytes) -> tuple[str, tuple[int, ...], int, int, float, float]:
+    """(byte order, shape, datatype code, voxel offset, slope, intercept)."""
     for endian in ("<", ">"):
-        if struct.unpack(endian + "i", raw[:4])[0] == HEADER_SIZE:
+        size = struct.unpack(endian + "i", raw[:4])[0]
+        if size == HEADER_SIZE:
+            dim = struct.unpack(endian + "8h", raw[40:56])
+            code = struct.unpack(endian + "h", raw[70:72])[0]
+            offset = int(struct.unpack(endian + "f", raw[108:112])[0])
+            slope, inter = struct.unpack(endian + "2f", raw[112:120])
+            break
+        if size == HEADER2_SIZE:
+            if len(raw) < HEADER2_SIZE:
+                raise ValueError("file too short for a NIfTI-2 header")
+            code = struct.unpack(endian + "h", raw[12:14])[0]
+            dim = struct.unpack(endian + "8q", raw[16:80])
+            offset = struct.unpack(endian + "q", raw[168:176])[0]
+            slope, inter = struct.unpack(endian + "2d", raw[176:192])
             break
     else:
-        raise ValueError("not a NIfTI-1 file (sizeof_hdr != 348)")
-    dim = struct.unpack(endian + "8h", raw[40:56])
+        raise ValueError("not a NIfTI file (sizeof_hdr is neither 348 nor 540)")
     ndim = dim[0]
     if not 1 <= ndim <= 7:
         raise ValueError(f"bad dim[0]={ndim}")
-    shape = tuple(int(d) for d in dim[1:1 + ndim])
-    code = struct.unpack(endian + "h", raw[70:72])[0]
+    return endian, tuple(int(d) for d in dim[1:1 + ndim]), code, offset, slope, inter
+
+
+def decode(data: bytes) -> np.ndarray:
+    """Volume as float64 with intensity scaling applied (slope 0 or not
+    finite means unscaled)."""
+    raw = _maybe_gunzip(data)
+    if len(raw) < HEADER_SIZE:
+        raise ValueError("file too short for a NIfTI header")
+    endian, shape, code, offset, slope, inter = _header(raw)
     if code not in DTYPES:
         raise ValueError(f"unsupported datatype code {code}")
-    offset = int(struct.unpack(endian + "f", raw[108:112])[0])
-    slope, inter = struct.unpack(endian + "2f", raw[112:120])
     dtype = np.dtype(DTYPES[code]).newbyteorder(endian)
     count = int(np.prod(shape))
     vox = np.frombuffer(raw, dtype=dtype, count=count, offset=offset)
@@ -53,12 +68,25 @@ def decode(data: bytes) -> np.ndarray:
 
 
 def encode(volume: np.ndarray, slope: float = 1.0, inter: float = 0.0,
-           big_endian: bool = False, compress: bool = True) -> bytes:
-    """A minimal single-file NIfTI-1 image (used by tests and the sample
-    files written from table rows)."""
+           big_endian: bool = False, compress: bool = True, version: int = 1) -> bytes:
+    """A minimal single-file NIfTI image, version 1 or 2 (used by tests and
+    the sample files written from table rows)."""
     vol = np.asarray(volume)
     endian = ">" if big_endian else "<"
     code = CODES[vol.dtype.newbyteorder("=")] if vol.dtype.byteorder not in "=|" else CODES[vol.dtype]
+    if version == 2:
+        hdr = bytearray(HEADER2_SIZE)
+        struct.pack_into(endian + "i", hdr, 0, HEADER2_SIZE)
+        hdr[4:12] = b"n+2\x00\r\n\x1a\n"
+        struct.pack_into(endian + "h", hdr, 12, code)
+        struct.pack_into(endian + "h", hdr, 14, vol.dtype.itemsize * 8)
+        struct.pack_into(endian + "8q", hdr, 16, vol.ndim, *vol.shape, *([1] * (7 - vol.ndim)))
+        struct.pack_into(endian + "8d", hdr, 104, *([1.0] * 8))
+        struct.pack_into(endian + "q", hdr, 168, 544)
+        struct.pack_into(endian + "2d", hdr, 176, slope, inter)
+        body = vol.astype(vol.dtype.newbyteorder(endian)).tobytes(order="F")
+        out = bytes(hdr) + b"\x00" * 4 + body
+        return gzip.compress(out, compresslevel=1) if compress else out
     hdr = bytearray(HEADER_SIZE)
     struct.pack_into(endian + "i", hdr, 0, HEADER_SIZE)
     dims = [vol.ndim, *vol.shape] + [1] * (7 - vol.ndim)

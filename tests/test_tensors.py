@@ -24,6 +24,13 @@ def test_nifti_roundtrip_scaled_int16(tmp_dir, big_endian, compress):
     np.testing.assert_array_equal(got, vol.astype(np.float64) * 2 + 1)
 
 
+@pytest.mark.parametrize("big_endian", [False, True])
+def test_nifti2_roundtrip(big_endian):
+    vol = np.arange(2 * 3 * 4, dtype=np.float64).reshape(2, 3, 4) / 7
+    got = nifti.decode(nifti.encode(vol, slope=0.5, inter=-1.0, big_endian=big_endian, version=2))
+    np.testing.assert_array_equal(got, vol * 0.5 - 1.0)
+
+
 def test_nifti_float32_unscaled(tmp_dir):
     vol = np.random.default_rng(0).random((2, 3, 4)).astype(np.float32)
     got = nifti.decode(nifti.encode(vol, slope=0.0))
