@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.operators.position import first_k_per_group, with_hash_position
+from cohortlake.operators.position import assert_unique, first_k_per_group, with_hash_position
 from cohortlake.session import materialize
 
 SPLITS = ["train", "val", "test"]
@@ -76,16 +76,20 @@ def cap_sessions(df: DataFrame, k: int, key: str = "ptid",
 
 def split_train_val_test(df: DataFrame, train: float, val: float, seed: int = DEFAULT_SEED,
                          key: str = "ptid", order_cols: Sequence[str] | None = None,
-                         caps: dict[str, int] | None = None) -> DataFrame:
+                         caps: dict[str, int] | None = None, validate: bool = False) -> DataFrame:
     """W1 + J3/J4: rows routed to their subject's split, in one table with a
     ``split`` column.  Train keeps every row of its subjects, val and test one
     row per subject (A3); ``caps`` (W9) may bound rows per subject per split,
     e.g. ``{"train": 3}``.  Splits with the same cap share one branch, and a
     cap is applied with a partial top-k before the shuffle, so a subject with
     very many rows never lands whole in one task.  ``df`` is read once per
-    distinct cap: persist it when it is expensive to recompute."""
+    distinct cap: persist it when it is expensive to recompute.
+    ``validate`` (J5) checks the assignment is one row per subject (the
+    ``m:1`` side) and capped splits keep at most their cap per subject."""
     # one row per subject, read by every routing branch: computed once
     assign = materialize(assign_splits(df, train, val, seed, key))
+    if validate:
+        assert_unique(assign, [key], "assignment")
     routed = df.join(assign, key, "inner")
     caps = {"train": None, "val": 1, "test": 1, **(caps or {})}
     order = list(order_cols) if order_cols else [c for c in df.columns if c != key]
@@ -101,6 +105,13 @@ def split_train_val_test(df: DataFrame, train: float, val: float, seed: int = DE
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if validate:
+        for cap, names in by_cap.items():
+            if cap is not None:
+                over = (out.filter(F.col("split").isin(names)).groupBy(key)
+                        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cap))
+                if not over.isEmpty():
+                    raise ValueError(f"more than {cap} rows per subject in {names}")
     return out.select(*df.columns, "split")
 
 

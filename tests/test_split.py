@@ -30,7 +30,7 @@ def test_exact_sizes(spark, n):
 
 def test_train_keeps_all_rows_val_test_one(spark):
     df = subjects(spark, 50, rows_per=3)
-    rows = split.split_train_val_test(df, 0.6, 0.2, order_cols=["session"])
+    rows = split.split_train_val_test(df, 0.6, 0.2, order_cols=["session"], validate=True)
     per = rows.groupBy("split", "ptid").count()
     for r in per.collect():
         assert r["count"] == (3 if r["split"] == "train" else 1)
