@@ -74,3 +74,27 @@ def test_empty_image_list(spark):
     lay = spark.createDataFrame([], LAYOUT)
     clin = spark.createDataFrame([("ADNI3", "002_S_0413", "bl", "CN")], CLIN)
     assert cohort.included_subjects(lay, clin, ["ADNI3"]).count() == 0
+
+
+def test_image_filter_reaches_parquet_scan(spark, tmp_dir):
+    import os
+    from cohortlake.sources import readers
+    p = os.path.join(tmp_dir, "layout.parquet")
+    spark.createDataFrame([("sub-ADNI002S0413_ses-M132_T1w.nii.gz", "/derivatives/x", "T1w", "nii.gz",
+                            "Crop", "1x1x1", None, None, "extra")], LAYOUT + ", unused string") \
+        .write.parquet(p)
+    lay = readers.read_bids_parquet(spark, p)
+    clin = spark.createDataFrame([("ADNI3", "002_S_0413", "m132", "CN")], CLIN)
+    q = cohort.collect_cohort(lay.drop("unused"), clin, ["ADNI3"])
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    text = buf.getvalue()
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    schema = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    assert any("EqualTo(suffix,T1w)" in x and "StringContains(path,derivatives)" in x
+               and "EqualTo(desc,Crop)" in x for x in pushed), pushed
+    assert schema and all("unused" not in x for x in schema)
+    assert q.count() == 1
