@@ -35,13 +35,13 @@ INCLUDED_PHASES = ["ADNI1", "ADNI2", "ADNI3", "ADNI4", "ADNIGO"]
 @query
 def cohort_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filtered T1w images joined to visits of phases ADNI2/ADNI3."""
-    v = demo.visits(spark, sf_dir)
+    v = demo.visits(spark, sf_dir, reused=True)
     return cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
 
 
 # ------------------------------------------------------------------ helpers
 def _cohort(spark: SparkSession, sf_dir: str, persist: bool = False) -> DataFrame:
-    v = demo.visits(spark, sf_dir)
+    v = demo.visits(spark, sf_dir, reused=True)
     c = cohort.collect_cohort(demo.layout(v), demo.clinical(v), phases=COHORT_PHASES)
     # the split reads the cohort once for the assignment and once per routing branch
     return materialize(c) if persist else c
@@ -60,7 +60,7 @@ TRAIN, VAL = 0.8, 0.1
 @query
 def included_subjects_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pet images (18FFDG, coregiso) semi-joined to visits of five phases."""
-    v = demo.visits(spark, sf_dir)
+    v = demo.visits(spark, sf_dir, reused=True)
     return cohort.included_subjects(demo.layout(v), demo.clinical(v), INCLUDED_PHASES,
                                     suffix="pet", trc="18FFDG", rec="coregiso")
 

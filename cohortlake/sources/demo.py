@@ -23,17 +23,18 @@ def _s(col) -> Column:
 
 
 # ---------------------------------------------------------------- visits
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits(spark: SparkSession, sf_dir: str, reused: bool = False) -> DataFrame:
     """One row per order = one visit of subject ``o_custkey``; ``visit`` is
-    the 0-based visit number in (date, orderkey) order."""
+    the 0-based visit number in (date, orderkey) order.  ``reused``: the
+    caller reads it more than once (index and clinical adapters), so it is
+    computed once and kept."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     v = with_position(o, ["o_orderdate", "o_orderkey"], ["o_custkey"], pos_col="visit")
     v = (v.withColumn("mo", F.col("visit") * 6)
           .withColumn("A", F.lpad(_s(F.floor(F.col("o_custkey") / 10000)), 3, "0"))
           .withColumn("B", F.lpad(_s(F.col("o_custkey") % 10000), 4, "0")))
-    # read by both the index and the clinical adapter: computed once
-    return materialize(v)
+    return materialize(v) if reused else v
 
 
 def layout(v: DataFrame) -> DataFrame:
