@@ -88,3 +88,19 @@ def included_subjects(layout: DataFrame, clinical: DataFrame, phases: Sequence[s
         visit_to_session("VISCODE").alias("session_id"),
     ).filter(F.col("phase").isin(list(phases)))
     return left.join(right, ["participant_id", "session_id"], "left_semi")
+
+
+def included_subjects_tsv(spark, bids_root: str, clinical_csv: str, out_dir: str,
+                          phases: Sequence[str], suffix: str = "pet", trc: str = "18FFDG",
+                          rec: str = "coregiso") -> DataFrame:
+    """C3 from files: index a BIDS tree (S3), read the clinical CSV (S2),
+    keep files with a visit in ``phases`` and write the TSV (K1) to
+    ``out_dir``.  Returns the written table."""
+    from cohortlake.sinks import write_tsv
+    from cohortlake.sources.listing import bids_layout, file_listing
+    from cohortlake.sources.readers import read_clinical_csv
+    layout = bids_layout(file_listing(spark, bids_root))
+    result = included_subjects(layout, read_clinical_csv(spark, clinical_csv), phases,
+                               suffix=suffix, trc=trc, rec=rec)
+    write_tsv(result, out_dir)
+    return result

@@ -44,3 +44,13 @@ def build_training_set(layout: DataFrame, clinical: DataFrame, out_dir: str,
         return paths
     finally:
         cohort.unpersist()
+
+
+def build_training_set_from_files(spark, index_parquet: str, clinical_csv: str, out_dir: str,
+                                  **kwargs) -> dict[str, str]:
+    """C2 from files: the index parquet (S1, empty is an error) and the
+    clinical CSV (S2, codes kept as text); other arguments as
+    ``build_training_set``."""
+    from cohortlake.sources.readers import read_bids_parquet, read_clinical_csv
+    return build_training_set(read_bids_parquet(spark, index_parquet),
+                              read_clinical_csv(spark, clinical_csv), out_dir, **kwargs)
