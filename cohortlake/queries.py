@@ -343,7 +343,7 @@ def deid_nested_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deid_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3/D4 with J6, J7, J9: per-file action plan."""
     # the listing is read twice (session flags, file rows): computed once
-    tree = materialize(demo.subject_tree(spark, sf_dir))
+    tree = materialize(demo.subject_tree(spark, sf_dir), spread=True)
     return deid.deid_plan(tree, demo.customer_id_map(spark, sf_dir), demo.done_sessions(spark, sf_dir))
 
 

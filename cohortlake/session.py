@@ -81,11 +81,15 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def materialize(df):
+def materialize(df, spread: bool = False):
     """Persist ``df`` (memory, spilling to disk) and fill the cache now, so
     branches of a later plan that run at the same time share one copy.  Lost
-    blocks are recomputed from the lineage, which is deterministic here."""
+    blocks are recomputed from the lineage, which is deterministic here.
+    ``spread``: first deal the rows evenly over the session's shuffle
+    partitions (for inputs read from few, uneven splits)."""
     from pyspark import StorageLevel
+    if spread:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)   # columnar cache, no per-read decode
     df.count()
     return df
