@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from cohortlake.operators import deid, elements
 from cohortlake.streaming import peak

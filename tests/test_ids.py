@@ -1,6 +1,5 @@
 """Identifier expressions: the source tool's unit values plus edge cases."""
 
-from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, text
 

@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from cohortlake.operators import sets
 from cohortlake.plans import jobs
