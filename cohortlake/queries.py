@@ -375,3 +375,17 @@ def volume_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tensors.volumes_to_tensors(paths, keep=["vec_id"])
     return t.select("vec_id", F.posexplode("raw").alias("idx", "value")) \
         .withColumn("idx", F.col("idx").cast("long"))
+
+
+@query
+def subject_split_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W9: the split with at most three sessions per subject in train."""
+    return split.split_train_val_test(_cohort(spark, sf_dir, True), TRAIN, VAL,
+                                      order_cols=SPLIT_ORDER, caps={"train": 3})
+
+
+@query
+def deid_elements_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 with ``deep=True``: the header edit applied inside sequences too."""
+    return deid.anonymize_elements(_elements(spark, sf_dir), demo.customer_id_map(spark, sf_dir),
+                                   deep=True)

@@ -506,3 +506,22 @@ SELECT CAST(user_id AS VARCHAR) AS dir, max(value) AS peak_bytes,
        first(value ORDER BY ts DESC, event_id DESC) AS current_bytes, count(*) AS n_samples
 FROM events GROUP BY user_id
 """
+
+ORACLE["subject_split_capped"] = _with(*_COHORT_CTES, _assign(
+    "SELECT DISTINCT ptid FROM cohort WHERE ptid IS NOT NULL"), r"""
+routed AS (SELECT c.*, a.split FROM cohort c JOIN asg a ON c.ptid = a.ptid)
+""") + r"""
+SELECT * EXCLUDE (r) FROM (
+  SELECT *, row_number() OVER (PARTITION BY ptid ORDER BY session, path, filename) AS r FROM routed) t
+WHERE (split = 'train' AND r <= 3) OR (split <> 'train' AND r = 1)
+"""
+
+ORACLE["deid_elements_deep"] = _with(ELEMENTS, IDS) + r"""
+SELECT e.file_path, e.subject, e.sort_key, e.depth, e.tag, e.vr, e.keyword,
+       CASE WHEN e.keyword = 'PatientName' THEN i.new_id
+            WHEN e.keyword = 'PatientBirthDate' AND length(e.value) > 0 THEN substr(e.value, 1, 4) || '0101'
+            ELSE e.value END AS value,
+       i.new_id
+FROM elements e JOIN ids i ON e.subject = i.old_id
+WHERE e.keyword NOT IN ('PatientID', 'FileSetID')
+"""
