@@ -30,8 +30,17 @@ from pyspark.sql import functions as F
 from cohortlake.session import reliable_checkpoint
 
 _PID, _MID = "_pid", "_mid"
-# Rows of one group that a single task may sort in a window.
-DEFAULT_GROUP_BUDGET = 5_000_000
+# Rows of one group that a single task may sort in a window; a session can
+# set its own with ``spark.cohortlake.groupBudgetRows`` (size it to executor
+# memory: rows x row width should sort comfortably in one task).
+DEFAULT_GROUP_BUDGET = 2_000_000
+BUDGET_CONF = "spark.cohortlake.groupBudgetRows"
+
+
+def _budget(df: DataFrame, given: int | None) -> int:
+    if given is not None:
+        return int(given)
+    return int(df.sparkSession.conf.get(BUDGET_CONF, str(DEFAULT_GROUP_BUDGET)))
 
 
 def _cols(cols) -> list:
@@ -97,7 +106,7 @@ def _split_hot(df: DataFrame, hot: DataFrame, groups: list[str]) -> tuple[DataFr
 def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = (),
                   pos_col: str = "pos", total_col: str | None = None,
                   num_partitions: int | None = None,
-                  group_budget: int = DEFAULT_GROUP_BUDGET) -> DataFrame:
+                  group_budget: int | None = None) -> DataFrame:
     """Add ``pos_col``: 0-based position (bigint) in ``order_cols`` order,
     inside ``group_cols`` groups when given, else over the whole table.
 
@@ -108,7 +117,7 @@ def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = ()
         return _ranged_position(df, order_cols, [], pos_col, total_col, num_partitions)
     if total_col:
         raise ValueError("total_col is only supported for the global position")
-    hot = _hot_groups(df, groups, group_budget)
+    hot = _hot_groups(df, groups, _budget(df, group_budget))
     w = Window.partitionBy(*groups).orderBy(*_cols(order_cols))
     plain = (F.row_number().over(w) - 1).cast("long").alias(pos_col)
     if hot is None:
@@ -184,13 +193,13 @@ def with_hash_position(df: DataFrame, hash_col: str, tie_cols: Sequence[str] = (
 
 def running_max(df: DataFrame, value_col: str, order_cols: Sequence, group_cols: Sequence,
                 out_col: str = "running_max", num_partitions: int | None = None,
-                group_budget: int = DEFAULT_GROUP_BUDGET) -> DataFrame:
+                group_budget: int | None = None) -> DataFrame:
     """Highest ``value_col`` seen so far in ``order_cols`` order per group."""
     groups = _names(_cols(group_cols))
     frame = (Window.partitionBy(*groups).orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     plain = F.max(value_col).over(frame).alias(out_col)
-    hot = _hot_groups(df, groups, group_budget)
+    hot = _hot_groups(df, groups, _budget(df, group_budget))
     if hot is None:
         return df.select(*df.columns, plain)
     cold, hot_rows = _split_hot(df, hot, groups)

@@ -98,3 +98,17 @@ def test_hash_position_matches_row_number(spark):
     exp = df.withColumn("pos", F.row_number().over(Window.orderBy("h", "k")) - 1)
     assert sorted((r["k"], r["pos"], r["n"]) for r in got.collect()) == \
         sorted((r["k"], r["pos"], 5000) for r in exp.collect())
+
+
+def test_budget_from_session_conf(spark):
+    df = skewed(spark)
+    spark.conf.set("spark.cohortlake.groupBudgetRows", "100")
+    try:
+        got = with_position(df, ["t", "id"], ["g"], pos_col="pos")
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" in plan                       # hot groups took the ranged path
+    finally:
+        spark.conf.unset("spark.cohortlake.groupBudgetRows")
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
+    assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
+        sorted((r["id"], r["pos"]) for r in exp.collect())
