@@ -112,3 +112,12 @@ def test_budget_from_session_conf(spark):
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
     assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
         sorted((r["id"], r["pos"]) for r in exp.collect())
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    from cohortlake.operators.position import ordered_segments
+    df = skewed(spark, n=6000)                      # "hot" holds a third of the rows
+    seg = ordered_segments(df, ["t", "id"], ["g"], num_partitions=8)
+    per_part = seg.filter(F.col("g") == "hot").groupBy("_pid").count().collect()
+    assert len(per_part) >= 2
+    assert max(r["count"] for r in per_part) < 2000  # no task holds the whole group
