@@ -1,0 +1,173 @@
+"""Header elements of DICOM Part-10 files, as a decoder for U2
+(``operators.headers.header_elements``): the per-file helper run inside
+Spark tasks.
+
+Reads Part-10 files (128-byte preamble and ``DICM``; others are rejected,
+as a strict reader does): the file meta group (explicit VR little endian)
+and a data set in implicit or explicit VR little endian, including nested
+sequences of defined or undefined length.  Pixel data and other binary values are not
+decoded (their size is reported).  Multi-valued text is joined with a
+backslash, as stored.  Deflated and big-endian transfer syntaxes are
+rejected (the file becomes an error row)."""
+
+from __future__ import annotations
+
+import struct
+
+# Keyword and value representation of the tags these jobs read
+# or edit (DICOM PS3.6); the representation is needed for implicit-VR files.
+DICTIONARY = {
+    (0x0002, 0x0010): ("TransferSyntaxUID", "UI"),
+    (0x0004, 0x1130): ("FileSetID", "CS"),
+    (0x0004, 0x1220): ("DirectoryRecordSequence", "SQ"),
+    (0x0004, 0x1430): ("DirectoryRecordType", "CS"),
+    (0x0004, 0x1500): ("ReferencedFileID", "CS"),
+    (0x0008, 0x0016): ("SOPClassUID", "UI"),
+    (0x0008, 0x0018): ("SOPInstanceUID", "UI"),
+    (0x0008, 0x0060): ("Modality", "CS"),
+    (0x0008, 0x103E): ("SeriesDescription", "LO"),
+    (0x0010, 0x0010): ("PatientName", "PN"),
+    (0x0010, 0x0020): ("PatientID", "LO"),
+    (0x0010, 0x0030): ("PatientBirthDate", "DA"),
+    (0x0010, 0x0040): ("PatientSex", "CS"),
+    (0x0010, 0x1002): ("OtherPatientIDsSequence", "SQ"),
+    (0x0020, 0x000D): ("StudyInstanceUID", "UI"),
+    (0x0020, 0x000E): ("SeriesInstanceUID", "UI"),
+    (0x0020, 0x0011): ("SeriesNumber", "IS"),
+    (0x0020, 0x0013): ("InstanceNumber", "IS"),
+}
+
+
+def keyword(tag: tuple[int, int]) -> str:
+    return DICTIONARY.get(tag, ("", ""))[0]
+
+
+# Transfer syntaxes and value representations (DICOM PS3.5).
+IMPLICIT_LE = "1.2.840.10008.1.2"
+UNSUPPORTED_SYNTAXES = {"1.2.840.10008.1.2.1.99": "deflated", "1.2.840.10008.1.2.2": "big endian"}
+LONG_VRS = {"OB", "OD", "OF", "OL", "OV", "OW", "SQ", "UC", "UN", "UR", "UT", "SV", "UV"}
+TEXT_VRS = {"AE", "AS", "CS", "DA", "DS", "DT", "IS", "LO", "LT", "PN", "SH", "ST", "TM",
+            "UC", "UI", "UR", "UT"}
+NUMBER_VRS = {"US": "H", "SS": "h", "UL": "I", "SL": "i", "FL": "f", "FD": "d",
+              "UV": "Q", "SV": "q"}
+UNDEFINED = 0xFFFFFFFF
+ITEM, ITEM_END, SEQ_END = (0xFFFE, 0xE000), (0xFFFE, 0xE00D), (0xFFFE, 0xE0DD)
+
+
+def tag_text(tag: tuple[int, int]) -> str:
+    return f"({tag[0]:04X},{tag[1]:04X})"
+
+
+def _value(vr: str, raw: bytes) -> str:
+    if vr in TEXT_VRS:
+        return raw.decode("latin-1").rstrip(" \x00")
+    if vr in NUMBER_VRS:
+        fmt = NUMBER_VRS[vr]
+        n = len(raw) // struct.calcsize(fmt)
+        vals = struct.unpack("<" + fmt * n, raw[:n * struct.calcsize(fmt)])
+        return "\\".join(str(v) for v in vals)
+    if vr == "AT":
+        vals = struct.unpack("<" + "H" * (len(raw) // 2), raw)
+        return "\\".join(tag_text((vals[i], vals[i + 1])) for i in range(0, len(vals) - 1, 2))
+    return f"<{len(raw)} bytes>"
+
+
+class _Reader:
+    def __init__(self, data: bytes, explicit: bool):
+        self.d, self.explicit = data, explicit
+
+    def header(self, pos: int) -> tuple[tuple[int, int], str, int, int]:
+        g, e = struct.unpack_from("<HH", self.d, pos)
+        if (g, e) in (ITEM, ITEM_END, SEQ_END) or not self.explicit:
+            (length,) = struct.unpack_from("<I", self.d, pos + 4)
+            return (g, e), "", length, pos + 8
+        vr = self.d[pos + 4:pos + 6].decode("latin-1")
+        if vr in LONG_VRS:
+            (length,) = struct.unpack_from("<I", self.d, pos + 8)
+            return (g, e), vr, length, pos + 12
+        (length,) = struct.unpack_from("<H", self.d, pos + 6)
+        return (g, e), vr, length, pos + 8
+
+    def is_sequence(self, vr: str, length: int, start: int) -> bool:
+        if vr == "SQ":
+            return True
+        if vr or length == 0 or length == UNDEFINED:
+            return False
+        # implicit VR: a value that starts with an item tag is a sequence
+        return self.d[start:start + 4] == b"\xfe\xff\x00\xe0"
+
+    def dataset(self, pos: int, end: int, prefix: list[int], out: list[dict]) -> int:
+        """Elements from ``pos`` to ``end`` (or to an item delimiter when
+        ``end`` is None); returns the position after them."""
+        index = 0
+        while pos < len(self.d) and (end is None or pos < end):
+            tag, vr, length, start = self.header(pos)
+            if tag == ITEM_END:
+                return start
+            if not vr:                               # implicit VR: from the dictionary
+                vr = DICTIONARY.get(tag, ("", ""))[1]
+            path = [*prefix, index]
+            if self.is_sequence(vr, length, start) or (length == UNDEFINED and vr in ("", "UN", "SQ")):
+                out.append({"elem_pos": path, "tag": tag_text(tag), "vr": "SQ",
+                            "keyword": keyword(tag), "value": None})
+                pos = self.sequence(start, length, path, out)
+            elif length == UNDEFINED:               # encapsulated pixel data: skip its items
+                pos = self.skip_items(start)
+                out.append({"elem_pos": path, "tag": tag_text(tag), "vr": vr or "OB",
+                            "keyword": keyword(tag), "value": "<encapsulated>"})
+            else:
+                if start + length > len(self.d):
+                    raise ValueError(f"value of {tag_text(tag)} runs past the end of the file")
+                raw = self.d[start:start + length]
+                out.append({"elem_pos": path, "tag": tag_text(tag), "vr": vr or "UN",
+                            "keyword": keyword(tag), "value": _value(vr, raw)})
+                pos = start + length
+            index += 1
+        return pos
+
+    def sequence(self, pos: int, length: int, path: list[int], out: list[dict]) -> int:
+        end = None if length == UNDEFINED else pos + length
+        item = 0
+        while end is None or pos < end:
+            tag, _, ilen, start = self.header(pos)
+            if tag == SEQ_END:
+                return start
+            if tag != ITEM:
+                raise ValueError(f"expected an item at byte {pos}")
+            if ilen == UNDEFINED:
+                pos = self.dataset(start, None, [*path, item], out)
+            else:
+                self.dataset(start, start + ilen, [*path, item], out)
+                pos = start + ilen
+            item += 1
+        return pos
+
+    def skip_items(self, pos: int) -> int:
+        while True:
+            tag, _, length, start = self.header(pos)
+            if tag == SEQ_END:
+                return start
+            pos = start + length
+
+
+def decode_elements(data: bytes) -> list[dict]:
+    """Element dicts (``elem_pos``, ``tag``, ``vr``, ``keyword``, ``value``)
+    of the data set of a DICOM file (the file meta group is read for the
+    transfer syntax only, as data set iteration does not include it)."""
+    if not (len(data) >= 132 and data[128:132] == b"DICM"):
+        raise ValueError("not a DICOM Part-10 file (no 'DICM' prefix after the preamble)")
+    try:
+        meta = _Reader(data, explicit=True)
+        pos, syntax = 132, IMPLICIT_LE
+        while pos + 8 <= len(data) and struct.unpack_from("<H", data, pos)[0] == 0x0002:
+            tag, vr, length, start = meta.header(pos)
+            if tag == (0x0002, 0x0010):
+                syntax = _value(vr, data[start:start + length])
+            pos = start + length
+        if syntax in UNSUPPORTED_SYNTAXES:
+            raise ValueError(f"transfer syntax not supported: {UNSUPPORTED_SYNTAXES[syntax]}")
+        out: list[dict] = []
+        _Reader(data, explicit=(syntax != IMPLICIT_LE)).dataset(pos, len(data), [], out)
+        return out
+    except struct.error as e:
+        raise ValueError(f"truncated DICOM file: {e}") from e

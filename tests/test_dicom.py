@@ -1,0 +1,128 @@
+"""DICOM reader (U2 decoder) and the jobs over real files written here."""
+
+import os
+import struct
+
+import pytest
+
+from cohortlake.operators.headers import header_elements, records_from_elements
+from cohortlake.plans import jobs
+from cohortlake.sources.dicom import decode_elements
+
+LONG = {"OB", "OW", "SQ", "UN", "UT"}
+EXPLICIT, IMPLICIT = "1.2.840.10008.1.2.1", "1.2.840.10008.1.2"
+
+
+def pad(b: bytes, fill: bytes = b" ") -> bytes:
+    return b + (fill if len(b) % 2 else b"")
+
+
+def el(g, e, vr, v: bytes, explicit=True, length=None):
+    n = len(v) if length is None else length
+    tag = struct.pack("<HH", g, e)
+    if not explicit:
+        return tag + struct.pack("<I", n) + v
+    if vr in LONG:
+        return tag + vr.encode() + b"\0\0" + struct.pack("<I", n) + v
+    return tag + vr.encode() + struct.pack("<H", n) + v
+
+
+def text(g, e, vr, s, explicit=True):
+    return el(g, e, vr, pad(s.encode(), b"\0" if vr == "UI" else b" "), explicit)
+
+
+def sequence(g, e, items, explicit=True, undefined=False):
+    body = b""
+    for ds in items:
+        if undefined:
+            body += struct.pack("<HHI", 0xFFFE, 0xE000, 0xFFFFFFFF) + ds + struct.pack("<HHI", 0xFFFE, 0xE00D, 0)
+        else:
+            body += struct.pack("<HHI", 0xFFFE, 0xE000, len(ds)) + ds
+    if undefined:
+        return el(g, e, "SQ", body + struct.pack("<HHI", 0xFFFE, 0xE0DD, 0), explicit, 0xFFFFFFFF)
+    return el(g, e, "SQ", body, explicit)
+
+
+def part10(dataset: bytes, syntax=EXPLICIT) -> bytes:
+    meta = text(0x0002, 0x0010, "UI", syntax)
+    return b"\0" * 128 + b"DICM" + meta + dataset
+
+
+def patient_file(pid="P1", name="Doe^Jane", explicit=True, undefined=False, syntax=EXPLICIT):
+    x = explicit
+    ds = (text(0x0004, 0x1130, "CS", "SET1", x)
+          + text(0x0010, 0x0010, "PN", name, x)
+          + text(0x0010, 0x0020, "LO", pid, x)
+          + text(0x0010, 0x0030, "DA", "19450615", x)
+          + sequence(0x0010, 0x1002, [text(0x0010, 0x0020, "LO", pid + "-OTHER", x)], x, undefined)
+          + el(0x0028, 0x0010, "US", struct.pack("<H", 256), x))
+    return part10(ds, syntax)
+
+
+def test_explicit_defined_lengths():
+    els = decode_elements(patient_file())
+    got = [(e["elem_pos"], e["tag"], e["vr"], e["keyword"], e["value"]) for e in els]
+    assert got == [([0], "(0004,1130)", "CS", "FileSetID", "SET1"),
+                   ([1], "(0010,0010)", "PN", "PatientName", "Doe^Jane"),
+                   ([2], "(0010,0020)", "LO", "PatientID", "P1"),
+                   ([3], "(0010,0030)", "DA", "PatientBirthDate", "19450615"),
+                   ([4], "(0010,1002)", "SQ", "OtherPatientIDsSequence", None),
+                   ([4, 0, 0], "(0010,0020)", "LO", "PatientID", "P1-OTHER"),
+                   ([5], "(0028,0010)", "US", "", "256")]
+
+
+def test_implicit_undefined_lengths_and_encapsulated_pixels():
+    f = patient_file(explicit=False, undefined=True, syntax=IMPLICIT)
+    els = decode_elements(f)
+    assert [e["elem_pos"] for e in els] == [[0], [1], [2], [3], [4], [4, 0, 0], [5]]
+    assert els[4]["vr"] == "SQ" and els[5]["value"] == "P1-OTHER"
+    frag = struct.pack("<HHI", 0xFFFE, 0xE000, 0) + struct.pack("<HHI", 0xFFFE, 0xE000, 4) + b"abcd"
+    pix = el(0x7FE0, 0x0010, "OB", frag + struct.pack("<HHI", 0xFFFE, 0xE0DD, 0), True, 0xFFFFFFFF)
+    els = decode_elements(part10(text(0x0010, 0x0020, "LO", "P2") + pix))
+    assert [e["value"] for e in els] == ["P2", "<encapsulated>"]
+
+
+def test_rejects_non_part10_and_truncated():
+    with pytest.raises(ValueError):
+        decode_elements(b"plain text, not an image")
+    with pytest.raises(ValueError):
+        decode_elements(patient_file()[:-3])
+    with pytest.raises(ValueError):
+        decode_elements(patient_file(syntax="1.2.840.10008.1.2.1.99"))
+
+
+def write(root, rel, data):
+    p = os.path.join(root, rel)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "wb") as f:
+        f.write(data)
+    return p
+
+
+def dicomdir(refs):
+    items = [text(0x0004, 0x1430, "CS", "PATIENT")]
+    items = [items[0]] + [text(0x0004, 0x1430, "CS", "IMAGE") + text(0x0004, 0x1500, "CS", "\\".join(r))
+                          for r in refs]
+    return part10(text(0x0004, 0x1130, "CS", "SET1") + sequence(0x0004, 0x1220, items))
+
+
+def test_index_check_and_tag_report_on_files(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "study")
+    write(d, "DICOM/IM_0001", patient_file("P1"))
+    write(d, "DICOM/IM_0002", patient_file("P2"))
+    write(d, "DICOM/broken.dcm", b"not dicom")
+    index = write(d, "DICOMDIR", dicomdir([("DICOM", "IM_0001"), ("DICOM", "IM_0003")]))
+    elems = header_elements(spark.createDataFrame([(index,)], "path string"), decode_elements)
+    recs = records_from_elements(elems)
+    got = sorted((r["pos"], r["record_type"], tuple(r["referenced_file_id"] or [])) for r in recs.collect())
+    assert got == [(1, "PATIENT", ()), (2, "IMAGE", ("DICOM", "IM_0001")), (3, "IMAGE", ("DICOM", "IM_0003"))]
+    res = jobs.check_manifest(spark, d, recs)
+    st = sorted((r["path"].rsplit("/", 1)[-1], r["status"]) for r in res["status"].collect())
+    assert st == [("IM_0001", "common"), ("IM_0002", "only_on_disk"), ("IM_0003", "only_in_manifest"),
+                  ("broken.dcm", "only_on_disk")]
+    rep = jobs.tag_report(spark, [os.path.join(d, "DICOM")], decode_elements, ["PatientID"], max_files=5)
+    files = [(r["name"], r["status"]) for r in rep["files"].collect()]
+    assert files == [("IM_0001", "ok"), ("IM_0002", "ok"), ("broken.dcm", "error")]
+    lines = [r["text"] for r in rep["lines"].collect()]
+    assert lines == ["(0010,0020) LO: PatientID = P1", "    (0010,0020) LO: PatientID = P1-OTHER",
+                     "(0010,0020) LO: PatientID = P2", "    (0010,0020) LO: PatientID = P2-OTHER"]
