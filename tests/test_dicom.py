@@ -126,3 +126,23 @@ def test_index_check_and_tag_report_on_files(spark, tmp_dir):
     lines = [r["text"] for r in rep["lines"].collect()]
     assert lines == ["(0010,0020) LO: PatientID = P1", "    (0010,0020) LO: PatientID = P1-OTHER",
                      "(0010,0020) LO: PatientID = P2", "    (0010,0020) LO: PatientID = P2-OTHER"]
+
+
+def test_anonymize_job_decodes_planned_files(spark, tmp_dir):
+    inp, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    write(inp, "P1/S1/DICOMDIR", dicomdir([("DICOM", "IM_0001")]))
+    write(inp, "P1/S1/DICOM/IM_0001", patient_file("P1", "Doe^Jane"))
+    write(inp, "P1/S1/DICOM/readme.txt", b"notes")
+    ids = os.path.join(tmp_dir, "ids.csv")
+    with open(ids, "w") as f:
+        f.write("P1,NEW1\n")
+    res = jobs.anonymize(spark, inp, ids, out, decoder=decode_elements)
+    rows = {(r["file_path"].rsplit("/", 1)[-1], r["keyword"], r["depth"]): r["value"]
+            for r in res["elements"].collect()}
+    assert rows[("IM_0001", "PatientName", 0)] == "NEW1"
+    assert rows[("IM_0001", "PatientBirthDate", 0)] == "19450101"
+    assert ("IM_0001", "PatientID", 0) not in rows and ("IM_0001", "FileSetID", 0) not in rows
+    assert rows[("IM_0001", "PatientID", 1)] == "P1-OTHER"          # nested: left, and audited
+    assert ("DICOMDIR", "FileSetID", 0) not in rows
+    assert res["nested_audit"].count() == 1
+    assert all("/NEW1/S1/" in r["target"] for r in res["elements"].collect())
