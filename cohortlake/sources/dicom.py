@@ -171,3 +171,58 @@ def decode_elements(data: bytes) -> list[dict]:
         return out
     except struct.error as e:
         raise ValueError(f"truncated DICOM file: {e}") from e
+
+
+EXPLICIT_LE = "1.2.840.10008.1.2.1"
+
+
+def _parse_tag(text: str) -> tuple[int, int]:
+    g, e = text.strip("()").split(",")
+    return int(g, 16), int(e, 16)
+
+
+def _encode_value(vr: str, value) -> bytes:
+    if vr in NUMBER_VRS:
+        vals = [] if value in (None, "") else str(value).split("\\")
+        fmt = NUMBER_VRS[vr]
+        cast = float if fmt in "fd" else int
+        return struct.pack("<" + fmt * len(vals), *[cast(v) for v in vals])
+    raw = ("" if value is None else str(value)).encode("latin-1")
+    return raw + ((b"\0" if vr == "UI" else b" ") if len(raw) % 2 else b"")
+
+
+def _encode_level(elems: list[dict], prefix: list[int], explicit: bool) -> bytes:
+    n = len(prefix)
+    level = sorted((e for e in elems if len(e["elem_pos"]) == n + 1 and list(e["elem_pos"][:n]) == prefix),
+                   key=lambda e: e["elem_pos"][-1])
+    out = b""
+    for el in level:
+        g, e = _parse_tag(el["tag"])
+        vr = el["vr"]
+        if vr == "SQ":
+            p = list(el["elem_pos"])
+            items = sorted({x["elem_pos"][n + 1] for x in elems
+                            if len(x["elem_pos"]) > n + 2 and list(x["elem_pos"][:n + 1]) == p})
+            value = b""
+            for i in items:
+                ds = _encode_level(elems, [*p, i], explicit)
+                value += struct.pack("<HHI", 0xFFFE, 0xE000, len(ds)) + ds
+        else:
+            value = _encode_value(vr, el.get("value"))
+        tag = struct.pack("<HH", g, e)
+        if not explicit:
+            out += tag + struct.pack("<I", len(value)) + value
+        elif vr in LONG_VRS:
+            out += tag + vr.encode() + b"\0\0" + struct.pack("<I", len(value)) + value
+        else:
+            out += tag + vr.encode() + struct.pack("<H", len(value)) + value
+    return out
+
+
+def encode_elements(elems: list[dict], syntax: str = EXPLICIT_LE) -> bytes:
+    """A Part-10 file holding the given element dicts (the reader's format;
+    sequences with defined lengths).  Used to write sample files from table
+    rows and in tests; ``decode_elements`` reads it back."""
+    meta_value = _encode_value("UI", syntax)
+    meta = struct.pack("<HH", 0x0002, 0x0010) + b"UI" + struct.pack("<H", len(meta_value)) + meta_value
+    return b"\0" * 128 + b"DICM" + meta + _encode_level(elems, [], syntax != IMPLICIT_LE)

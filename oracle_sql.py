@@ -525,3 +525,7 @@ SELECT e.file_path, e.subject, e.sort_key, e.depth, e.tag, e.vr, e.keyword,
 FROM elements e JOIN ids i ON e.subject = i.old_id
 WHERE e.keyword NOT IN ('PatientID', 'FileSetID')
 """
+
+ORACLE["dicom_headers"] = _with(ELEMENTS) + r"""
+SELECT subject, sort_key, depth, tag, vr, keyword, value FROM elements
+"""

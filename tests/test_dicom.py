@@ -146,3 +146,35 @@ def test_anonymize_job_decodes_planned_files(spark, tmp_dir):
     assert ("DICOMDIR", "FileSetID", 0) not in rows
     assert res["nested_audit"].count() == 1
     assert all("/NEW1/S1/" in r["target"] for r in res["elements"].collect())
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from cohortlake.sources.dicom import encode_elements  # noqa: E402
+
+_text = st.text(alphabet="ABCDEFGHIJ^0123456789", max_size=12)
+
+
+@st.composite
+def element_trees(draw, depth=0):
+    n = draw(st.integers(1, 4))
+    out, tags = [], sorted(draw(st.sets(st.integers(0x0010, 0x0FFF), min_size=n, max_size=n)))
+    for i, t in enumerate(tags):
+        if depth < 2 and draw(st.booleans()) and i == len(tags) - 1:
+            out.append({"elem_pos": [i], "tag": f"(0011,{t:04X})", "vr": "SQ", "keyword": "", "value": None})
+            for item in range(draw(st.integers(1, 2))):
+                for kid in draw(element_trees(depth=depth + 1)):
+                    out.append({**kid, "elem_pos": [i, item, *kid["elem_pos"]]})
+        else:
+            out.append({"elem_pos": [i], "tag": f"(0011,{t:04X})", "vr": "LO", "keyword": "",
+                        "value": draw(_text).rstrip(" ")})
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(element_trees())
+def test_encode_decode_roundtrip(els):
+    back = decode_elements(encode_elements(els))
+    key = lambda e: e["elem_pos"]
+    assert sorted(back, key=key) == sorted(els, key=key)
