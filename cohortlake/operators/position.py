@@ -231,7 +231,12 @@ def first_k_per_group(df: DataFrame, group_cols: Sequence, order_cols: Sequence,
                       rank_col: str | None = None) -> DataFrame:
     """Rows ranked 1..k per group.  ``row_number() <= k`` lets Spark put a
     partial WindowGroupLimit before the shuffle, so a hot group sends at most
-    k rows per map task."""
+    k rows per map task.  Spark does so only for k up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger k raises it."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if k > int(conf.get(key, "1000")):
+        conf.set(key, str(k))
     rn = F.row_number().over(Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols)))
     name = rank_col or "_rank"
     out = df.withColumn(name, rn).filter(F.col(name) <= k)

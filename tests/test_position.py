@@ -121,3 +121,10 @@ def test_hot_group_is_spread_over_tasks(spark):
     per_part = seg.filter(F.col("g") == "hot").groupBy("_pid").count().collect()
     assert len(per_part) >= 2
     assert max(r["count"] for r in per_part) < 2000  # no task holds the whole group
+
+
+def test_partial_limit_kept_for_large_k(spark):
+    df = skewed(spark)
+    out = first_k_per_group(df, ["g"], ["t", "id"], 1500)
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == df.count()      # every group is smaller than k here
