@@ -66,8 +66,9 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
     written.  Actions: ``anonymize`` (DICOMDIR and DICOM-named files below
     ``DICOM/``), ``copy`` (other files below ``DICOM/``, unchanged),
     ``skip_no_subject`` (map entry without a folder), ``skip_exists``
-    (session already in the output), ``warn_no_dicomdir``, ``warn_no_dicom``.
-    Folders without a map entry are not touched."""
+    (session already in the output), ``warn_no_dicomdir``, ``warn_no_dicom``,
+    ``not_mapped`` (a session of a folder without a map entry: reported,
+    never touched)."""
     src = _parts(input_files, input_root)
     ids = id_map.select("old_id", "new_id")
     done = (_parts(output_files, output_root)
@@ -89,6 +90,7 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
 
     # session-level rows and map entries without a folder, in one pass
     acts = F.filter(F.array(
+        F.when(~mapped & has_session, F.lit("not_mapped")),
         F.when(mapped & ~has_session, F.lit("skip_no_subject")),
         F.when(mapped & has_session & F.col("_done"), F.lit("skip_exists")),
         F.when(live & ~F.col("has_dicomdir"), F.lit("warn_no_dicomdir")),

@@ -484,6 +484,9 @@ SELECT old_id, new_id, CAST(NULL AS VARCHAR) AS session, CAST(NULL AS VARCHAR) A
        CAST(NULL AS VARCHAR) AS target, 'skip_no_subject' AS action
 FROM ids WHERE NOT EXISTS (SELECT 1 FROM tree t WHERE t.old_id = ids.old_id)
 UNION ALL
+SELECT old_id, CAST(NULL AS VARCHAR), session, 'input/' || old_id || '/' || session, NULL, 'not_mapped'
+FROM flags f WHERE NOT EXISTS (SELECT 1 FROM ids i WHERE i.old_id = f.old_id)
+UNION ALL
 SELECT old_id, new_id, session, 'input/' || old_id || '/' || session, 'output/' || new_id || '/' || session,
        'skip_exists' FROM ex
 UNION ALL

@@ -96,14 +96,16 @@ def test_anonymize_plan(spark, tmp_dir):
         ("S1", "DICOMDIR", "anonymize"),
         ("S1", "IM_0001", "anonymize"),
         ("S1", "IM_0002", "anonymize"),
+        ("S1", "S1", "not_mapped"),
         ("S1", "readme.txt", "copy"),
         ("S2", "IM_0003", "anonymize"),
         ("S2", "S2", "warn_no_dicomdir"),
         ("S3", "S3", "skip_exists")]
     names = {(r["session"], r["action"]) for r in rows}
     assert ("S3", "skip_exists") in names and ("S2", "warn_no_dicomdir") in names
-    assert ("S1", "copy") in names and all(r["old_id"] != "P9" for r in rows)
-    assert {r["new_id"] for r in rows} == {"N1", "N5"}
+    assert ("S1", "copy") in names
+    assert {r["action"] for r in rows if r["old_id"] == "P9"} == {"not_mapped"}
+    assert {r["new_id"] for r in rows} == {"N1", "N5", None}
     tgt = [r["target"] for r in rows if r["action"] == "anonymize" and r["source"].endswith("IM_0002")][0]
     assert tgt.endswith("/N1/S1/DICOM/a/IM_0002")
 
