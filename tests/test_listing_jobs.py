@@ -101,6 +101,8 @@ def test_anonymize_plan(spark, tmp_dir):
         ("S2", "IM_0003", "anonymize"),
         ("S2", "S2", "warn_no_dicomdir"),
         ("S3", "S3", "skip_exists")]
+    summary = {r["action"]: r["n"] for r in res["summary"].collect()}
+    assert summary["copy"] == 1 and summary["anonymize"] == 4
     names = {(r["session"], r["action"]) for r in rows}
     assert ("S3", "skip_exists") in names and ("S2", "warn_no_dicomdir") in names
     assert ("S1", "copy") in names
