@@ -152,8 +152,14 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
         items.append(item(F.col(f"_g{i}") == 0, label, F.col("_n") / total))
     long = (g.select(split_col, F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("m"))
             .select(split_col, "m.metric", "m.value"))
-    gaps = (long.groupBy("metric")
-            .agg((F.max("value") - F.min("value")).alias("value"))
-            .select(F.lit("max_gap").alias(split_col), "metric", "value"))
-    return (long.unionByName(gaps)
-            .select(split_col, "metric", F.round("value", digits).alias("value")))
+    # the gap rows come from windows over this small table in the same chain
+    # (a union with an aggregate of it would plan the input twice)
+    w = Window.partitionBy("metric")
+    long = (long.withColumn("_gap", F.max("value").over(w) - F.min("value").over(w))
+                .withColumn("_first", F.row_number().over(w.orderBy(split_col)) == 1))
+    rows = F.array(
+        F.struct(F.col(split_col).alias(split_col), F.col("metric"), F.col("value")),
+        F.when(F.col("_first"), F.struct(F.lit("max_gap").alias(split_col), F.col("metric"),
+                                         F.col("_gap").alias("value"))))
+    out = long.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("r")).select("r.*")
+    return out.select(split_col, "metric", F.round("value", digits).alias("value"))
