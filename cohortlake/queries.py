@@ -304,7 +304,8 @@ def max_files_per_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tree_top4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record tree with the first four images per level."""
-    return elements.tree_listing(demo.dicomdir_records(spark, sf_dir))
+    # records feed two branches (images, other records): numbered once
+    return elements.tree_listing(materialize(demo.dicomdir_records(spark, sf_dir)))
 
 
 @query
