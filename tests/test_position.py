@@ -128,3 +128,16 @@ def test_partial_limit_kept_for_large_k(spark):
     out = first_k_per_group(df, ["g"], ["t", "id"], 1500)
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == df.count()      # every group is smaller than k here
+
+
+def test_checkpoint_goes_to_the_configured_shared_folder(spark):
+    import glob
+    import os
+    from cohortlake.session import checkpoint_base, shared_dir
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert checkpoint_base(spark) == base
+    before = set(glob.glob(os.path.join(base, "**", "rdd-*"), recursive=True))
+    with_position(skewed(spark), ["t", "id"], pos_col="pos").count()      # global: ranged path
+    after = set(glob.glob(os.path.join(base, "**", "rdd-*"), recursive=True))
+    assert after - before                                                 # a reliable checkpoint was written there
+    assert shared_dir(spark, "x").startswith(base.rstrip("/") + "/tables/")
