@@ -14,11 +14,35 @@ def op2_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    from cohortlake.llm.suffix_dedup import remove_repeated_bytes
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), window=50)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_decontamination(spark, sf_dir):
+    from cohortlake.llm.decontaminate import contamination
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_substring_dedup(spark, sf_dir):
     from cohortlake.llm.rlz import remove_repeated_passages
     out = remove_repeated_passages(table(spark, sf_dir, "documents"), window=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op7_substring_dedup)}
+def op10_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from cohortlake.llm.bpe import encode, read_ranks
+    out = encode(table(spark, sf_dir, "documents"),
+                 read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash, op4_suffix_dedup, op6_decontamination, op7_substring_dedup, op10_bpe)}
 ORACLE = {}
