@@ -28,7 +28,7 @@ from cohortlake.llm.common import ready
 LONG = 64
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
-#: Above every rank; the product with 2 * LONG fits an int.
+#: Above every rank.
 NO_RANK = 1 << 23
 
 
@@ -83,29 +83,42 @@ class Vocabulary:
     @staticmethod
     def rank(v: Column, piece: Column) -> Column:
         def places(p, h):
-            at = (x.bitwiseAND(F.lit(SLOTS - 1)).cast("int") for x in (h, F.shiftrightunsigned(h, SLOT_BITS)))
-            return F.get(F.filter(F.array(*[F.get(v["slots"], x) for x in at]), lambda r: F.get(v["pieces"], r) == p), F.lit(0))
+            first, second = (F.get(v["slots"], x.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
+                             for x in (h, F.shiftrightunsigned(h, SLOT_BITS)))
+            return (F.when(F.get(v["pieces"], first) == p, first)
+                    .when(F.get(v["pieces"], second) == p, second).otherwise(F.lit(NO_RANK)))
         return let(piece, lambda p: let(F.xxhash64(p), lambda h: places(p, h)))
 
     @classmethod
     def encode(cls, v: Column, word: Column) -> Column:
-        """Ids of one word (a binary of at most LONG bytes), by folding ranked merges."""
-        def merged(parts):
-            pair = lambda i: F.concat(F.get(parts, i - 1), F.get(parts, i))
-            # rank and place of a pair in one number
-            best = F.array_min(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: (
-                F.coalesce(cls.rank(v, pair(i)), F.lit(NO_RANK)) * (2 * LONG) + i)))
-
-            def join(b):
-                i = b.bitwiseAND(F.lit(2 * LONG - 1))
-                return F.when(b >= NO_RANK * 2 * LONG, parts).otherwise(F.concat(
-                    F.slice(parts, F.lit(1), i - 1), F.array(pair(i)), F.slice(parts, i + 2, F.size(parts))))
-            return F.when(F.size(parts) < 2, parts).otherwise(let(best, join))
-
+        """Ids of one word (a binary of at most LONG bytes), by folding ranked merges.
+
+        The fold's state has the parts and the ranks of adjacent pairs, so that a
+        merge looks up its two new pairs only."""
+        def merged(state):
+            parts, ranks = state["parts"], state["ranks"]
+
+            def join(i):
+                new = F.concat(F.get(parts, i - 1), F.get(parts, i))
+                return let(new, lambda p: F.struct(
+                    F.concat(F.slice(parts, F.lit(1), i - 1), F.array(p), F.slice(parts, i + 2, F.size(parts))).alias("parts"),
+                    F.concat(
+                        F.when(i < 2, none).otherwise(F.concat(
+                            F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), F.array(cls.rank(v, F.concat(F.get(parts, i - 2), p))))),
+                        F.when(i >= F.size(ranks), none).otherwise(F.concat(
+                            F.array(cls.rank(v, F.concat(p, F.get(parts, i + 1)))), F.slice(ranks, i + 2, F.size(parts))))).alias("ranks")))
+            return let(F.array_min(ranks), lambda least: F.when(F.coalesce(least, F.lit(NO_RANK)) >= NO_RANK, state)
+                       .otherwise(let(F.array_position(ranks, least).cast("int"), join)))
+
+        none = F.array().cast("array<int>")
         size = F.octet_length(word)
         single = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
-        parts = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), single, lambda acc, _: merged(acc))
-        return let(cls.rank(v, word), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(
+        pairs = F.when(size < 2, none).otherwise(F.transform(
+            F.sequence(F.lit(1), size - 1), lambda i: cls.rank(v, F.substring(word, i, F.lit(2)))))
+        state = F.struct(single.alias("parts"), pairs.alias("ranks"))
+        parts = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), state, lambda acc, _: merged(acc),
+                            lambda acc: acc["parts"])
+        return let(cls.rank(v, word), lambda r: F.when(r < NO_RANK, F.array(r)).otherwise(
             F.transform(parts, lambda p: cls.rank(v, p))))
 
     @staticmethod

@@ -33,7 +33,7 @@ from cohortlake.llm.common import blocks_for, ready, text_size
 from cohortlake.llm.phrases import Phrases
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Stands for a null doc_id: after all others, equal to itself.
 NO_ID = np.iinfo(np.int64).max
 LOW48 = np.uint64((1 << 48) - 1)
