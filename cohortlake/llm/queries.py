@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 from cohortlake.llm.common import table
 
 
+def op1_pii(spark, sf_dir):
+    from cohortlake.llm.pii import pseudonymize
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_simhash(spark, sf_dir):
     from cohortlake.llm.simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op3_quality_classifier(spark, sf_dir):
+    from cohortlake.llm.quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("copy")
+
+
 def op4_suffix_dedup(spark, sf_dir):
     from cohortlake.llm.suffix_dedup import remove_repeated_bytes
     out = remove_repeated_bytes(table(spark, sf_dir, "documents"), window=50)
@@ -21,6 +31,11 @@ def op4_suffix_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quotation_linking(spark, sf_dir):
+    from cohortlake.llm.quotes import link_quotations
+    return link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op6_decontamination(spark, sf_dir):
     from cohortlake.llm.decontaminate import contamination
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -34,6 +49,18 @@ def op7_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_license_scan(spark, sf_dir):
+    from cohortlake.llm.licenses import scan
+    return scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op9_quality_rules(spark, sf_dir):
+    from cohortlake.llm.rules import apply_rules
+    return (apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept", "rule"))
+
+
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -44,5 +71,7 @@ def op10_bpe(spark, sf_dir):
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_suffix_dedup, op6_decontamination, op7_substring_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality_classifier, op4_suffix_dedup,
+                                     op5_quotation_linking, op6_decontamination, op7_substring_dedup,
+                                     op8_license_scan, op9_quality_rules, op10_bpe)}
 ORACLE = {}
