@@ -96,7 +96,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int, doc_id: str, text: st
         sure = np.abs(odds) >= np.maximum(STRONG, SURE * np.sqrt(1 / (bad + .5) + 1 / (fine + .5)))
         odds = np.where((bad + fine >= LEAST) & sure & (feature >= 0), np.clip(odds, -BOUND, BOUND), 0)
         weights[k, feature[feature >= 0]] = odds[feature >= 0]
-        priors.append(math.log((all_bad + 1) / (all_fine + 1)))
+        # one document in a hundred is taken to be bad before any label is seen
+        priors.append(math.log((all_bad + .01) / (all_fine + .99)))
     return weights, priors
 
 
