@@ -26,8 +26,14 @@ def select_tags_top_level(elements: DataFrame, tag_list: Iterable[str] | None,
 
 def position_key(col: str = "elem_pos", width: int = 6) -> Column:
     """Text that sorts like the position path (pre-order: parent, then its
-    items' elements)."""
-    return F.array_join(F.transform(F.col(col), lambda x: F.lpad(x.cast("string"), width, "0")), ".")
+    items' elements).  A number of more digits than ``width`` comes after all
+    shorter ones, by its digit count, and is never cut."""
+    def part(x):
+        text = x.cast("string")
+        size = F.length(text)
+        return F.when(size <= width, F.lpad(text, width, "0")).otherwise(
+            F.concat(F.lit("~"), F.lpad(size.cast("string"), 2, "0"), text))
+    return F.array_join(F.transform(F.col(col), part), ".")
 
 
 def report_lines(elements: DataFrame, tag_list: Iterable[str] | None,
@@ -35,8 +41,9 @@ def report_lines(elements: DataFrame, tag_list: Iterable[str] | None,
     """One text line per matching element, indented 4 spaces per depth;
     ``sort_key`` orders the lines of a file."""
     m = select_tags(elements, tag_list, all_tags)
-    text = F.concat(F.repeat(F.lit(" "), F.col("depth") * 4), F.col("tag"), F.lit(" "), F.col("vr"),
-                    F.lit(": "), F.col("keyword"), F.lit(" = "), F.coalesce(F.col("value"), F.lit("")))
+    known = lambda c: F.coalesce(F.col(c), F.lit(""))  # noqa: E731  private tags have no keyword
+    text = F.concat(F.repeat(F.lit(" "), F.coalesce(F.col("depth"), F.lit(0)) * 4), known("tag"), F.lit(" "), known("vr"),
+                    F.lit(": "), known("keyword"), F.lit(" = "), known("value"))
     return m.select("file_path", position_key().alias("sort_key"), text.alias("text"))
 
 

@@ -20,7 +20,7 @@ DEFAULT_SEED = 22
 def check_fractions(train: float, val: float) -> None:
     """``0.5 < train + val < 1`` (both strict)."""
     if not 0.5 < train + val < 1:
-        raise ValueError("Invalid split fractions. Must sum to less than 1 and more than 0.5")
+        raise ValueError(f"train + val is {train + val:g}; it has to lie between 0.5 and 1")
 
 
 def subject_hash(key: str, seed: int = DEFAULT_SEED) -> Column:

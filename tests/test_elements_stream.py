@@ -94,3 +94,14 @@ def test_peak_stream_incremental_restart(spark, tmp_dir):
     got = run()   # resumes from the checkpoint: only the new file is read
     exp = peak.peak_aggregate(spark.createDataFrame(all_rows, schema), order_cols=("ts",))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_report_positions_beyond_six_digits_and_missing_keywords(spark):
+    from cohortlake.operators.elements import report_lines
+    places = [100000, 999999, 1000000, 1000001, 12345678]
+    df = spark.createDataFrame([("f", [p], 0, "(0009,0010)", None, None, None) for p in places],
+                               "file_path string, elem_pos array<int>, depth int, tag string, vr string, keyword string, value string")
+    rows = report_lines(df, None, all_tags=True).orderBy("sort_key").collect()
+    assert len({r.sort_key for r in rows}) == len(places) and all(r.text is not None for r in rows)
+    keyed = sorted((r.sort_key for r in rows))
+    assert keyed == [r.sort_key for r in rows] and keyed[2].endswith("1000000") and keyed[4].endswith("12345678")
