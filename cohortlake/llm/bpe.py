@@ -1,12 +1,11 @@
 """Byte-level BPE encoding and decoding.
 
-Spark cuts texts into words by the vocabulary's pattern.  Each block of
-documents keeps its distinct words once, with word numbers for its documents;
-higher-order functions encode those words: bytes become an array of one-byte
-binaries, and a fold merges the adjacent pair of lowest rank, leftmost first,
-until no pair has a rank.  Ranks and pieces are one literal: a hash table of
-ranks, checked against an array of pieces by id.  Decoding concatenates pieces.  The
-documents' ids are then read off the block's words; nothing is shuffled.
+Spark deals out the documents; each task cuts whole texts into words by the
+vocabulary's pattern and encodes the distinct words it meets: arrays of their
+bytes fold by ranked merges, in every word the adjacent pair of lowest rank first
+(leftmost among equals), until no pair has a rank.  A document's ids are its
+words' ids in order.  Decoding looks the ids up and concatenates their binary
+pieces.  Nothing is shuffled.
 
 The fold takes time in the square of a word's length.  Words over ``LONG`` bytes
 (unbroken runs of one character class) take the same merges with a heap.
@@ -14,22 +13,23 @@ The fold takes time in the square of a word's length.  Words over ``LONG`` bytes
 
 from __future__ import annotations
 
+import base64
 import heapq
-import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm import arrays as A
 from cohortlake.llm.common import ready
 
 LONG = 64
-SLOT_BITS = 18
-SLOTS = 1 << SLOT_BITS
 #: Above every rank.
-NO_RANK = 1 << 23
+NO_RANK = 1 << 32
+#: Distinct words that a task remembers before it starts anew.
+REMEMBERED = 1 << 19
+#: Characters of text that a task encodes at once; a longer text is one step.
+STEP = 4 << 20
 
 
 def read_ranks(path: str) -> list[tuple[str, int]]:
@@ -38,99 +38,6 @@ def read_ranks(path: str) -> list[tuple[str, int]]:
         return [(a, int(b)) for a, b in (line.split() for line in f if line.strip())]
 
 
-def _literal(value, schema: str) -> Column:
-    """A constant of any type, by way of JSON (binaries in base64)."""
-    return F.from_json(F.lit(json.dumps(value)), schema)
-
-
-def slots(ranks: dict[bytes, int]) -> list[int]:
-    """A hash table of ranks with two places a piece (-1: empty)."""
-    import xxhash
-    places = {}
-    for piece, r in ranks.items():
-        h = xxhash.xxh64_intdigest(piece, 42)
-        places[r] = (h % SLOTS, (h >> SLOT_BITS) % SLOTS)
-    out = [-1] * SLOTS
-    for r in places:
-        at = places[r][0]
-        for _ in range(1000):
-            r, out[at] = out[at], r
-            if r < 0:
-                break
-            at = places[r][places[r][0] == at]
-        else:
-            raise ValueError("the vocabulary is too large for the rank table")
-    return out
-
-
-def let(value: Column, f) -> Column:
-    """f(value) with the value computed once inside a higher-order function."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
-class Vocabulary:
-    """The rank map and the pieces by id as one literal, ``self.literal``; the other
-    methods take it as a column, bound once for all words of a block."""
-
-    def __init__(self, ranks: list[tuple[str, int]]):
-        import base64
-        self.ranks = {base64.b64decode(p): r for p, r in ranks}
-        by_id = {r: p for p, r in ranks}
-        pieces = [by_id.get(i) for i in range(max(by_id, default=0) + 1)]
-        self.literal = _literal([{"slots": slots(self.ranks), "pieces": pieces}],
-                                "array<struct<slots:array<int>,pieces:array<binary>>>")
-
-    @staticmethod
-    def rank(v: Column, piece: Column) -> Column:
-        def places(p, h):
-            first, second = (F.get(v["slots"], x.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
-                             for x in (h, F.shiftrightunsigned(h, SLOT_BITS)))
-            return (F.when(F.get(v["pieces"], first) == p, first)
-                    .when(F.get(v["pieces"], second) == p, second).otherwise(F.lit(NO_RANK)))
-        return let(piece, lambda p: let(F.xxhash64(p), lambda h: places(p, h)))
-
-    @classmethod
-    def encode(cls, v: Column, word: Column) -> Column:
-        """Ids of one word (a binary of at most LONG bytes), by folding ranked merges.
-
-        The fold's state has the parts and the ranks of adjacent pairs, so that a
-        merge looks up its two new pairs only."""
-        def merged(state):
-            parts, ranks = state["parts"], state["ranks"]
-
-            def join(i):
-                new = F.concat(F.get(parts, i - 1), F.get(parts, i))
-                return let(new, lambda p: F.struct(
-                    F.concat(F.slice(parts, F.lit(1), i - 1), F.array(p), F.slice(parts, i + 2, F.size(parts))).alias("parts"),
-                    F.concat(
-                        F.when(i < 2, none).otherwise(F.concat(
-                            F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), F.array(cls.rank(v, F.concat(F.get(parts, i - 2), p))))),
-                        F.when(i >= F.size(ranks), none).otherwise(F.concat(
-                            F.array(cls.rank(v, F.concat(p, F.get(parts, i + 1)))), F.slice(ranks, i + 2, F.size(parts))))).alias("ranks")))
-            return let(F.array_min(ranks), lambda least: F.when(F.coalesce(least, F.lit(NO_RANK)) >= NO_RANK, state)
-                       .otherwise(let(F.array_position(ranks, least).cast("int"), join)))
-
-        none = F.array().cast("array<int>")
-        size = F.octet_length(word)
-        single = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
-        pairs = F.when(size < 2, none).otherwise(F.transform(
-            F.sequence(F.lit(1), size - 1), lambda i: cls.rank(v, F.substring(word, i, F.lit(2)))))
-        state = F.struct(single.alias("parts"), pairs.alias("ranks"))
-        parts = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), state, lambda acc, _: merged(acc),
-                            lambda acc: acc["parts"])
-        return let(cls.rank(v, word), lambda r: F.when(r < NO_RANK, F.array(r)).otherwise(
-            F.transform(parts, lambda p: cls.rank(v, p))))
-
-    @staticmethod
-    def decode(v: Column, ids: Column) -> Column:
-        """Bytes of the ids of one word."""
-        return F.aggregate(ids, F.lit(b"").cast("binary"), lambda acc, i: F.concat(acc, F.get(v["pieces"], i)))
-
-    def for_each(self, values: Column, f) -> Column:
-        """f(vocabulary, value) of every value of an array."""
-        return F.get(F.transform(self.literal, lambda v: F.transform(values, lambda x: f(v, x))), F.lit(0))
-
-
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of a long word: the same merges, the next pair from a heap."""
     if word in ranks:
@@ -163,61 +70,101 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def gather(batches):
-    """One row a batch: its documents, their word numbers, its distinct words."""
-    for batch in batches:
-        words = batch.column(1)
-        text = words.flatten().dictionary_encode()
-        yield pa.RecordBatch.from_arrays([
-            pa.array([batch.column(0)], pa.list_(pa.int64())),
-            pa.array([np.diff(words.offsets.to_numpy())], pa.list_(pa.int32())),
-            pa.array([text.indices], pa.list_(pa.int32())),
-            pa.array([text.dictionary.cast(pa.binary())], pa.list_(pa.binary())),
-        ], ["doc_id", "n", "word", "words"])
-
-
-def scatter(ranks: dict[bytes, int]):
-    """Documents with their ids and decoded bytes, from encoded blocks."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
-
-    def flat(rows: list) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([np.zeros(0, np.uint32), *rows]), np.cumsum([0] + [len(x) for x in rows])
+class Merges:
+    """Ranked merges of many words at once.
+
+    ``pairs`` has the rank of every two pieces that make a third, in key order."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        pairs = sorted((ranks[p[:k]] << 32 | ranks[p[k:]], r) for p, r in ranks.items()
+                       for k in range(1, len(p)) if p[:k] in ranks and p[k:] in ranks)
+        self.pairs, self.made = np.array(pairs or [(0, NO_RANK)], np.int64).T.copy()
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)])
+        self.two = self.rank(*np.meshgrid(self.byte, self.byte, indexing="ij"))
+
+    def rank(self, a, b):
+        """Ranks of adjacent parts by their ids (-1: no part)."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.made[at], NO_RANK)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every word, as little-endian unsigned 32-bit integers."""
+        out = [None if w not in self.ranks else np.array(self.ranks[w], "<u4").tobytes() for w in words]
+        length = np.array([0 if o else len(w) for w, o in zip(words, out)], int)
+        for i in np.flatnonzero(length > LONG).tolist():
+            out[i] = np.array(merge_long(words[i], self.ranks), "<u4").tobytes()
+        for width in (8, 16, 32, LONG):
+            rows = np.flatnonzero((length > (width // 2 if width > 8 else 0)) & (length <= width))
+            if len(rows):
+                self._fold(words, out, rows, length[rows], width)
+        return out
+
+    def _fold(self, words, out, rows, length, width):
+        """Each step merges in every word its pair of lowest rank, the leftmost
+        among equals; words without one are done."""
+        held = np.arange(width) < length[:, None]
+        text = np.zeros((len(rows), width), np.uint8)
+        text[held] = np.frombuffer(b"".join([words[i] for i in rows.tolist()]), np.uint8)
+        ids = np.where(held, self.byte[text], -1)
+        pairs = np.where(held[:, 1:], self.two[text[:, :-1], text[:, 1:]], NO_RANK)
+        while len(rows):
+            least = pairs.min(axis=1, initial=NO_RANK)
+            done = least == NO_RANK
+            if done.any():
+                ended = ids[done]
+                raw = ended[ended >= 0].astype("<u4").tobytes()
+                to = (np.cumsum((ended >= 0).sum(axis=1)) * 4).tolist()
+                for i, a, b in zip(rows[done].tolist(), [0, *to], to):
+                    out[i] = raw[a:b]
+                rows, ids, pairs, least = rows[~done], ids[~done], pairs[~done], least[~done]
+                if not len(rows):
+                    break
+            at, every = pairs.argmin(axis=1), np.arange(len(rows))
+            ids[every, at] = least
+            place = np.arange(ids.shape[1])
+            ids = np.where(place[:-1] <= at[:, None], ids[:, :-1], ids[:, 1:])
+            pairs = np.where(place[:-2] < at[:, None], pairs[:, :-1], pairs[:, 1:])
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < pairs.shape[1])
+            pairs[left, at[left] - 1] = self.rank(ids[left, at[left] - 1], least[left])
+            pairs[right, at[right]] = self.rank(least[right], ids[right, at[right] + 1])
+
+
+def coder(merges: Merges, pattern: str):
+    """Batches of (doc_id, text) -> batches of ``encode``'s columns."""
+    names = ["doc_id", "n_tokens", "ids", "decoded"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
+        import regex
+        cut = regex.compile(pattern).findall
+        pieces = {r: p for p, r in merges.ranks.items()}
+        known = {}
+
+        def block(docs, texts):
+            nonlocal known
+            cuts = [cut(t) for t in texts]
+            if len(known) >= REMEMBERED:
+                known = {}
+            new = list({w for words in cuts for w in words if w not in known})
+            known.update(zip(new, merges.encode([w.encode() for w in new])))
+            ids = [b"".join([known[w] for w in words]) for words in cuts]
+            decoded = [b"".join([pieces[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in ids]
+            columns = docs, [len(x) // 4 for x in ids], ids, decoded
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                doc, n, word, words, ids, decoded = (c.slice(row, 1).flatten() for c in batch.columns)
-                values, starts = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-                lengths = np.diff(starts)
-                data, places = A.text_bytes(decoded.cast(pa.large_binary()))
-                places = places.copy()
-                if ids.null_count:
-                    tail, more = [values], [data]
-                    starts, lengths, sizes = starts[:-1].copy(), lengths.copy(), np.diff(places)
-                    begin, at, to = places[:-1].copy(), len(values), len(data)
-                    for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)):
-                        own = np.array(merge_long(w := words[int(i)].as_py(), ranks), values.dtype)
-                        starts[i], lengths[i], begin[i], sizes[i] = at, len(own), to, len(w)
-                        tail.append(own)
-                        back = {r: p for p, r in ranks.items()} if len(tail) == 2 else back
-                        more.append(np.frombuffer(b"".join(back[x] for x in own.tolist()), np.uint8))
-                        at, to = at + len(own), to + len(w)
-                    values, data = np.concatenate(tail), np.concatenate(more)
-                else:
-                    starts, begin, sizes = starts[:-1], places[:-1], np.diff(places)
-                word, n = word.to_numpy(), np.append(0, np.cumsum(n.to_numpy(), dtype=np.int64))
-                tokens = np.append(0, np.cumsum(lengths[word], dtype=np.int64))[n]
-                size = np.append(0, np.cumsum(sizes[word], dtype=np.int64))[n]
-                # a few documents at once, so that one block's output is never whole in memory
-                for i, j in A.chunks(size, 4 << 20):
-                    own = word[n[i]:n[j]]
-                    out = values[A.ranges(starts[own].astype(np.int64), lengths[own].astype(np.int64))].astype("<u4")
-                    text = data[A.ranges(begin[own].astype(np.int64), sizes[own].astype(np.int64))]
-                    cut = lambda at, b, w: pa.Array.from_buffers(
-                        pa.binary(), j - i, [None, pa.py_buffer(((at[i:j + 1] - at[i]) * w).astype(np.int32)), pa.py_buffer(b)])
-                    yield pa.RecordBatch.from_arrays(
-                        [doc.slice(i, j - i), pa.array(np.diff(tokens[i:j + 1])), cut(tokens, out, 4), cut(size, text, 1)],
-                        schema=schema)
+            docs, texts, size = [], [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                docs.append(doc)
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= STEP:
+                    yield block(docs, texts)
+                    docs, texts, size = [], [], 0
+            if docs:
+                yield block(docs, texts)
     return run
 
 
@@ -232,12 +179,6 @@ def encode(docs: DataFrame, ranks: list[tuple[str, int]], pattern: str,
     rows that repeat are encoded alike; doc_id may be null; other columns are
     not read; an empty table gives an empty result."""
     ready(docs.sparkSession)
-    vocabulary = Vocabulary(ranks)
-    words = F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
-    blocks = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), words.alias("words"))
-              .mapInArrow(gather, "doc_id array<long>, n array<int>, word array<int>, words array<binary>"))
-    blocks = blocks.withColumn("ids", vocabulary.for_each(
-        F.col("words"), lambda v, w: F.when(F.octet_length(w) <= LONG, vocabulary.encode(v, w))))
-    blocks = blocks.withColumn("decoded", vocabulary.for_each(
-        F.col("ids"), lambda v, i: F.when(i.isNotNull(), vocabulary.decode(v, i))))
-    return blocks.mapInArrow(scatter(vocabulary.ranks), "doc_id long, n_tokens long, ids binary, decoded binary")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    merges = Merges({base64.b64decode(p): r for p, r in ranks})
+    return rows.mapInArrow(coder(merges, pattern), "doc_id long, n_tokens long, ids binary, decoded binary")
