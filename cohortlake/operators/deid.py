@@ -17,11 +17,13 @@ IDENTIFYING_KEYWORDS = ["PatientName", "PatientID", "PatientBirthDate", "FileSet
 
 
 def last_wins(rows: DataFrame, key: str = "old_id", value: str = "new_id",
-              pos: str = "pos") -> DataFrame:
+              pos: str = "pos", keep_pos: bool = False) -> DataFrame:
     """A4: one value per key, the one at the highest position (later lines
-    overwrite earlier ones).  Rows without both fields are rejected."""
+    overwrite earlier ones).  Rows without both fields are rejected.
+    ``keep_pos`` adds the position where the key first stands."""
     ok = rows.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-    return ok.groupBy(key).agg(F.max_by(value, pos).alias(value))
+    first = [F.min(pos).alias(pos)] if keep_pos else []
+    return ok.groupBy(key).agg(F.max_by(value, pos).alias(value), *first)
 
 
 def anonymize_elements(elements: DataFrame, id_map: DataFrame, subject_col: str = "subject",
@@ -66,11 +68,14 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
     written.  Actions: ``anonymize`` (DICOMDIR and DICOM-named files below
     ``DICOM/``), ``copy`` (other files below ``DICOM/``, unchanged),
     ``skip_no_subject`` (map entry without a folder), ``skip_exists``
-    (session already in the output), ``warn_no_dicomdir``, ``warn_no_dicom``,
+    (session already in the output), ``skip_target_taken`` (another subject of
+    the same new id, earlier in ``pos`` order of the map or, without that column,
+    in old_id order, has a session of that name), ``warn_no_dicomdir``, ``warn_no_dicom``,
     ``not_mapped`` (a session of a folder without a map entry: reported,
     never touched)."""
     src = _parts(input_files, input_root)
-    ids = id_map.select("old_id", "new_id")
+    order = F.struct(*(["pos"] if "pos" in id_map.columns else []), "old_id")
+    ids = id_map.select("old_id", "new_id", order.alias("_order"))
     done = (_parts(output_files, output_root)
             .select(F.col("old_id").alias("new_id"), "session").distinct()
             .withColumn("_done", F.lit(True)))
@@ -83,16 +88,22 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
     sess = (flags.join(ids, "old_id", "full_outer")
             .join(done, ["new_id", "session"], "left")
             .withColumn("_done", F.coalesce(F.col("_done"), F.lit(False))))
+    # one subject's session per target: the first one in map order
+    live = F.col("new_id").isNotNull() & F.col("session").isNotNull() & ~F.col("_done")
+    first = sess.filter(live).groupBy("new_id", "session").agg(F.min("_order").alias("_first"))
+    sess = (sess.join(first, ["new_id", "session"], "left")
+            .withColumn("_taken", F.coalesce(F.col("_order") != F.col("_first"), F.lit(False))))
     root_in, root_out = F.lit(input_root.rstrip("/")), F.lit(output_root.rstrip("/"))
     mapped = F.col("new_id").isNotNull()
     has_session = F.col("session").isNotNull()
-    live = mapped & has_session & ~F.col("_done")
+    live = live & ~F.col("_taken")
 
     # session-level rows and map entries without a folder, in one pass
     acts = F.filter(F.array(
         F.when(~mapped & has_session, F.lit("not_mapped")),
         F.when(mapped & ~has_session, F.lit("skip_no_subject")),
         F.when(mapped & has_session & F.col("_done"), F.lit("skip_exists")),
+        F.when(F.col("_taken"), F.lit("skip_target_taken")),
         F.when(live & ~F.col("has_dicomdir"), F.lit("warn_no_dicomdir")),
         F.when(live & ~F.col("has_dicom"), F.lit("warn_no_dicom"))),
         lambda a: a.isNotNull())
@@ -100,7 +111,7 @@ def deid_plan(input_files: DataFrame, id_map: DataFrame, output_files: DataFrame
                     .select("old_id", "new_id", "session",
                             F.when(F.col("session").isNotNull(),
                                    F.concat_ws("/", root_in, "old_id", "session")).alias("source"),
-                            F.when(F.col("action") == "skip_exists",
+                            F.when(F.col("action").isin("skip_exists", "skip_target_taken"),
                                    F.concat_ws("/", root_out, "new_id", "session")).alias("target"),
                             "action"))
 

@@ -11,10 +11,26 @@ from pyspark.sql import functions as F
 from cohortlake.operators.position import running_max, with_position
 
 
-def dir_sizes(files: DataFrame, dir_col: str = "dir", size_col: str = "size") -> DataFrame:
-    """Apparent bytes and file count below each folder."""
-    return files.groupBy(dir_col).agg(F.sum(size_col).cast("long").alias("bytes"),
-                                      F.count(F.lit(1)).alias("n_files"))
+def dir_sizes(files: DataFrame, dir_col: str = "dir", size_col: str = "size",
+              root: str | None = None) -> DataFrame:
+    """Apparent bytes and file count below each folder, subfolders included;
+    ``root`` keeps the folders at or below it.  Files without a folder form one
+    row.  Folders are summed on their own first, then added to their ancestors."""
+    own = files.groupBy(dir_col).agg(F.sum(size_col).cast("long").alias("bytes"),
+                                     F.count(F.lit(1)).alias("n_files"))
+    parts = F.split(dir_col, "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    inside = F.lit(True)
+    if root is not None:
+        top = root.rstrip("/")
+        inside = (F.col(dir_col) == top) | F.col(dir_col).startswith(top + "/")
+    each = (own.where(F.col(dir_col).isNotNull())
+            .select(F.explode(F.when(F.col(dir_col) == "", F.array(F.lit("")))
+                              .otherwise(F.filter(above, lambda x: x != ""))).alias(dir_col), "bytes", "n_files")
+            .where(inside))
+    if root is None:
+        each = own.where(F.col(dir_col).isNull()).unionByName(each)
+    return each.groupBy(dir_col).agg(F.sum("bytes").alias("bytes"), F.sum("n_files").alias("n_files"))
 
 
 def running_peak(samples: DataFrame, order_cols: Sequence[str] = ("ts",),
@@ -54,10 +70,11 @@ def elements_wide(elements: DataFrame, keywords: Sequence[str] = TEMPLATE_KEYWOR
 def sort_targets(elements: DataFrame, key: str = "file_path") -> DataFrame:
     """K8: target folder ``{PatientID}_{SeriesNumber:03d}`` and file
     ``{PatientID}_{SeriesNumber:03d}_{SeriesDescription}_{InstanceNumber:05d}.dcm``
-    per source file, with the number of sources sharing the target."""
+    per source file, with the number of sources sharing the target.  A number
+    that isn't one reads ``null`` in the name."""
     w = elements_wide(elements, TEMPLATE_KEYWORDS, key)
-    series = F.col("SeriesNumber").cast("int")
-    inst = F.col("InstanceNumber").cast("int")
+    series = F.col("SeriesNumber").try_cast("bigint")
+    inst = F.col("InstanceNumber").try_cast("bigint")
     folder = F.format_string("%s_%03d", F.col("PatientID"), series)
     name = F.format_string("%s_%03d_%s_%05d.dcm", F.col("PatientID"), series,
                            F.col("SeriesDescription"), inst)

@@ -119,7 +119,8 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
                    split_col: str = "split", digits: int = 6) -> DataFrame:
     """Per split, size, mean and sample std of numeric attributes and the
     share of each category; plus rows ``split='max_gap'`` with the largest
-    difference between splits for each metric.  Long form
+    difference between splits for each metric (a category that a split lacks
+    has share 0 there).  Long form
     ``(split, metric, value)``.
 
     One pass over ``df``: a grouping-sets aggregate per split and per
@@ -137,6 +138,7 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
         g = df.groupBy(split_col).agg(*aggs)
         whole_split = F.lit(True)
     g = materialize(g)
+    n_splits = g.select(split_col).distinct().count()
 
     def item(cond, metric, value):
         return F.when(cond, F.struct(metric.alias("metric"), value.cast("double").alias("value")))
@@ -155,7 +157,9 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     # the gap rows come from windows over this small table in the same chain
     # (a union with an aggregate of it would plan the input twice)
     w = Window.partitionBy("metric")
-    long = (long.withColumn("_gap", F.max("value").over(w) - F.min("value").over(w))
+    lacking = F.col("metric").startswith("share:") & (F.count(F.lit(1)).over(w) < n_splits)
+    least = F.when(lacking, F.lit(0.0)).otherwise(F.min("value").over(w))
+    long = (long.withColumn("_gap", F.max("value").over(w) - least)
                 .withColumn("_first", F.row_number().over(w.orderBy(split_col)) == 1))
     rows = F.array(
         F.struct(F.col(split_col).alias(split_col), F.col("metric"), F.col("value")),

@@ -22,6 +22,16 @@ def _s(col) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("string")
 
 
+def _three(col) -> Column:
+    """A number in three digits or more, never cut."""
+    return F.when(F.length(_s(col)) >= 3, _s(col)).otherwise(F.lpad(_s(col), 3, "0"))
+
+
+def _pseudonym(key: str) -> Column:
+    """A different pseudonym for every key."""
+    return F.concat(F.lit("ANON"), _s(F.col(key) * 7919))
+
+
 # ---------------------------------------------------------------- visits
 def visits(spark: SparkSession, sf_dir: str, reused: bool = False) -> DataFrame:
     """One row per order = one visit of subject ``o_custkey``; ``visit`` is
@@ -32,7 +42,7 @@ def visits(spark: SparkSession, sf_dir: str, reused: bool = False) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     v = with_position(o, ["o_orderdate", "o_orderkey"], ["o_custkey"], pos_col="visit")
     v = (v.withColumn("mo", F.col("visit") * 6)
-          .withColumn("A", F.lpad(_s(F.floor(F.col("o_custkey") / 10000)), 3, "0"))
+          .withColumn("A", _three(F.floor(F.col("o_custkey") / 10000)))
           .withColumn("B", F.lpad(_s(F.col("o_custkey") % 10000), 4, "0")))
     return materialize(v) if reused else v
 
@@ -42,7 +52,7 @@ def layout(v: DataFrame) -> DataFrame:
     subject = F.concat(F.lit("sub-ADNI"), "A", F.lit("S"), "B")
     pet = F.col("o_orderkey") % 3 == 0
     return v.select(
-        F.concat(subject, F.lit("_ses-M"), F.lpad(_s("mo"), 3, "0"), F.lit("_T1w.nii.gz")).alias("filename"),
+        F.concat(subject, F.lit("_ses-M"), _three("mo"), F.lit("_T1w.nii.gz")).alias("filename"),
         F.concat(F.when(F.col("o_orderkey") % 5 == 0, F.lit("/raw/")).otherwise(F.lit("/derivatives/")),
                  subject).alias("path"),
         F.when(pet, F.lit("pet")).otherwise(F.lit("T1w")).alias("suffix"),
@@ -205,8 +215,7 @@ def customer_id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudonyms for customers not divisible by 5 (others are unmapped)."""
     c = table(spark, sf_dir, "customer").select("c_custkey").filter(F.col("c_custkey") % 5 != 0)
     return c.select(_s("c_custkey").alias("old_id"),
-                    F.concat(F.lit("ANON"), F.lpad(_s(F.col("c_custkey") * 7919 % 1000003), 7, "0"))
-                     .alias("new_id"))
+                    _pseudonym("c_custkey").alias("new_id"))
 
 
 def subject_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +241,7 @@ def done_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output listing: sessions already written (``o_orderkey % 17 == 0``)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").filter(
         (F.col("o_orderkey") % 17 == 0) & (F.col("o_custkey") % 5 != 0))
-    new_id = F.concat(F.lit("ANON"), F.lpad(_s(F.col("o_custkey") * 7919 % 1000003), 7, "0"))
+    new_id = _pseudonym("o_custkey")
     return o.select(F.concat(F.lit("output/"), new_id, F.lit("/S"), _s("o_orderkey"),
                              F.lit("/DICOMDIR")).alias("path"))
 

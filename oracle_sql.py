@@ -17,7 +17,8 @@ VISITS = r"""
 vv AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, visit,
          visit * 6 AS mo,
-         lpad(CAST(o_custkey // 10000 AS VARCHAR), 3, '0') AS A,
+         CASE WHEN o_custkey >= 10000000 THEN CAST(o_custkey // 10000 AS VARCHAR)
+              ELSE lpad(CAST(o_custkey // 10000 AS VARCHAR), 3, '0') END AS A,
          lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS B
   FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS visit
         FROM orders) t)
@@ -25,7 +26,7 @@ vv AS (
 
 LAYOUT = r"""
 layout AS (
-  SELECT 'sub-ADNI' || A || 'S' || B || '_ses-M' || lpad(CAST(mo AS VARCHAR), 3, '0') || '_T1w.nii.gz' AS filename,
+  SELECT 'sub-ADNI' || A || 'S' || B || '_ses-M' || CASE WHEN mo >= 1000 THEN CAST(mo AS VARCHAR) ELSE lpad(CAST(mo AS VARCHAR), 3, '0') END || '_T1w.nii.gz' AS filename,
          CASE WHEN o_orderkey % 5 = 0 THEN '/raw/' ELSE '/derivatives/' END || 'sub-ADNI' || A || 'S' || B AS path,
          CASE WHEN o_orderkey % 3 = 0 THEN 'pet' ELSE 'T1w' END AS suffix,
          'nii.gz' AS extension, 'Crop' AS "desc", '1x1x1' AS res,
@@ -214,7 +215,10 @@ long AS (
 """) + r"""
 SELECT split, metric, round(value, 6) AS value FROM long
 UNION ALL
-SELECT 'max_gap', metric, round(max(value) - min(value), 6) FROM long GROUP BY metric
+SELECT 'max_gap', metric,
+       round(max(value) - CASE WHEN starts_with(metric, 'share:') AND count(*) < (SELECT count(DISTINCT split) FROM x)
+                               THEN 0 ELSE min(value) END, 6)
+FROM long GROUP BY metric
 """
 
 ORACLE["duplicate_keys"] = r"""
@@ -433,7 +437,7 @@ FROM events GROUP BY user_id
 
 IDS = r"""
 ids AS (SELECT CAST(c_custkey AS VARCHAR) AS old_id,
-               'ANON' || lpad(CAST(c_custkey * 7919 % 1000003 AS VARCHAR), 7, '0') AS new_id
+               'ANON' || CAST(c_custkey * 7919 AS VARCHAR) AS new_id
         FROM customer WHERE c_custkey % 5 <> 0)
 """
 
@@ -468,7 +472,7 @@ tree AS (
                     ELSE 'note' || CAST(l_linenumber AS VARCHAR) || '.txt' END AS name
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 9 <> 0) f)
 """, r"""
-done AS (SELECT DISTINCT 'ANON' || lpad(CAST(o_custkey * 7919 % 1000003 AS VARCHAR), 7, '0') AS new_id,
+done AS (SELECT DISTINCT 'ANON' || CAST(o_custkey * 7919 AS VARCHAR) AS new_id,
                 'S' || CAST(o_orderkey AS VARCHAR) AS session
          FROM orders WHERE o_orderkey % 17 = 0 AND o_custkey % 5 <> 0),
 flags AS (SELECT old_id, session, bool_or(rest = 'DICOMDIR') AS has_dicomdir,

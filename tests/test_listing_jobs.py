@@ -153,3 +153,28 @@ def test_readable_files_keep_list_and_multi_root(spark, tmp_dir):
         [("d", [], 1, "PATIENT"), ("d", [1], 1, "STUDY")],
         "dicomdir_path string, parent_pos array<int>, pos int, record_type string"))
     assert sorted(r["text"] for r in tree.collect()) == ["  |-STUDY", "|-PATIENT"]   # C6
+
+
+def test_dir_sizes_count_subfolders(spark):
+    from cohortlake.operators.listing import dir_sizes
+    files = spark.createDataFrame([("/d/a", 1), ("/d/a", 2), ("/d/a/b", 4), ("/d/a/b/c", 8), ("/d/ab", 16), (None, 32)],
+                                  "dir string, size long")
+    got = {r["dir"]: (r["bytes"], r["n_files"]) for r in dir_sizes(files).collect()}
+    below = {"/d/a": (15, 4), "/d/a/b": (12, 2), "/d/a/b/c": (8, 1)}
+    assert got == below | {"/d": (31, 5), "/d/ab": (16, 1), None: (32, 1)}
+    assert {r["dir"]: (r["bytes"], r["n_files"]) for r in dir_sizes(files, root="/d/a/").collect()} == below
+
+
+def test_deid_plan_second_subject_of_a_target_is_skipped(spark):
+    from cohortlake.operators import deid
+    paths = [f"in/{s}/{e}/DICOM/IM_0001" for s, e in (("p", "S1"), ("q", "S1"), ("q", "S2"))]
+    paths += [x.replace("DICOM/IM_0001", "DICOMDIR") for x in paths]
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    lines = spark.createDataFrame([("q", "old", 0), ("p", "X", 1), ("q", "X", 2)], "old_id string, new_id string, pos long")
+    for ids, first, second in ((deid.last_wins(lines, keep_pos=True), "q", "p"), (deid.last_wins(lines), "p", "q")):
+        rows = deid.deid_plan(listing, ids, listing.limit(0), "in", "out").collect()
+        taken = [(r["old_id"], r["session"], r["target"]) for r in rows if r["action"] == "skip_target_taken"]
+        assert taken == [(second, "S1", "out/X/S1")]
+        done = [(r["old_id"], r["session"]) for r in rows if r["action"] == "anonymize"]
+        assert sorted(set(done)) == sorted([(first, "S1"), ("q", "S2")])
+        assert len({r["target"] for r in rows if r["action"] == "anonymize"}) == 4

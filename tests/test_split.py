@@ -75,3 +75,10 @@ def test_caps_and_balance(spark):
     rep = split.balance_report(rows, ["value"], ["sex"])
     metrics = {(r["split"], r["metric"]) for r in rep.collect()}
     assert ("max_gap", "mean:value") in metrics and ("train", "share:sex=F") in metrics
+
+
+def test_gap_counts_a_category_that_a_split_lacks(spark):
+    rows = [("train", "F")] * 3 + [("train", "M")] * 7 + [("val", "M")] * 2 + [("test", "M")]
+    rep = split.balance_report(spark.createDataFrame(rows, "split string, sex string"), [], ["sex"])
+    gap = {r["metric"]: r["value"] for r in rep.filter("split = 'max_gap'").collect()}
+    assert gap["share:sex=F"] == 0.3 and gap["share:sex=M"] == 0.3
