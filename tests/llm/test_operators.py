@@ -119,6 +119,26 @@ def test_bpe(docs, empty, rows):
         assert bpe.merge_long(word, ranks) == whole._encode_single_piece(word)
 
 
+def test_bpe_merges_many_words_at_once(monkeypatch):
+    import public_tokenizers as P
+    import pyarrow as pa
+    import tiktoken
+    ranks = {base64.b64decode(a): b for a, b in bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))}
+    whole = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    merges, r = bpe.Merges(ranks), random.Random(3)
+    words = [bytes(r.choice(b"aabeinst \xc3\xa9\xff") for _ in range(r.choice([1, 2, 7, 8, 9, 16, 17, 33, 64, 65, 90])))
+             for _ in range(3000)]
+    assert merges.encode(words) == [np.array(whole._encode_single_piece(w), "<u4").tobytes() for w in words]
+    assert merges.encode([]) == []
+    texts = [None, "", "a\x1cb \u3000 c", "é" * 70, *("".join(r.choice("abé 1\n.") for _ in range(60)) for _ in range(50))]
+    monkeypatch.setattr(bpe, "REMEMBERED", 9)
+    monkeypatch.setattr(bpe, "STEP", 100)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    got = pa.Table.from_batches(bpe.coder(merges, P.PATTERN)([batch, batch.slice(0, 0)])).to_pydict()
+    assert got["ids"] == [np.array(whole.encode_ordinary(t or ""), "<u4").tobytes() for t in texts]
+    assert got["decoded"] == [(t or "").encode() for t in texts] and got["doc_id"] == list(range(len(texts)))
+
+
 def test_decontamination(spark, docs, empty, rows):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     items = [("b", rows[4][1]), ("a", "MIT license"), ("c", None), ("d", ""), (None, "call"), ("e", rows[9][1])]
