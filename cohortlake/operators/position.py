@@ -1,23 +1,19 @@
 """Row positions in a total order, globally or within groups (W2), and
 ordered running aggregates (W8), without a single-task window.
 
-Ranged method: range-partition the rows on (group, order) so that a hot
-group is spread over many tasks, sort inside partitions and cut the lineage
-with a reliable checkpoint (partition ids and record numbers must be the
-same wherever they are read).  A row's position is then
+One lazy, value-based method for every size.  The range of the first order
+column (its least and greatest value, a scalar subquery) is cut into equal
+bins.  Rows are counted per (group, bin); summing those counts over the bins
+before gives what precedes each bin.  That number enters the bin as one marker
+row, ahead of the bin's own rows, so one running sum per (group, bin) yields
+positions: one shuffle of the rows, on (group, bin), and no join.  A hot group
+is spread over its bins, and its counts are at most one row per bin.
 
-    rows of the same group in earlier partitions   (offset)
-  + rows of the same group before it in its own partition (local index).
-
-Only a group that starts in an earlier partition has a non-zero offset, so
-the offset table holds at most one row per partition: it is broadcast with
-that proven bound.
-
-Grouped calls first count rows per group (one column-pruned aggregate).
-Groups within ``group_budget`` rows -- what one task sorts comfortably --
-use a plain window (one shuffle); only larger groups take the ranged method.
 ``order_cols`` must be a total order inside a group (add a unique
-tie-breaker), otherwise positions among ties are arbitrary.
+tie-breaker), otherwise positions among ties are arbitrary.  Rows with equal
+values of the first order column share a bin: put the column of most distinct
+values first where the order allows it.  The input is read three times (range,
+counts, rows) and must give the same rows each time.
 """
 
 from __future__ import annotations
@@ -26,21 +22,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlake.session import reliable_checkpoint
-
-_PID, _MID = "_pid", "_mid"
-# Rows of one group that a single task may sort in a window; a session can
-# set its own with ``spark.cohortlake.groupBudgetRows`` (size it to executor
-# memory: rows x row width should sort comfortably in one task).
-DEFAULT_GROUP_BUDGET = 2_000_000
-BUDGET_CONF = "spark.cohortlake.groupBudgetRows"
-
-
-def _budget(df: DataFrame, given: int | None) -> int:
-    if given is not None:
-        return int(given)
-    return int(df.sparkSession.conf.get(BUDGET_CONF, str(DEFAULT_GROUP_BUDGET)))
+_BIN, _MARK, _W = "_bin", "_mark", "_w"
+#: Bins per shuffle partition of the session, over the whole range.
+BINS_PER_PARTITION = 16
 
 
 def _cols(cols) -> list:
@@ -55,111 +41,90 @@ def _names(cols) -> list[str]:
     return [c for c in cols if isinstance(c, str)]
 
 
-def ordered_segments(df: DataFrame, order_cols: Sequence, group_cols: Sequence = (),
-                     num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, checkpointed copy of ``df`` with ``_pid``
-    (partition index) and ``_mid`` (row number inside the partition)."""
-    keys = [*_cols(group_cols), *_cols(order_cols)]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    ordered = reliable_checkpoint(ordered)
-    pid = F.spark_partition_id().cast("long")
-    return (ordered
-            .withColumn(_PID, pid)
-            .withColumn(_MID, F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
-
-
-def _join_carry(seg: DataFrame, carry: DataFrame, groups: list[str]) -> DataFrame:
-    """Left join of the (bounded) carry table on (partition, group), NULL-safe."""
-    renamed = carry.select(F.col(_PID).alias("_c_pid"),
-                           *[F.col(g).alias(f"_c_{i}") for i, g in enumerate(groups)],
-                           *[c for c in carry.columns if c != _PID and c not in groups])
-    cond = F.col(_PID) == F.col("_c_pid")
-    for i, g in enumerate(groups):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_c_{i}"))
-    return seg.join(F.broadcast(renamed), cond, "left")
-
-
-def _hot_groups(df: DataFrame, groups: list[str], budget: int) -> DataFrame | None:
-    """Groups with more than ``budget`` rows, or None when there are none
-    (decided by one scalar action over the per-group counts)."""
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_gcnt"))
-    biggest = counts.agg(F.max("_gcnt")).first()[0]
-    if biggest is None or biggest <= budget:
-        return None
-    return counts.filter(F.col("_gcnt") > budget).select(*groups)
-
-
-def _split_hot(df: DataFrame, hot: DataFrame, groups: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups); NULL-safe on the keys.
-    The hot key table is small (few groups exceed the budget); AQE picks the
-    join from its measured size."""
-    h = hot.select(*[F.col(g).alias(f"_h_{i}") for i, g in enumerate(groups)])
-    cond = None
-    for i, g in enumerate(groups):
-        c = F.col(g).eqNullSafe(F.col(f"_h_{i}"))
-        cond = c if cond is None else cond & c
-    return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
+def _digits(text: Column, skip: Column) -> Column:
+    """Six bytes of a text as a number, after ``skip`` hex digits."""
+    part = F.rpad(F.substring(F.hex(text.cast("binary")), skip + 1, F.lit(12)), 12, "0")
+    return F.conv(part, 16, 10).cast("double")
+
+
+def _with_bin(df: DataFrame, order_cols: Sequence, n: int | None) -> DataFrame:
+    """``df`` with the bin of its first order column: 0 to n-1, in value order;
+    NULL has bin -1 and NaN bin n, as they sort."""
+    name = _cols(order_cols)[0]
+    if not isinstance(name, str):
+        raise TypeError("the first order column must be given by its name (ascending)")
+    n = n or BINS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind, v = df.schema[name].dataType, F.col(name)
+    text = isinstance(kind, (T.StringType, T.BinaryType))
+    if text:
+        least, most = F.hex(F.min(v).cast("binary")), F.hex(F.max(v).cast("binary"))
+        ends = df.agg(F.min(v).alias("a"), F.max(v).alias("b"), least.alias("x"), most.alias("y"))
+        # the digits that every value starts with say nothing
+        same = F.array_max(F.filter(F.sequence(F.lit(0), F.length("x")),
+                                    lambda k: F.col("x").substr(F.lit(1), k) == F.col("y").substr(F.lit(1), k)))
+        ends = ends.select("a", "b", same.alias("skip"))
+        ends = ends.select(F.struct(_digits(F.col("a"), F.col("skip")).alias("a"),
+                                    _digits(F.col("b"), F.col("skip")).alias("b"), "skip").alias("ends"))
+    else:
+        if isinstance(kind, T.DateType):
+            number = F.unix_date(v).cast("double")
+        elif isinstance(kind, T.TimestampNTZType):
+            number = F.unix_micros(v.cast("timestamp")).cast("double")
+        elif isinstance(kind, T.TimestampType):
+            number = F.unix_micros(v).cast("double")
+        elif isinstance(kind, (T.NumericType, T.BooleanType)):
+            number = v.cast("double")
+        else:
+            raise TypeError(f"no bins over a first order column of type {kind.simpleString()}")
+        finite = F.greatest(F.least(number, F.lit(1e300)), F.lit(-1e300))
+        known = F.when(~F.isnan(number), finite)
+        ends = df.agg(F.struct(F.min(known).alias("a"), F.max(known).alias("b")).alias("ends"))
+    both = df.withColumn("_ends", ends.scalar())
+    if text:
+        number = _digits(v, F.col("_ends.skip"))
+        known = number
+    a, b = F.col("_ends.a"), F.col("_ends.b")
+    at = F.when(b > a, F.floor((known - a) * n / (b - a))).otherwise(F.lit(0))
+    at = F.when(v.isNull(), -1).when(F.isnan(number), n).otherwise(F.greatest(F.lit(0), F.least(F.lit(n - 1), at)))
+    return both.withColumn(_BIN, at.cast("int")).drop("_ends")
+
+
+def _frames(groups: list[str], order_cols: Sequence):
+    """(bins before this one in the group, this bin up to the current row)."""
+    bins = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(_BIN)
+    rows = Window.partitionBy(*groups, _BIN).orderBy(F.desc(_MARK), *_cols(order_cols))
+    return (bins.rowsBetween(Window.unboundedPreceding, -1),
+            rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    return (rows.withColumn(_MARK, F.lit(False))
+            .unionByName(marks.withColumn(_MARK, F.lit(True)), allowMissingColumns=True))
 
 
 def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = (),
                   pos_col: str = "pos", total_col: str | None = None,
-                  num_partitions: int | None = None,
-                  group_budget: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None) -> DataFrame:
     """Add ``pos_col``: 0-based position (bigint) in ``order_cols`` order,
     inside ``group_cols`` groups when given, else over the whole table.
 
     ``total_col`` (global form only) adds the table's row count to every row.
+    ``num_partitions``: bins over the range of the first order column.
+    NULL is a group like any other; an empty table stays empty.
     """
     groups = _names(_cols(group_cols))
-    if not groups:
-        return _ranged_position(df, order_cols, [], pos_col, total_col, num_partitions)
-    if total_col:
+    if groups and total_col:
         raise ValueError("total_col is only supported for the global position")
-    hot = _hot_groups(df, groups, _budget(df, group_budget))
-    w = Window.partitionBy(*groups).orderBy(*_cols(order_cols))
-    plain = (F.row_number().over(w) - 1).cast("long").alias(pos_col)
-    if hot is None:
-        return df.select(*df.columns, plain)
-    cold, hot_rows = _split_hot(df, hot, groups)
-    ranged = _ranged_position(hot_rows, order_cols, groups, pos_col, None, num_partitions)
-    return cold.select(*df.columns, plain).unionByName(ranged)
-
-
-def _ranged_position(df: DataFrame, order_cols: Sequence, groups: list[str], pos_col: str,
-                     total_col: str | None, num_partitions: int | None) -> DataFrame:
-    seg = ordered_segments(df, order_cols, groups, num_partitions)
-    out_cols = [c for c in seg.columns if c not in (_PID, _MID)]
-
-    if not groups:
-        # per-partition counts: at most num_partitions rows -> broadcast
-        counts = seg.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
-        w = Window.orderBy(_PID)
-        offsets = counts.select(
-            _PID,
-            (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_off"),
-            F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total"))
-        joined = seg.join(F.broadcast(offsets), _PID, "left")
-        extra = [(F.col("_off") + F.col(_MID)).alias(pos_col)]
-        if total_col:
-            extra.append(F.col("_total").alias(total_col))
-        return joined.select(*out_cols, *extra)
-
-    # local index inside (partition, group); the hash exchange is on
-    # (partition, group), so a hot group is still spread over its partitions
-    local = F.row_number().over(Window.partitionBy(_PID, *groups).orderBy(_MID)) - 1
-    seg = seg.withColumn("_local", local)
-    # groups continuing from earlier partitions: at most one per partition
-    counts = seg.groupBy(_PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"))
-    wg = Window.partitionBy(*groups).orderBy(_PID)
-    carry = (counts
-             .withColumn("_off", F.sum("_cnt").over(wg) - F.col("_cnt"))
-             .filter(F.col("_off") > 0)
-             .select(_PID, *groups, "_off"))
-    joined = _join_carry(seg, carry, groups)
-    return joined.select(*out_cols,
-                         (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).cast("long").alias(pos_col))
+    rows = _with_bin(df, order_cols, num_partitions)
+    before, upto = _frames(groups, order_cols)
+    counts = rows.groupBy(*groups, _BIN).agg(F.count(F.lit(1)).alias("_cnt"))
+    total = [F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total")] if total_col else []
+    marks = counts.select(*groups, _BIN, (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - 1).alias(_W), *total)
+    extra = [F.sum(_W).over(upto).alias(pos_col)]
+    if total_col:
+        extra.append(F.first("_total", ignorenulls=True).over(upto).alias(total_col))
+    out = _marked(rows.withColumn(_W, F.lit(1).cast("long")), marks)
+    return out.select(*df.columns, *extra, _MARK).where(~F.col(_MARK)).drop(_MARK)
 
 
 def with_hash_position(df: DataFrame, hash_col: str, tie_cols: Sequence[str] = (),
@@ -192,51 +157,25 @@ def with_hash_position(df: DataFrame, hash_col: str, tie_cols: Sequence[str] = (
 
 
 def running_max(df: DataFrame, value_col: str, order_cols: Sequence, group_cols: Sequence,
-                out_col: str = "running_max", num_partitions: int | None = None,
-                group_budget: int | None = None) -> DataFrame:
-    """Highest ``value_col`` seen so far in ``order_cols`` order per group."""
+                out_col: str = "running_max", num_partitions: int | None = None) -> DataFrame:
+    """Highest ``value_col`` seen so far in ``order_cols`` order per group (W8):
+    a bin's marker row carries the highest value of the bins before it."""
     groups = _names(_cols(group_cols))
-    frame = (Window.partitionBy(*groups).orderBy(*_cols(order_cols))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    plain = F.max(value_col).over(frame).alias(out_col)
-    hot = _hot_groups(df, groups, _budget(df, group_budget))
-    if hot is None:
-        return df.select(*df.columns, plain)
-    cold, hot_rows = _split_hot(df, hot, groups)
-    return cold.select(*df.columns, plain).unionByName(
-        _ranged_running_max(hot_rows, value_col, order_cols, groups, out_col, num_partitions))
-
-
-def _ranged_running_max(df: DataFrame, value_col: str, order_cols: Sequence, groups: list[str],
-                        out_col: str, num_partitions: int | None) -> DataFrame:
-    seg = ordered_segments(df, order_cols, groups, num_partitions)
-    out_cols = [c for c in seg.columns if c not in (_PID, _MID)]
-    frame = (Window.partitionBy(_PID, *groups).orderBy(_MID)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seg = seg.withColumn("_local_max", F.max(value_col).over(frame))
-    seg_max = seg.groupBy(_PID, *groups).agg(F.max(value_col).alias("_seg_max"))
-    wg = (Window.partitionBy(*groups).orderBy(_PID)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (seg_max
-             .withColumn("_prev", F.max("_seg_max").over(wg))
-             .withColumn("_first", F.min(_PID).over(Window.partitionBy(*groups)))
-             .filter(F.col(_PID) > F.col("_first"))   # continues from an earlier partition
-             .select(_PID, *groups, "_prev"))
-    joined = _join_carry(seg, carry, groups)
-    best = F.greatest(F.col("_local_max"), F.col("_prev"))  # greatest skips NULL
-    return joined.select(*out_cols, best.alias(out_col))
+    rows = _with_bin(df, order_cols, num_partitions)
+    before, upto = _frames(groups, order_cols)
+    highest = rows.groupBy(*groups, _BIN).agg(F.max(value_col).alias("_high"))
+    marks = highest.select(*groups, _BIN, F.max("_high").over(before).alias(_W))
+    out = _marked(rows.withColumn(_W, F.col(value_col)), marks)
+    return (out.select(*df.columns, F.max(_W).over(upto).alias(out_col), _MARK)
+            .where(~F.col(_MARK)).drop(_MARK))
 
 
 def first_k_per_group(df: DataFrame, group_cols: Sequence, order_cols: Sequence, k: int,
                       rank_col: str | None = None) -> DataFrame:
     """Rows ranked 1..k per group.  ``row_number() <= k`` lets Spark put a
     partial WindowGroupLimit before the shuffle, so a hot group sends at most
-    k rows per map task.  Spark does so only for k up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger k raises it."""
-    conf = df.sparkSession.conf
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if k > int(conf.get(key, "1000")):
-        conf.set(key, str(k))
+    k rows per map task.  Spark does so for k up to the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (``get_spark`` sets it)."""
     rn = F.row_number().over(Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols)))
     name = rank_col or "_rank"
     out = df.withColumn(name, rn).filter(F.col(name) <= k)

@@ -29,16 +29,18 @@ def subject_hash(key: str, seed: int = DEFAULT_SEED) -> Column:
 
 
 def assign_splits(df: DataFrame, train: float, val: float, seed: int = DEFAULT_SEED,
-                  key: str = "ptid") -> DataFrame:
+                  key: str = "ptid", prefix_len: int = 3) -> DataFrame:
     """One row per subject with its split.  Subjects are ordered by
     (hash, id); the first ``rint(n*train)`` go to train, the next
     ``rint(n*val)`` to val, the rest to test (half-even rounding, as Python's
     ``round``).  NULL subjects take no slot.  Sizes are exact; positions come
-    from hash-prefix buckets (``with_hash_position``), not a one-task window."""
+    from hash-prefix buckets (``with_hash_position``), not a one-task window:
+    16**``prefix_len`` of them, so raise it for billions of subjects."""
     check_fractions(train, val)
     subjects = (df.select(key).filter(F.col(key).isNotNull()).distinct()
                 .withColumn("_h", subject_hash(key, seed)))
-    ranked = with_hash_position(subjects, "_h", [key], pos_col="_pos", total_col="_n")
+    ranked = with_hash_position(subjects, "_h", [key], pos_col="_pos", total_col="_n",
+                                prefix_len=prefix_len)
     n = F.col("_n").cast("double")
     n_train = F.rint(n * F.lit(train))
     n_val = F.rint(n * F.lit(val))
@@ -138,7 +140,7 @@ def balance_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
         g = df.groupBy(split_col).agg(*aggs)
         whole_split = F.lit(True)
     g = materialize(g)
-    n_splits = g.select(split_col).distinct().count()
+    n_splits = g.select(F.count_distinct(F.struct(split_col))).scalar()
 
     def item(cond, metric, value):
         return F.when(cond, F.struct(metric.alias("metric"), value.cast("double").alias("value")))

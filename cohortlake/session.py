@@ -32,6 +32,8 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
         # small local inputs: do not merge partitions below 64 KiB (keeps all cores busy)
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # partial top-k before the shuffle, for larger k too
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -75,24 +77,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df):
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_base(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df, spread: bool = False):
-    """Persist ``df`` (memory, spilling to disk) and fill the cache now, so
-    branches of a later plan that run at the same time share one copy.  Lost
-    blocks are recomputed from the lineage, which is deterministic here.
+    """Persist ``df`` (memory, spilling to disk); its first reader fills the
+    cache, so building a query runs nothing.  Lost blocks are recomputed from
+    the lineage, which is deterministic here.
     ``spread``: first deal the rows evenly over the session's shuffle
     partitions (for inputs read from few, uneven splits)."""
     from pyspark import StorageLevel
     if spread:
         df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)   # columnar cache, no per-read decode
-    df.count()
-    return df
+    return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)   # columnar cache, no per-read decode
 
 
 _SHIPPED: set = set()

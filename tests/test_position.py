@@ -31,8 +31,7 @@ def test_global_position_matches_row_number(spark):
 def test_grouped_position_matches_row_number_with_hot_group(spark):
     df = skewed(spark)
     for parts in (1, 5, 16):
-        got = with_position(df, ["t", "id"], ["g"], pos_col="pos", num_partitions=parts,
-                            group_budget=100)   # "hot" and NULL groups take the ranged path
+        got = with_position(df, ["t", "id"], ["g"], pos_col="pos", num_partitions=parts)
         exp = df.withColumn("pos", F.row_number().over(
             Window.partitionBy("g").orderBy("t", "id")) - 1)
         assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
@@ -41,7 +40,7 @@ def test_grouped_position_matches_row_number_with_hot_group(spark):
 
 def test_running_max_matches_window(spark):
     df = skewed(spark)
-    got = running_max(df, "v", ["t", "id"], ["g"], num_partitions=9, group_budget=100)
+    got = running_max(df, "v", ["t", "id"], ["g"], num_partitions=9)
     w = Window.partitionBy("g").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.withColumn("running_max", F.max("v").over(w))
     assert sorted((r["id"], r["running_max"]) for r in got.collect()) == \
@@ -72,10 +71,9 @@ def test_assert_unique(spark):
     assert_unique(df.distinct(), ["k"])
 
 
-def test_grouped_position_plain_path(spark):
+def test_grouped_position_is_bigint(spark):
     df = skewed(spark)
-    got = with_position(df, ["t", "id"], ["g"], pos_col="pos")      # no group over the budget
-    assert "Window" in got._jdf.queryExecution().executedPlan().toString()
+    got = with_position(df, ["t", "id"], ["g"], pos_col="pos")
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
     assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
         sorted((r["id"], r["pos"]) for r in exp.collect())
@@ -85,7 +83,7 @@ def test_grouped_position_plain_path(spark):
 def test_null_group_can_be_hot(spark):
     rows = [(i, None if i < 50 else "a", i % 7) for i in range(80)]
     df = spark.createDataFrame(rows, "id long, g string, t int")
-    got = with_position(df, ["t", "id"], ["g"], group_budget=10)
+    got = with_position(df, ["t", "id"], ["g"])
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
     assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
         sorted((r["id"], r["pos"]) for r in exp.collect())
@@ -100,44 +98,64 @@ def test_hash_position_matches_row_number(spark):
         sorted((r["k"], r["pos"], 5000) for r in exp.collect())
 
 
-def test_budget_from_session_conf(spark):
+def test_positions_over_every_kind_of_first_column(spark):
+    """Texts with a common start, dates, timestamps, decimals, NULL, NaN and
+    infinities sort into bins as Spark sorts them."""
+    nums = [0.0, -1.5, float("nan"), float("inf"), float("-inf"), None, 1e308, -1e308, 3.25, float("nan")]
+    rows = [(i, nums[i % 10], None if i % 41 == 0 else f"sub-ADNI{(i * 7919) % 400:03d}" + "\u00e9" * (i % 3))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, x double, s string").selectExpr(
+        "*", "date_add(date'2001-01-01', cast(id * 37 % 900 as int)) d",
+        "timestamp_seconds(id * 7717 % 100000) ts", "cast(timestamp_seconds(id * 31 % 977) as timestamp_ntz) tz",
+        "cast(id * 13 % 101 as decimal(20, 3)) m", "id % 2 = 0 b", "cast(s as binary) y")
+    for c in ("x", "s", "d", "ts", "tz", "m", "b", "y"):
+        got = with_position(df, [c, "id"], pos_col="pos", num_partitions=11)
+        exp = df.withColumn("pos", F.row_number().over(Window.orderBy(c, "id")) - 1)
+        assert {r["id"]: r["pos"] for r in got.collect()} == {r["id"]: r["pos"] for r in exp.collect()}, c
+
+
+def test_equal_or_missing_first_values(spark):
+    df = spark.range(30).selectExpr("id", "cast(null as int) t", "5 five")
+    for c in ("t", "five"):
+        got = with_position(df, [c, "id"], pos_col="pos")
+        assert all(r["pos"] == r["id"] for r in got.collect())
+
+
+def test_building_a_position_starts_no_job(spark):
+    sc = spark.sparkContext
     df = skewed(spark)
-    spark.conf.set("spark.cohortlake.groupBudgetRows", "100")
+    sc.setJobGroup("build", "build only")
     try:
-        got = with_position(df, ["t", "id"], ["g"], pos_col="pos")
-        plan = got._jdf.queryExecution().optimizedPlan().toString()
-        assert "Union" in plan                       # hot groups took the ranged path
+        with_position(df, ["t", "id"], ["g"])
+        with_position(df, ["t", "id"])
+        running_max(df, "v", ["t", "id"], ["g"])
+        assert list(sc.statusTracker().getJobIdsForGroup("build")) == []
     finally:
-        spark.conf.unset("spark.cohortlake.groupBudgetRows")
-    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
-    assert sorted((r["id"], r["pos"]) for r in got.collect()) == \
-        sorted((r["id"], r["pos"]) for r in exp.collect())
+        sc.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_hot_group_is_spread_over_tasks(spark):
-    from cohortlake.operators.position import ordered_segments
+def test_hot_group_is_spread_over_bins(spark):
+    from cohortlake.operators.position import _with_bin
     df = skewed(spark, n=6000)                      # "hot" holds a third of the rows
-    seg = ordered_segments(df, ["t", "id"], ["g"], num_partitions=8)
-    per_part = seg.filter(F.col("g") == "hot").groupBy("_pid").count().collect()
-    assert len(per_part) >= 2
-    assert max(r["count"] for r in per_part) < 2000  # no task holds the whole group
+    per_bin = _with_bin(df, ["t", "id"], 8).filter(F.col("g") == "hot").groupBy("_bin").count().collect()
+    assert len(per_bin) == 8
+    assert max(r["count"] for r in per_bin) < 500
 
 
 def test_partial_limit_kept_for_large_k(spark):
     df = skewed(spark)
-    out = first_k_per_group(df, ["g"], ["t", "id"], 1500)
-    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
-    assert out.count() == df.count()      # every group is smaller than k here
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"       # as get_spark sets it
+    spark.conf.set(key, "100000")
+    try:
+        out = first_k_per_group(df, ["g"], ["t", "id"], 1500)
+        assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == df.count()      # every group is smaller than k here
+    finally:
+        spark.conf.unset(key)
 
 
-def test_checkpoint_goes_to_the_configured_shared_folder(spark):
-    import glob
-    import os
+def test_written_tables_go_to_the_configured_shared_folder(spark):
     from cohortlake.session import checkpoint_base, shared_dir
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert checkpoint_base(spark) == base
-    before = set(glob.glob(os.path.join(base, "**", "rdd-*"), recursive=True))
-    with_position(skewed(spark), ["t", "id"], pos_col="pos").count()      # global: ranged path
-    after = set(glob.glob(os.path.join(base, "**", "rdd-*"), recursive=True))
-    assert after - before                                                 # a reliable checkpoint was written there
     assert shared_dir(spark, "x").startswith(base.rstrip("/") + "/tables/")
