@@ -394,15 +394,14 @@ def deid_elements_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dicom_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U2 with the DICOM reader: each customer's header elements written as a
-    DICOM file to the shared folder, then read back by the element job."""
+    """Each customer's header elements written as a JSON file to the shared
+    folder, then read back by the element job through its decoder argument."""
     from cohortlake.operators import headers
-    from cohortlake.sources.dicom import decode_elements
     e = demo.elements(spark, sf_dir)
     out = shared_dir(spark, "headers")
     headers.write_header_files(e, out).write.format("noop").mode("overwrite").save()
     paths = e.select("subject").distinct().select(
-        "subject", F.concat(F.lit(out + "/"), F.col("subject"), F.lit(".dcm")).alias("file_path"))
-    decoded = headers.header_elements(paths.select(F.col("file_path").alias("path")), decode_elements)
+        "subject", F.concat(F.lit(out + "/"), F.col("subject"), F.lit(".json")).alias("file_path"))
+    decoded = headers.header_elements(paths.select(F.col("file_path").alias("path")), headers.decode_json_elements)
     return decoded.join(paths, "file_path").select(
         "subject", elements.position_key().alias("sort_key"), "depth", "tag", "vr", "keyword", "value")
