@@ -19,7 +19,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm import arrays as A
@@ -52,9 +52,12 @@ def fingerprint(text: bytes, shingle: int) -> int:
                               zip(starts[:n].tolist(), ends[len(words) - n:].tolist())], np.uint64))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash of each row's text as a signed long (no words: 0)."""
+def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text",
+                 keep: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp) and the kept columns, all longs: the SimHash of each row's text
+    as a signed long (no words: 0)."""
     ready(docs.sparkSession)
+    keep = keep or {}
 
     def make(batches):
         for batch in batches:
@@ -62,10 +65,12 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
             data = data.tobytes()
             out = [fingerprint(data[a:b], shingle) for a, b in itertools.pairwise(offsets.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64)), *batch.columns[2:]], names)
 
-    return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-            .mapInArrow(make, "doc_id long, fp long"))
+    names = ["doc_id", "fp", *keep]
+    return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                        *[c.alias(n) for n, c in keep.items()])
+            .mapInArrow(make, ", ".join(f"{n} long" for n in names)))
 
 
 def _flips(bits: int, most: int) -> np.ndarray:
@@ -149,6 +154,15 @@ def near_links(distinct: DataFrame, bits: int = 4, parts: int | None = None) ->
     return sent.groupBy("part").applyInArrow(join, "a long, b long").distinct()
 
 
+def _components(prints: DataFrame, least: Column, bits: int) -> DataFrame:
+    """(fp, least, component) of every distinct fingerprint; least is the minimum
+    of that column over its rows, component a fingerprint."""
+    own = prints.groupBy("fp").agg(F.min(least).alias("least"))
+    groups = connected(near_links(prints.select("fp").distinct(), bits))
+    return (own.join(groups, own.fp == groups.node, "left")
+            .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, fingerprint, component_id).
@@ -160,11 +174,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4,
     read; an empty table gives an empty result."""
     ready(docs.sparkSession)
     prints = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = connected(near_links(prints.select("fp").distinct(), bits))
-    member = (own.join(groups, own.fp == groups.node, "left")
-              .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    member = _components(prints, F.col("doc_id"), bits)
     smallest = member.groupBy("component").agg(F.min("least").alias("component_id"))
     of = member.join(smallest, "component").select("fp", "component_id")
     return (prints.join(of, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def first_copies(docs: DataFrame, shingle: int = 4, bits: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, copy, row): one row for each component of near copies, its least by
+    doc_id, then copy (a hash of the text), then row (a hash of all columns).
+
+    A doc_id with several texts is in several components and may stand for each of
+    them.  Rows without a doc_id link others but are never the one that stands;
+    components of such rows only are not in the result."""
+    ready(docs.sparkSession)
+    hashes = {"copy": F.xxhash64(F.col(text).cast("string")), "row": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])}
+    prints = stored(fingerprints(docs, shingle, doc_id, text, hashes), "fingerprints")
+    least = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "copy", "row"))
+    return (_components(prints, least, bits).groupBy("component").agg(F.min("least").alias("least"))
+            .where("least is not null").select("least.*"))

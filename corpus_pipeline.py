@@ -25,11 +25,15 @@ def quality(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near copies stays, the one of smallest doc_id;
-    documents without a doc_id can't be told apart and stay."""
-    from cohortlake.llm.simhash import near_duplicates
-    first = near_duplicates(docs, shingle=4, bits=4).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group of near copies stays: the one of smallest doc_id, then
+    text hash, then hash of all columns.  A doc_id with several texts keeps each
+    text that is the first of its group; documents without a doc_id can't be told
+    apart and stay."""
+    from cohortlake.llm.simhash import first_copies
+    same = ((F.col("d.doc_id") == F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.copy"))
+            & (F.xxhash64(*[F.col(f"d.`{c}`") for c in docs.columns]) == F.col("c.row")))
+    first = first_copies(docs, shingle=4, bits=4)
+    kept = docs.alias("d").join(first.alias("c"), same, "left_semi").distinct()  # rows that repeat whole
     return kept.unionByName(docs.where("doc_id is null"))
 
 

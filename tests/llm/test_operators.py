@@ -240,3 +240,19 @@ def test_pipeline(spark):
     assert 0 < len(ids) == out.count() <= docs.count()
     assert hashlib.sha256(bytes(out.first().decoded)).digest()
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline_near_dedup_keeps_every_text_that_is_no_copy(spark):
+    import corpus_pipeline
+    text = lambda name: " ".join(f"{name}{k}" for k in range(80))
+    first, own, other, third = text("a"), text("b"), text("c"), text("d")
+    data = [(1, first, "en"), (7, first, "en"), (7, own, "en"), (9, other, "en"), (9, third, "fr"), (9, third, "en"), (9, third, "fr"),
+            (8, other, "en"), (None, own, "en"), (None, own, "en")]
+    kept = {(1, first), (7, own), (8, other), (9, third), (None, own)}
+    answers = set()
+    for order in (data, data[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(5)
+        got = corpus_pipeline.near_dedup(spark, docs, None).collect()
+        assert {(r.doc_id, r.text) for r in got} == kept and len(got) == 6
+        answers.add(tuple(sorted((r.doc_id or 0, r.text, r.lang) for r in got)))
+    assert len(answers) == 1
