@@ -2,7 +2,9 @@
 
 A document's evidence is a naive Bayes log odds over its distinct words and
 binned statistics, learned from a bounded sample of labelled documents; one for
-low quality and one for toxicity.  Hosts and paths (a host's sections) get a
+low quality and one for toxicity.  Most words only vary around the class rate;
+how many tell more, and whether a word is one of those, follows from the counts
+of all words, so no least count is asked of a word.  Hosts and paths (a host's sections) get a
 posterior rate of bad documents from the evidence of all their documents,
 through grouped aggregation: a path's rate shrinks toward its host's, a host's
 toward the global rate, the more so the fewer documents there are.  How much is
@@ -22,10 +24,11 @@ from pyspark.sql import functions as F
 from cohortlake.llm import arrays as A
 from cohortlake.llm.common import ready, stored
 
-#: Words are hashed to so many features; a feature needs LEAST sampled documents,
-#: log odds of STRONG (copies make weaker ones of rare words) and SURE standard
-#: errors to count, and counts BOUND at most.
-DIMENSION, LEAST, STRONG, SURE, BOUND = 1 << 20, 10, 4.0, 3.3, 6.0
+#: Words are hashed to so many features.  A word that tells nothing varies around
+#: the class rate like a beta distribution of strength SPREAD (copies make rates of
+#: rare words differ more than chance does); one that tells something has any rate
+#: (Jeffreys prior).  A feature counts BOUND at most.
+DIMENSION, SPREAD, JEFFREYS, BOUND = 1 << 20, 8.0, 0.5, 6.0
 MARKS = np.zeros(256, bool)
 MARKS[[ord(c) for c in "#*$%&|<>!"]] = True
 CAPITAL = np.zeros(256, bool)
@@ -60,6 +63,36 @@ def features(column):
         yield i, np.searchsorted(doc[order], np.arange(j - i + 1)), h[order]
 
 
+def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y) for x, y in zip(a.tolist(), b.tolist())])
+
+
+def _digamma(x: np.ndarray) -> np.ndarray:
+    low = sum(1 / (x + k) for k in range(6))
+    x = x + 6
+    return np.log(x) - 1 / (2 * x) - 1 / (12 * x ** 2) + 1 / (120 * x ** 4) - low
+
+
+def shrunk_odds(bad: np.ndarray, fine: np.ndarray, all_bad: int, all_fine: int) -> np.ndarray:
+    """Each feature's log odds over those of the class, from its numbers of bad and
+    fine documents: the mean under the Jeffreys prior, times the probability
+    that the feature tells something.  The share of features that do is found by
+    expectation maximization over all of them."""
+    pair, of, n = np.unique(np.stack([bad, fine]), axis=1, return_inverse=True, return_counts=True)
+    b, f, of = pair[0].astype(float), pair[1].astype(float), of.ravel()
+    rate = (all_bad + .5) / (all_bad + all_fine + 1)
+    u, v = np.full(len(b), SPREAD * rate), np.full(len(b), SPREAD * (1 - rate))
+    j = np.full(len(b), JEFFREYS)
+    nothing = _log_beta(u + b, v + f) - _log_beta(u, v)
+    something = _log_beta(j + b, j + f) - _log_beta(j, j)
+    ratio, share = np.exp(np.clip(nothing - something, -500, 500)), 1e-3
+    for _ in range(60):
+        chance = 1 / (1 + ratio * (1 - share) / share)
+        share = min(max(float((chance * n).sum()) / max(len(of), 1), 1e-6), .5)
+    odds = chance * (_digamma(j + b) - _digamma(j + f) - math.log(rate / (1 - rate)))
+    return np.clip(odds, -BOUND, BOUND)[of]
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int, doc_id: str, text: str, targets: dict[str, Column]):
     """Weights (target, feature) and prior log odds of each target, from the
     ``sample`` labelled documents of least hash."""
@@ -85,17 +118,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int, doc_id: str, text: st
     names = ["feature", *[f"{n}_{x}" for n in targets for x in ("bad", "fine")]]
     counts = (rows.select("text", *targets).mapInArrow(emit, ", ".join(f"{n} long" for n in names))
               .groupBy("feature").agg(*[F.sum(n).alias(n) for n in names[1:]])
-              .where((F.col("feature") < 0) | (F.col(names[1]) + F.col(names[2]) >= LEAST)).toArrow())  # at most DIMENSION + 1 rows
+              .toArrow())  # at most DIMENSION + 1 rows
     feature = counts.column("feature").to_numpy()
     weights, priors = np.zeros((len(targets), DIMENSION), np.float32), []
     for k, n in enumerate(targets):
         bad, fine = counts.column(f"{n}_bad").to_numpy(), counts.column(f"{n}_fine").to_numpy()
         at = np.flatnonzero(feature == -1)
         all_bad, all_fine = (int(bad[at].sum()), int(fine[at].sum()))
-        odds = np.log((bad + .5) / (all_bad + 1)) - np.log((fine + .5) / (all_fine + 1))
-        sure = np.abs(odds) >= np.maximum(STRONG, SURE * np.sqrt(1 / (bad + .5) + 1 / (fine + .5)))
-        odds = np.where((bad + fine >= LEAST) & sure & (feature >= 0), np.clip(odds, -BOUND, BOUND), 0)
-        weights[k, feature[feature >= 0]] = odds[feature >= 0]
+        seen = (feature >= 0) & (bad + fine > 1)  # one document tells nothing
+        weights[k, feature[seen]] = shrunk_odds(bad[seen], fine[seen], all_bad, all_fine)
         # one document in a hundred is taken to be bad before any label is seen
         priors.append(math.log((all_bad + .01) / (all_fine + .99)))
     return weights, priors

@@ -202,6 +202,24 @@ def test_quality(spark, docs, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_quality_learns_from_few_documents(spark):
+    text = lambda i, tail: " ".join(f"w{i}x{k}" for k in range(60)) + tail
+    own = [(i, text(i, " idiot" if i % 8 == 0 else ""), "en") for i in range(400)]
+    own += [(i, text(i, " bomenteco" if i % 10 == 0 else ""), "es") for i in range(1000, 1120)]
+    labels = [(i, 1, int(i % 8 == 0)) for i in range(320)] + [(i, 1, int(i % 10 == 0)) for i in range(1000, 1080)]
+    got = quality.classify(spark.createDataFrame([(*x, "s") for x in own], "doc_id long, text string, lang string, source string"),
+                           spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    bad = {i for i, t, _ in own if t.endswith(("idiot", "bomenteco"))}
+    assert {r.doc_id for r in got.where("NOT kept").collect()} == bad
+
+
+def test_quality_needs_no_quality_label_for_toxicity(spark):
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60)) + (" idiot" if i % 4 == 0 else "")
+    own = spark.createDataFrame([(i, text(i), "s", "en") for i in range(200)], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, None, int(i % 4 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    assert {(r.doc_id % 4 == 0, r.kept) for r in quality.classify(own, labels).collect()} == {(True, False), (False, True)}
+
+
 def test_pii(docs, empty, rows):
     feistel = pii.Feistel(b"k")
     for kind, size in (("a", 1), ("a", 2), ("b", 10), ("c", 1000)):
