@@ -3,7 +3,10 @@
 Lines that begin with ``>`` marks are quoted, one level a mark.  Consecutive
 lines of one level are a passage; a quoted passage is normalised (case, marks,
 punctuation and space left out) and hashed.  Hashes are joined to the earliest
-message that says the passage unquoted, in the same conversation or else in any.
+message that says the passage unquoted, in the same conversation or else in the
+other one of smallest conv_id (conversations are not ordered in time).  A message says
+each of its passages, each line and each run of consecutive lines; runs are made
+only where a quoted passage begins with their first line, in that passage's length.
 A message replies to what its first quoted level-one passage links to, or else
 to the message before it; threads follow the explicit links to their first
 message.  Rows come with a reply order and text without quotes.  DataFrame
@@ -49,6 +52,20 @@ def passages(text: Column) -> Column:
     return F.when(text.isNull(), empty).when(~text.contains(">"), plain).otherwise(F.aggregate(lines, empty, add))
 
 
+def lines(text: Column) -> Column:
+    """The normalised lines that aren't empty."""
+    return F.filter(F.transform(F.split(text, "\r?\n"), normal), lambda x: x != "")
+
+
+def runs(text: Column, first: Column, lengths: Column) -> Column:
+    """Hashes of the runs of so many lines that begin with a line of hash ``first``."""
+    def of(said):
+        starts = F.filter(F.sequence(F.lit(1), F.size(said)), lambda i: F.xxhash64(F.get(said, i - 1)) == first)
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.filter(lengths, lambda n: i + n - 1 <= F.size(said)), lambda n: F.xxhash64(F.array_join(F.slice(said, i, n), " ")))))
+    return F.array_distinct(F.flatten(F.transform(F.array(lines(text)), of)))
+
+
 def link_quotations(messages: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                     text: str = "text") -> DataFrame:
     """(conv_id, turn, role, body, n_quotes, n_linked, reply_conv, reply_turn, quoted, thread_conv,
@@ -57,8 +74,10 @@ def link_quotations(messages: DataFrame, conv_id: str = "conv_id", turn: str = "
     ``body`` is the text without quoted lines; ``quoted`` lists the links (level,
     conv_id, turn); thread_* is the first message of the thread, depth the number
     of quote links to it: (thread_conv, thread_turn, conv_id, turn) orders replies after
-    what they answer.  Quotes of passages that no earlier message says, and empty
-    ones, stay unlinked.  Null texts have no passages; a null conv_id or turn
+    what they answer.  Quotes of passages that no earlier message of the conversation
+    and no message of another one says, and empty ones, stay unlinked; so do lines
+    quoted only in part.  Links between conversations may close a circle: its
+    smallest (conv_id, turn) begins the thread.  Null texts have no passages; a null conv_id or turn
     neither links nor is linked to; rows that repeat a (conv_id, turn) get equal
     links; other columns are not read; an empty table gives an empty result."""
     rows = stored(messages.select(
@@ -66,18 +85,29 @@ def link_quotations(messages: DataFrame, conv_id: str = "conv_id", turn: str = "
         passages(F.col(text).cast("string")).alias("passages")), "messages")
     each = (rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
             .select("conv_id", "turn", F.posexplode("passages").alias("place", "p"))
-            .select("conv_id", "turn", "place", "p.level", F.explode(F.array_distinct(F.when(
+            .select("conv_id", "turn", "place", "p.level", F.when(F.col("p.level") > 0, F.col("p.text")).alias("passage"), F.explode(F.array_distinct(F.when(
                 F.col("p.level") == 0, F.concat(F.array(normal(F.col("p.text"))), F.transform(F.split("p.text", "\r?\n"), normal)))
                 .otherwise(F.array(normal(F.col("p.text")))))).alias("words"))
             .where("words <> ''").withColumn("hash", F.xxhash64("words")))
-    quoted = stored(each.where("level > 0"), "quoted")
+    quoted = stored(each.where("level > 0").withColumn("lines", lines(F.col("passage"))), "quoted")
     # only passages that someone quotes are looked for; the earliest sayer is an aggregate
-    said = each.where("level = 0").join(quoted.select("hash").distinct(), "hash", "left_semi")
-    here = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("own_turn"))
-    anywhere = here.groupBy("hash").agg(F.min(F.struct("conv_id", "own_turn")).alias("first"))
-    linked = (quoted.join(here, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
+    several = F.size("lines") > 1
+    wanted = (quoted.select("hash", F.lit(True).alias("whole"), F.lit(None).cast("int").alias("n"))
+              .unionByName(quoted.where(several).select(F.xxhash64(F.get("lines", F.lit(0))).alias("hash"), F.lit(False).alias("whole"), F.size("lines").alias("n")))
+              .groupBy("hash").agg(F.max("whole").alias("whole"), F.collect_set("n").alias("lengths")))
+    found = stored(each.where("level = 0").select("conv_id", "turn", "place", "hash").join(wanted, "hash"), "said")
+    begun = (found.where(F.size("lengths") > 0)
+             .join(rows.select("conv_id", "turn", "passages"), ["conv_id", "turn"])
+             .select("conv_id", "turn", F.explode(runs(F.get("passages", F.col("place"))["text"], F.col("hash"), F.col("lengths"))).alias("hash")))
+    said = (found.where("whole").select("conv_id", "turn", "hash")
+            .unionByName(begun.join(quoted.where(several).select("hash").distinct(), "hash", "left_semi").select("conv_id", "turn", "hash")))
+    here = stored(said.groupBy("hash", "conv_id").agg(F.min("turn").alias("own_turn")), "sayers")
+    first = here.groupBy("hash").agg(F.min(F.struct("conv_id", F.col("own_turn").alias("turn"))).alias("first"))
+    second = (here.join(first, "hash").where("conv_id <> first.conv_id")
+              .groupBy("hash").agg(F.min(F.struct("conv_id", F.col("own_turn").alias("turn"))).alias("second")))
+    linked = (quoted.drop("passage", "lines").join(here, ["hash", "conv_id"], "left").join(first, "hash", "left").join(second, "hash", "left")
               .withColumn("to", F.when(F.col("own_turn") < F.col("turn"), F.struct("conv_id", F.col("own_turn").alias("turn")))
-                          .when(F.col("first.conv_id") < F.col("conv_id"), F.struct(F.col("first.conv_id"), F.col("first.own_turn").alias("turn")))))
+                          .when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))))
     links = (linked.groupBy("conv_id", "turn")
              .agg(F.countDistinct("place").cast("long").alias("n_quotes"),
                   F.countDistinct(F.when(F.col("to").isNotNull(), F.col("place"))).cast("long").alias("n_linked"),
@@ -100,14 +130,30 @@ def link_quotations(messages: DataFrame, conv_id: str = "conv_id", turn: str = "
 
 
 def _threads(links: DataFrame) -> DataFrame:
-    """(node, root, depth): links followed to their end, twice as far each round.  A link leads to
-    an earlier message, so there are no circles."""
-    now = stored(links.select("node", F.col("to").alias("root"), F.lit(1).cast("long").alias("depth")), "threads")
-    while True:
-        next_ = now.select(F.col("node").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more"))
-        step = stored(now.join(next_, "root", "left").select(
-            "node", F.coalesce("further", "root").alias("root"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("further").isNotNull().alias("moved")), "threads")
-        if step.where("moved").isEmpty():
-            return now
-        now = step.drop("moved")
+    """(node, root, depth): links followed to their end, twice as far each round.  Inside a
+    conversation a link leads to an earlier message; where links between conversations close
+    a circle, its smallest message is the end, and its own link is not followed."""
+    def followed(now: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+        """Everything followed, or after over ``most`` steps the rows that still move."""
+        steps = 1
+        while True:
+            next_ = now.select(F.col("node").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more"), F.col("least").alias("other"))
+            step = stored(now.join(next_, "root", "left").select(
+                "node", F.coalesce("further", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                F.least("least", "other").alias("least"), F.col("further").isNotNull().alias("moved")), "threads")
+            moving = step.where("moved")
+            if moving.isEmpty():
+                return now, None
+            now, steps = step.drop("moved"), 2 * steps
+            if steps > most:
+                return now, moving
+
+    start = stored(links.select("node", F.col("to").alias("root"), F.lit(1).cast("long").alias("depth"), F.least("node", "to").alias("least")), "threads")
+    now, moving = followed(start, start.select("node").distinct().count())
+    if moving is not None:
+        # as many steps as links end on a circle, and from there the least of all on it has been met
+        ends = moving.select(F.col("root").alias("node")).distinct()
+        cut = now.join(ends, "node", "left_semi").select(F.col("least").alias("node")).distinct()
+        start = stored(start.join(cut, "node", "left_anti"), "threads")
+        now, _ = followed(start, start.count() * 2 + 2)
+    return now.drop("least")

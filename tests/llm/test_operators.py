@@ -249,6 +249,24 @@ def test_quotes(spark):
     assert quotes.link_quotations(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_quotes_of_some_lines_and_of_other_conversations(spark):
+    said = "One fish.\nTwo fish!\n\nRed fish?\nBlue fish.\nTwo fish!"
+    data = [(1, 0, "u", said), (1, 1, "a", "> two fish\n> Red fish\nyes"), (1, 2, "u", "> Red fish?\n>\n> Blue fish.\n> Two fish!"),
+            (1, 3, "a", "> One fish.\n> Red fish?\nno such run"), (1, 4, "u", "> Two fish!\n> Red fish?\n> Two fish!"),
+            (1, 5, "a", "> Two fish!\n> Green fish.\nquotes a later one"), (1, 6, "u", "Two fish!\nGreen fish."),
+            (2, 0, "u", "> late\n> words\nnew"), (3, 0, "u", "so\nlate\nwords"), (4, 0, "u", "late\nwords\nagain"),
+            (5, 0, "u", "> here a\n> here b\nthere a\nthere b\nx"), (6, 0, "u", "> there a\n> there b\nhere a\nhere b\ny"),
+            (7, 0, "u", "> y\nend"), (8, 0, "u", "> alone\nalone")]
+    got = quotes.link_quotations(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()
+    to = {(r.conv_id, r.turn): [(q.conv_id, q.turn) for q in r.quoted] for r in got}
+    thread = {(r.conv_id, r.turn): (r.thread_conv, r.thread_turn, r.depth) for r in got}
+    assert len(got) == len(data)
+    assert to[1, 1] == to[1, 2] == [(1, 0)] and not to[1, 3] and not to[1, 4] and not to[1, 5]
+    assert to[2, 0] == [(3, 0)] and thread[2, 0] == (3, 0, 1) and not to[8, 0]
+    assert to[5, 0] == [(6, 0)] and to[6, 0] == [(5, 0)] and to[7, 0] == [(6, 0)]  # a circle
+    assert thread[5, 0] == (5, 0, 0) and thread[6, 0] == (5, 0, 1) and thread[7, 0] == (5, 0, 2)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
