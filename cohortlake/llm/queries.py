@@ -71,7 +71,48 @@ def op10_bpe(spark, sf_dir):
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    from cohortlake.llm.hard_negatives import mine
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0,
+                positives=5, negatives=3, low=50, high=95, scale=256)
+
+
+def op12_whitening(spark, sf_dir):
+    from cohortlake.llm.whitening import whiten
+    rows, model = whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64, offset=1_000_000)
+    share = F.array(*[F.lit(float(v / model.trace)) for v in model.values]).cast("array<double>")
+    return (rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+                    "whitened", share[F.col("at")].alias("explained"),
+                    F.lit(model.identity_error).cast("double").alias("identity_error")))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality_classifier, op4_suffix_dedup,
                                      op5_quotation_linking, op6_decontamination, op7_substring_dedup,
-                                     op8_license_scan, op9_quality_rules, op10_bpe)}
-ORACLE = {}
+                                     op8_license_scan, op9_quality_rules, op10_bpe, op11_hard_negatives,
+                                     op12_whitening)}
+
+#: DuckDB SQL of the queries that SQL can express.
+ORACLE = {
+    "op11_hard_negatives": """
+        WITH rows_ AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id,
+                   CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+            FROM rows_ a JOIN rows_ r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+        positive AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+        QUALIFY rank <= 3""",
+}
