@@ -16,14 +16,13 @@ anchor's fifth best score in its own block.  They fix the windows of the negativ
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import ready, stored
+from cohortlake.llm.meeting import Once, meet
 from cohortlake.llm.vectors import lists, matrix, usable
 
 #: Rows of a block, blocks of a page of block ranges, anchors compared at once.
@@ -177,61 +176,6 @@ def place(measured: DataFrame, blocks: int, positives: int) -> DataFrame:
     return dealt.mapInArrow(run, _PLACED)
 
 
-_VISIT = ("key long, salt int, kind int, vec_id long, label long, sig long, q array<double>, angles array<double>, "
-          "norm double, home long, windows array<double>").split(", ")
-
-
-def _visits(holders: DataFrame, visitors: DataFrame, work: Callable[[pa.Table, pa.Table], Iterator[pa.Table]],
-            schema: str) -> DataFrame:
-    """Each key's holders, kept in one task, meet its visitors, streamed in slices."""
-    def shaped(df, kind):
-        df = df.withColumn("kind", F.lit(kind))
-        have = set(df.columns)
-        cols = []
-        for c in _VISIT:
-            name, t = c.split(" ")
-            cols.append((F.col(name) if name in have else F.lit(None)).cast(t).alias(name))
-        return df.select(*cols)
-
-    def run(batches):
-        held, key, keep = [], None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = pa.Table.from_batches([batch])
-            keys = np.stack([t.column(n).to_numpy().astype(np.int64) for n in ("key", "salt", "kind")], 1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                part, now = t.slice(a, b - a), tuple(keys[a, :2].tolist())
-                if now != key:
-                    held, key, keep = [], now, None
-                if keys[a, 2] == 0:
-                    held.append(part)
-                    continue
-                if held:
-                    keep, held = pa.concat_tables(held), []
-                if keep is None:
-                    continue
-                for i in range(0, len(part), SLICE):
-                    for out in work(keep, part.slice(i, SLICE)):
-                        yield from out.to_batches()
-
-    both = shaped(holders, 0).unionByName(shaped(visitors, 1))
-    return both.repartition("key", "salt").sortWithinPartitions("key", "salt", "kind").mapInArrow(run, schema)
-
-
-class _Cached:
-    """The block of the last holders seen, made once for all its slices."""
-
-    def __init__(self, make):
-        self.make, self.of, self.value = make, None, None
-
-    def __call__(self, table):
-        if table is not self.of:
-            self.of, self.value = table, self.make(table)
-        return self.value
-
-
 def block_ranges(placed: DataFrame, k: int) -> DataFrame:
     """Ranges of angles and norms of each block, packed to pages."""
     low = F.array(*[F.min(F.col("angles")[i]) for i in range(k)]).cast("array<double>")
@@ -257,13 +201,13 @@ def _to_blocks(anchors: DataFrame, pages: DataFrame, n_pages: int, salts: int, k
             yield pa.table({"block": block, **{n: rows.column(n) for n in names}})
 
     names = ["vec_id", "label", "sig", "q", "angles", "norm", "home", "windows"]
-    packed = _Cached(pack)
-    holders = pages.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    visitors = (anchors.withColumn("salt", F.pmod(F.xxhash64("vec_id", "sig"), F.lit(salts)).cast("int"))
-                .withColumn("key", F.explode(F.sequence(F.lit(0), F.lit(n_pages - 1)))))
-    found = _visits(holders, visitors.withColumnRenamed("block", "home"), work,
-                    "block long, vec_id long, label long, sig long, q array<double>, "
-                    "angles array<double>, norm double, home long, windows array<double>")
+    packed = Once(pack)
+    holders = pages.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    visitors = (anchors.withColumn("salt", F.pmod(F.xxhash64("vec_id", "sig"), F.lit(salts)).cast("long"))
+                .withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_pages - 1).cast("long")))))
+    found = meet(holders, visitors.withColumnRenamed("block", "home"), work,
+                 "block long, vec_id long, label long, sig long, q array<double>, "
+                 "angles array<double>, norm double, home long, windows array<double>", SLICE)
     if skip_own:
         found = found.where("block <> home")
     return found.withColumnRenamed("block", "key")
@@ -301,12 +245,12 @@ def _search(placed: DataFrame, to_blocks: DataFrame, k: int, width: int, same_la
                             "found_id": b.ids[which], "found_sig": b.sigs[which],
                             "score": np.concatenate([o[3] for o in out])})
 
-    block = _Cached(Block)
+    block = Once(Block)
     holders = (placed.select(F.col("block").alias("key"), "vec_id", "label", "sig", "q", "angles", "norm")
-               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    visitors = to_blocks.withColumn("salt", F.pmod(F.xxhash64("vec_id", "sig"), F.lit(salts)).cast("int"))
-    return _visits(holders, visitors, work, "anchor_id long, anchor_label long, anchor_sig long, window int, "
-                                            "found_id long, found_sig long, score long")
+               .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))))
+    visitors = to_blocks.withColumn("salt", F.pmod(F.xxhash64("vec_id", "sig"), F.lit(salts)).cast("long"))
+    return meet(holders, visitors, work, "anchor_id long, anchor_label long, anchor_sig long, window int, "
+                                         "found_id long, found_sig long, score long", SLICE)
 
 
 def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,

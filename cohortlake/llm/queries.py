@@ -88,10 +88,15 @@ def op12_whitening(spark, sf_dir):
                     F.lit(model.identity_error).cast("double").alias("identity_error")))
 
 
+def op13_jaccard_join(spark, sf_dir):
+    from cohortlake.llm.jaccard import similar_components
+    return similar_components(table(spark, sf_dir, "documents"), gram=3, percent=90)
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality_classifier, op4_suffix_dedup,
                                      op5_quotation_linking, op6_decontamination, op7_substring_dedup,
                                      op8_license_scan, op9_quality_rules, op10_bpe, op11_hard_negatives,
-                                     op12_whitening)}
+                                     op12_whitening, op13_jaccard_join)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE = {
@@ -115,4 +120,25 @@ ORACLE = {
         FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
          AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
         QUALIFY rank <= 3""",
+    "op13_jaccard_join": r"""
+        WITH RECURSIVE word AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                   END AS s
+            FROM word),
+        class AS (SELECT list_sort(s) AS s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s), len(s)),
+        token AS (SELECT rep, n, unnest(s) AS t FROM class),
+        link AS (
+            SELECT a.rep AS a, b.rep AS b FROM token a JOIN token b ON a.t = b.t AND a.rep < b.rep
+            GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach AS (SELECT rep AS a, rep AS b FROM class UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+        component AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(p.component_id, d.doc_id) AS component_id
+        FROM sets d LEFT JOIN class c ON list_sort(d.s) = c.s LEFT JOIN component p ON p.rep = c.rep""",
 }
