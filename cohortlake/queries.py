@@ -16,7 +16,7 @@ from cohortlake.functions import ids, names, tensor, text
 from cohortlake.operators import deid, elements, listing, position, sets, split, tensors
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
-from cohortlake.sources import demo, readers
+from cohortlake.sources import demo, readers, walk
 from cohortlake.streaming import peak
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -405,3 +405,15 @@ def dicom_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = headers.header_elements(paths.select(F.col("file_path").alias("path")), headers.decode_json_elements)
     return decoded.join(paths, "file_path").select(
         "subject", elements.position_key().alias("sort_key"), "depth", "tag", "vr", "keyword", "value")
+
+
+@query
+def tree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 with S7 and S9's name rules: a tree of files and folders (some empty) written
+    from orders to the shared folder, walked by the executors."""
+    out = shared_dir(spark, "tree")
+    demo.write_tree(demo.order_tree(spark, sf_dir), out)
+    file = F.col("kind") == "file"
+    return walk.tree_entries(spark, out).select(
+        "rel", "kind", "size", F.coalesce(file & names.is_dicom_name_prefix("name"), F.lit(False)).alias("is_dicom"),
+        F.coalesce(file & names.is_readable_name("name"), F.lit(False)).alias("readable"))

@@ -7,11 +7,12 @@ for the oracle; every adapter's size grows with the table it reads.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.operators.position import with_position
-from cohortlake.session import materialize
+from cohortlake.session import materialize, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -250,3 +251,43 @@ def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64 float32 values per embedding row = one 4x4x4 volume; label as dx."""
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "embedding", _s("label").alias("dx"))
+
+
+# ---------------------------------------------------------------- file trees
+def order_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rel, kind, size): a file per order below its customer's folder, or (every
+    fourth order) a folder of its own, with an index file or empty."""
+    k = F.col("o_orderkey")
+    home = F.concat(F.lit("part"), _s(F.col("o_custkey") % 40), F.lit("/"), _s("o_custkey"))
+    rel = (F.when(k % 4 != 0, F.concat(home, F.lit("/IM_"), _s(k)))
+            .when(k % 8 == 4, F.concat(home, F.lit("/S"), _s(k), F.lit("/DICOMDIR")))
+            .otherwise(F.concat(home, F.lit("/S"), _s(k))))
+    return table(spark, sf_dir, "orders").select(
+        rel.alias("rel"), F.when(k % 8 == 0, F.lit("dir")).otherwise(F.lit("file")).alias("kind"),
+        F.when(k % 8 != 0, k % 7).alias("size"))
+
+
+def write_tree(entries: DataFrame, out_dir: str) -> None:
+    """Write the files (``size`` bytes each, or ``content``) and folders of ``entries``
+    (rel, kind, size or content) below ``out_dir``."""
+    from cohortlake.operators.tensors import _filesystem
+    base = out_dir.rstrip("/")
+    ship_package(entries.sparkSession)
+    content = "content" if "content" in entries.columns else "size"
+
+    def run(batches):
+        filesystem, root = _filesystem(base)
+        made = set()
+        for batch in batches:
+            for rel, kind, what in zip(*[batch.column(n).to_pylist() for n in ("rel", "kind", content)]):
+                folder = rel if kind == "dir" else rel.rpartition("/")[0]
+                if folder not in made:
+                    filesystem.create_dir(f"{root}/{folder}", recursive=True)
+                    made.add(folder)
+                if kind != "dir":
+                    with filesystem.open_output_stream(f"{root}/{rel}") as f:
+                        f.write(what if isinstance(what, bytes) else b"x" * what)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    (entries.select("rel", "kind", F.col(content) if content == "size" else F.col(content).cast("binary").alias(content))
+     .mapInArrow(run, "n long").write.format("noop").mode("overwrite").save())

@@ -536,3 +536,19 @@ WHERE e.keyword NOT IN ('PatientID', 'FileSetID')
 ORACLE["dicom_headers"] = _with(ELEMENTS) + r"""
 SELECT subject, sort_key, depth, tag, vr, keyword, value FROM elements
 """
+
+ORACLE["tree_walk"] = r"""
+WITH given AS (
+  SELECT o_orderkey AS k, 'part' || CAST(o_custkey % 40 AS VARCHAR) AS top, CAST(o_custkey AS VARCHAR) AS cust FROM orders),
+file AS (
+  SELECT top || '/' || cust || CASE WHEN k % 4 <> 0 THEN '/IM_' || k ELSE '/S' || k || '/DICOMDIR' END AS rel,
+         k % 7 AS size, k % 4 <> 0 AS image
+  FROM given WHERE k % 8 <> 0),
+dir AS (
+  SELECT DISTINCT top AS rel FROM given
+  UNION SELECT top || '/' || cust FROM given
+  UNION SELECT top || '/' || cust || '/S' || k FROM given WHERE k % 4 = 0)
+SELECT rel, 'file' AS kind, size, image AS is_dicom, true AS readable FROM file
+UNION ALL
+SELECT rel, 'dir', NULL, false, false FROM dir
+"""
