@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.tags import tag_matches, tag_matches_top_level
 from cohortlake.operators.position import first_k_per_group
+from cohortlake.operators.records import without_image_children
 
 
 def select_tags(elements: DataFrame, tag_list: Iterable[str] | None,
@@ -74,8 +75,11 @@ IMAGES_SHOWN = 4
 
 def tree_listing(records: DataFrame) -> DataFrame:
     """The record tree, two spaces per level: every non-image record, the
-    first four images under each parent, and for a fifth image a ``(...)``
-    line plus a notice.  ``line`` orders the two lines of one record."""
+    first four images under each parent (the count starts anew in each subtree), and
+    for a fifth image a ``(...)`` line plus a notice.  What lies below an image is not
+    listed.  ``sort_key`` orders the records of a file from the top, each before what
+    is below it; ``line`` orders the two lines of one record."""
+    records = without_image_children(records)
     level = F.size("parent_pos")
     indent = F.repeat(F.lit("  "), level)
     group = ["dicomdir_path", "parent_pos"]
@@ -90,4 +94,5 @@ def tree_listing(records: DataFrame) -> DataFrame:
     ).otherwise(F.array(F.concat(indent, F.lit(TREE_MORE)), F.concat(indent, F.lit(TREE_IGNORING))))
     images = imgs.select(*group, "pos", F.posexplode(img_lines).alias("line", "text"))
     return (others.unionByName(images)
-            .select("dicomdir_path", level.alias("level"), "pos", "line", "text"))
+            .withColumn("_path", F.concat("parent_pos", F.array(F.col("pos").cast("int"))))
+            .select("dicomdir_path", level.alias("level"), position_key("_path").alias("sort_key"), "pos", "line", "text"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
-from cohortlake.operators import deid, elements, listing, position, sets, split, tensors
+from cohortlake.operators import deid, elements, listing, position, records, sets, split, tensors
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import demo, readers, walk
@@ -305,7 +305,7 @@ def max_files_per_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tree_top4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record tree with the first four images per level."""
     # records feed two branches (images, other records): numbered once
-    return elements.tree_listing(materialize(demo.dicomdir_records(spark, sf_dir)))
+    return elements.tree_listing(materialize(demo.dicomdir_records(spark, sf_dir))).drop("sort_key")
 
 
 @query
@@ -417,3 +417,18 @@ def tree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walk.tree_entries(spark, out).select(
         "rel", "kind", "size", F.coalesce(file & names.is_dicom_name_prefix("name"), F.lit(False)).alias("is_dicom"),
         F.coalesce(file & names.is_readable_name("name"), F.lit(False)).alias("readable"))
+
+
+@query
+def record_tree_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6/C6 on three levels: patient, study per order, record per line, read from the
+    nested elements of one index file per customer."""
+    # the element rows stand for files already decoded: made once, read by several branches
+    found = records.records_from_elements(materialize(demo.index_elements(spark, sf_dir)))
+    return elements.tree_listing(materialize(found)).drop("pos")
+
+
+@query
+def record_tree_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6/C6 on the same records as a flat list linked by offsets."""
+    return elements.tree_listing(records.records_from_offsets(demo.index_offsets(spark, sf_dir))).drop("pos")

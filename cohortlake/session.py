@@ -77,6 +77,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` written below the shared folder and read again: cuts the lineage of an
+    iterative job in a way that survives the loss of executors."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, spread: bool = False):
     """Persist ``df`` (memory, spilling to disk); its first reader fills the
     cache, so building a query runs nothing.  Lost blocks are recomputed from

@@ -193,6 +193,64 @@ def dicomdir_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order line with the number of its order among the customer's, and its own
+    among the order's (from 0)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = with_position(o, ["o_orderkey"], ["o_custkey"], pos_col="study")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    li = with_position(li, ["l_orderkey", "l_linenumber"], ["l_orderkey"], pos_col="image")
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+
+def _line_type() -> Column:
+    return F.when(F.col("l_linenumber") == 2, F.lit("PRESENTATION")).otherwise(F.lit("IMAGE"))
+
+
+def index_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element rows of one index file per customer: a patient record, in it a study per
+    order, in that a record per line, and in each study a sequence of another kind
+    whose items look like records."""
+    lines = materialize(_index_lines(spark, sf_dir))
+    path = F.concat(F.lit("index/"), _s("o_custkey"))
+
+    def rows(df, *items):
+        made = [F.struct(F.array(*[x if isinstance(x, Column) else F.lit(x) for x in pos]).cast("array<int>").alias("elem_pos"),
+                         F.lit(tag).alias("tag"), value.cast("string").alias("value")) for pos, tag, value in items]
+        return df.select(path.alias("file_path"), F.inline(F.array(*made)))
+
+    none, s, m = F.lit(None), F.col("study"), F.col("image")
+    top = rows(lines.select("o_custkey").distinct(), ([0], "(0004,1130)", F.lit("SET")), ([1], "(0004,1220)", none),
+               ([1, 0, 0], "(0004,1430)", F.lit("PATIENT")), ([1, 0, 1], "(0004,1220)", none))
+    study = rows(lines.select("o_custkey", "study").distinct(),
+                 ([1, 0, 1, s, 0], "(0004,1430)", F.lit("STUDY")), ([1, 0, 1, s, 1], "(0004,1220)", none),
+                 ([1, 0, 1, s, 2], "(0088,0200)", none), ([1, 0, 1, s, 2, 0, 0], "(0004,1430)", F.lit("DECOY")))
+    image = rows(lines.filter("image is not null"), ([1, 0, 1, s, 1, m, 0], "(0004,1430)", _line_type()),
+                 ([1, 0, 1, s, 1, m, 1], "(0004,1500)", F.concat(F.lit("DICOM\\IM_"), _s(m))))
+    return top.unionByName(study).unionByName(image)
+
+
+def index_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of ``index_elements`` as flat lists linked by offsets."""
+    lines = materialize(_index_lines(spark, sf_dir))
+    path = F.concat(F.lit("index/"), _s("o_custkey")).alias("dicomdir_path")
+    none, k, m = F.lit(None), F.col("study") * 4096 + 2, F.col("image")
+
+    def rows(df, offset, after, lower, kind):
+        return df.select(path, offset.cast("long").alias("offset"), after.cast("long").alias("next_offset"),
+                         lower.cast("long").alias("lower_offset"), kind.alias("record_type"),
+                         none.cast("array<string>").alias("referenced_file_id"))
+
+    each = lines.groupBy("o_custkey", "study").agg(F.max("image").alias("last"))
+    patients = each.groupBy("o_custkey").agg(F.max("study").alias("last_study"))
+    studies = each.join(patients, "o_custkey")
+    images = lines.filter("image is not null").join(each, ["o_custkey", "study"])
+    return (rows(patients, F.lit(1), none, F.lit(2), F.lit("PATIENT"))
+            .unionByName(rows(studies, k, F.when(F.col("study") < F.col("last_study"), k + 4096),
+                              F.when(F.col("last").isNotNull(), k + 1), F.lit("STUDY")))
+            .unionByName(rows(images, k + 1 + m, F.when(m < F.col("last"), k + 2 + m), none, _line_type())))
+
+
 def rename_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long element rows for the sort template: four keywords per order."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")

@@ -552,3 +552,35 @@ SELECT rel, 'file' AS kind, size, image AS is_dicom, true AS readable FROM file
 UNION ALL
 SELECT rel, 'dir', NULL, false, false FROM dir
 """
+
+# the tree walked from its roots: each node's lines, then those below it
+_RECORD_TREE = r"""
+WITH RECURSIVE line AS (
+  SELECT o_custkey AS cust, o_orderkey AS k, l_linenumber AS n,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber) AS pos
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+node AS (
+  SELECT o_custkey AS cust, 'p' AS id, NULL AS up, 1 AS pos, 'PATIENT' AS kind FROM orders GROUP BY o_custkey
+  UNION ALL
+  SELECT o_custkey, 's' || o_orderkey, 'p', row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey), 'STUDY' FROM orders
+  UNION ALL
+  SELECT cust, 'i' || k || '/' || n, 's' || k, pos, CASE WHEN n = 2 THEN 'PRESENTATION' ELSE 'IMAGE' END FROM line),
+counted AS (
+  SELECT *, CASE WHEN kind = 'IMAGE' THEN sum(CASE WHEN kind = 'IMAGE' THEN 1 ELSE 0 END) OVER (
+              PARTITION BY cust, up ORDER BY pos) END AS nth
+  FROM node),
+walked AS (
+  SELECT cust, id, 0 AS level, lpad(CAST(pos AS VARCHAR), 6, '0') AS sort_key, kind, nth FROM counted WHERE up IS NULL
+  UNION ALL
+  SELECT c.cust, c.id, w.level + 1, w.sort_key || '.' || lpad(CAST(c.pos AS VARCHAR), 6, '0'), c.kind, c.nth
+  FROM walked w JOIN counted c ON c.cust = w.cust AND c.up = w.id WHERE w.kind <> 'IMAGE')
+SELECT 'index/' || CAST(cust AS VARCHAR) AS dicomdir_path, level, sort_key, 0 AS line,
+       repeat('  ', level) || CASE WHEN nth = 5 THEN '|-(...)' ELSE '|-' || kind END AS text
+FROM walked WHERE nth IS NULL OR nth <= 5
+UNION ALL
+SELECT 'index/' || CAST(cust AS VARCHAR), level, sort_key, 1, repeat('  ', level) || 'Ignoring the remaining images...'
+FROM walked WHERE nth = 5
+"""
+
+ORACLE["record_tree_nested"] = _RECORD_TREE
+ORACLE["record_tree_offsets"] = _RECORD_TREE

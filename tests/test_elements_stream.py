@@ -27,14 +27,14 @@ def test_first_files_per_dir_matches_loop(spark):
 
 def test_tree_listing_counts_per_parent(spark):
     recs = [([], i + 1, "IMAGE" if i % 4 else "SERIES") for i in range(12)] + \
-           [([2], i + 1, "IMAGE") for i in range(3)]
+           [([5], i + 1, "IMAGE") for i in range(3)] + [([2], 1, "SERIES")]
     df = spark.createDataFrame([("dd", *r) for r in recs],
                                "dicomdir_path string, parent_pos array<int>, pos int, record_type string")
     out = elements.tree_listing(df).orderBy("level", "pos", "line").collect()
     top = [r["text"] for r in out if r["level"] == 0]
     assert top.count("|-SERIES") == 3
     assert top.count("|-IMAGE") == 4 and "|-(...)" in top and "Ignoring the remaining images..." in top
-    assert [r["text"] for r in out if r["level"] == 1] == ["  |-IMAGE"] * 3
+    assert [r["text"] for r in out if r["level"] == 1] == ["  |-IMAGE"] * 3    # nothing below an image
 
 
 def test_report_order_and_deid(spark):
