@@ -1,19 +1,21 @@
 """Row positions in a total order, globally or within groups (W2), and
 ordered running aggregates (W8), without a single-task window.
 
-One lazy, value-based method for every size.  The range of the first order
-column (its least and greatest value, a scalar subquery) is cut into equal
-bins.  Rows are counted per (group, bin); summing those counts over the bins
-before gives what precedes each bin.  That number enters the bin as one marker
-row, ahead of the bin's own rows, so one running sum per (group, bin) yields
-positions: one shuffle of the rows, on (group, bin), and no join.  A hot group
-is spread over its bins, and its counts are at most one row per bin.
+One lazy, value-based method for every size.  A quantile sketch (the rows of smallest
+hash, which merges by keeping the smallest again) cuts the order of (group, order
+columns) into bins of about equally many rows, whatever the values: an outlier moves
+no end, and rows that share a value are parted by the columns after it.  A row finds
+its bin by binary search over the ends.  Rows are counted per (group, bin); summing
+those counts over the bins before gives what precedes each bin.  That number enters the
+bin as one marker row, ahead of the bin's own rows, so one running sum per (group, bin)
+yields positions: one shuffle of the rows, on (group, bin), and no join.  A group
+smaller than a bin lies in one or two of them; only bins in which a group goes on have a
+marker, so there are no more markers than bins.  A hot group is spread over its bins.
 
 ``order_cols`` must be a total order inside a group (add a unique
-tie-breaker), otherwise positions among ties are arbitrary.  Rows with equal
-values of the first order column share a bin: put the column of most distinct
-values first where the order allows it.  The input is read three times (range,
-counts, rows) and must give the same rows each time.
+tie-breaker), otherwise positions among ties are arbitrary.  Bins are cut by the order
+columns given by name before the first given as an expression.  The input is read three
+times (sketch, counts, rows) and must give the same rows each time.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BIN, _MARK, _W = "_bin", "_mark", "_w"
-#: Bins per shuffle partition of the session, over the whole range.
-BINS_PER_PARTITION = 16
+#: Bins per shuffle partition of the session, and rows of the sketch per bin.
+BINS_PER_PARTITION, SKETCH_PER_BIN = 16, 16
 
 
 def _cols(cols) -> list:
@@ -41,52 +43,39 @@ def _names(cols) -> list[str]:
     return [c for c in cols if isinstance(c, str)]
 
 
-def _digits(text: Column, skip: Column) -> Column:
-    """Six bytes of a text as a number, after ``skip`` hex digits."""
-    part = F.rpad(F.substring(F.hex(text.cast("binary")), skip + 1, F.lit(12)), 12, "0")
-    return F.conv(part, 16, 10).cast("double")
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _with_bin(df: DataFrame, order_cols: Sequence, n: int | None) -> DataFrame:
-    """``df`` with the bin of its first order column: 0 to n-1, in value order;
-    NULL has bin -1 and NaN bin n, as they sort."""
-    name = _cols(order_cols)[0]
-    if not isinstance(name, str):
+def _bin_ends(df: DataFrame, key: Column, hashed: Sequence[str], n: int) -> DataFrame:
+    """One row, one column: the lower ends of bins 1 to n-1, in order."""
+    sketch = (df.select(key.alias("key"), F.xxhash64(*hashed).alias("h")).orderBy("h").limit(n * SKETCH_PER_BIN)
+              .agg(F.sort_array(F.collect_list("key")).alias("s")))
+    count = F.size("s")
+    at = F.transform(F.sequence(F.lit(1), F.lit(max(n - 1, 1))), lambda i: F.floor(i * count / n).cast("int"))
+    return sketch.select(F.when(count > 0, F.array_distinct(F.transform(at, lambda i: F.get("s", i)))).alias("ends"))
+
+
+def _with_bin(df: DataFrame, order_cols: Sequence, n: int | None, groups: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the number of its bin, 0 to n-1, in the order of (groups, order columns)."""
+    order = _cols(order_cols)
+    if not isinstance(order[0], str):
         raise TypeError("the first order column must be given by its name (ascending)")
     n = n or BINS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kind, v = df.schema[name].dataType, F.col(name)
-    text = isinstance(kind, (T.StringType, T.BinaryType))
-    if text:
-        least, most = F.hex(F.min(v).cast("binary")), F.hex(F.max(v).cast("binary"))
-        ends = df.agg(F.min(v).alias("a"), F.max(v).alias("b"), least.alias("x"), most.alias("y"))
-        # the digits that every value starts with say nothing
-        same = F.array_max(F.filter(F.sequence(F.lit(0), F.length("x")),
-                                    lambda k: F.col("x").substr(F.lit(1), k) == F.col("y").substr(F.lit(1), k)))
-        ends = ends.select("a", "b", same.alias("skip"))
-        ends = ends.select(F.struct(_digits(F.col("a"), F.col("skip")).alias("a"),
-                                    _digits(F.col("b"), F.col("skip")).alias("b"), "skip").alias("ends"))
-    else:
-        if isinstance(kind, T.DateType):
-            number = F.unix_date(v).cast("double")
-        elif isinstance(kind, T.TimestampNTZType):
-            number = F.unix_micros(v.cast("timestamp")).cast("double")
-        elif isinstance(kind, T.TimestampType):
-            number = F.unix_micros(v).cast("double")
-        elif isinstance(kind, (T.NumericType, T.BooleanType)):
-            number = v.cast("double")
-        else:
-            raise TypeError(f"no bins over a first order column of type {kind.simpleString()}")
-        finite = F.greatest(F.least(number, F.lit(1e300)), F.lit(-1e300))
-        known = F.when(~F.isnan(number), finite)
-        ends = df.agg(F.struct(F.min(known).alias("a"), F.max(known).alias("b")).alias("ends"))
-    both = df.withColumn("_ends", ends.scalar())
-    if text:
-        number = _digits(v, F.col("_ends.skip"))
-        known = number
-    a, b = F.col("_ends.a"), F.col("_ends.b")
-    at = F.when(b > a, F.floor((known - a) * n / (b - a))).otherwise(F.lit(0))
-    at = F.when(v.isNull(), -1).when(F.isnan(number), n).otherwise(F.greatest(F.lit(0), F.least(F.lit(n - 1), at)))
-    return both.withColumn(_BIN, at.cast("int")).drop("_ends")
+    named = order[:next((i for i, c in enumerate(order) if not isinstance(c, str)), len(order))]
+    keys = list(dict.fromkeys([*groups, *named]))
+    key = F.struct(*keys)
+    # rows of equal key are told apart by the others, or they would crowd the sketch
+    hashed = keys if len(named) == len(order) else [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    both = df.withColumn("_ends", _bin_ends(df, key, hashed, n).scalar()).withColumn("_key", key)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(n - 1, 1).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        F.get("_ends", low + step - 1) <= F.col("_key"), low + step).otherwise(low))
+    return both.withColumn(_BIN, at).drop("_ends", "_key")
 
 
 def _frames(groups: list[str], order_cols: Sequence):
@@ -109,18 +98,20 @@ def with_position(df: DataFrame, order_cols: Sequence, group_cols: Sequence = ()
     inside ``group_cols`` groups when given, else over the whole table.
 
     ``total_col`` (global form only) adds the table's row count to every row.
-    ``num_partitions``: bins over the range of the first order column.
+    ``num_partitions``: bins over the whole order.
     NULL is a group like any other; an empty table stays empty.
     """
     groups = _names(_cols(group_cols))
     if groups and total_col:
         raise ValueError("total_col is only supported for the global position")
-    rows = _with_bin(df, order_cols, num_partitions)
+    rows = _with_bin(df, order_cols, num_partitions, groups)
     before, upto = _frames(groups, order_cols)
     counts = rows.groupBy(*groups, _BIN).agg(F.count(F.lit(1)).alias("_cnt"))
     total = [F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total")] if total_col else []
-    marks = counts.select(*groups, _BIN, (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - 1).alias(_W), *total)
-    extra = [F.sum(_W).over(upto).alias(pos_col)]
+    marks = counts.select(*groups, _BIN, F.sum("_cnt").over(before).alias(_W), *total)
+    if not total:
+        marks = marks.filter(F.col(_W).isNotNull())
+    extra = [(F.sum(_W).over(upto) - 1).alias(pos_col)]
     if total_col:
         extra.append(F.first("_total", ignorenulls=True).over(upto).alias(total_col))
     out = _marked(rows.withColumn(_W, F.lit(1).cast("long")), marks)
@@ -161,10 +152,10 @@ def running_max(df: DataFrame, value_col: str, order_cols: Sequence, group_cols:
     """Highest ``value_col`` seen so far in ``order_cols`` order per group (W8):
     a bin's marker row carries the highest value of the bins before it."""
     groups = _names(_cols(group_cols))
-    rows = _with_bin(df, order_cols, num_partitions)
+    rows = _with_bin(df, order_cols, num_partitions, groups)
     before, upto = _frames(groups, order_cols)
     highest = rows.groupBy(*groups, _BIN).agg(F.max(value_col).alias("_high"))
-    marks = highest.select(*groups, _BIN, F.max("_high").over(before).alias(_W))
+    marks = highest.select(*groups, _BIN, F.max("_high").over(before).alias(_W)).filter(F.col(_W).isNotNull())
     out = _marked(rows.withColumn(_W, F.col(value_col)), marks)
     return (out.select(*df.columns, F.max(_W).over(upto).alias(out_col), _MARK)
             .where(~F.col(_MARK)).drop(_MARK))

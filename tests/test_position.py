@@ -137,9 +137,50 @@ def test_building_a_position_starts_no_job(spark):
 def test_hot_group_is_spread_over_bins(spark):
     from cohortlake.operators.position import _with_bin
     df = skewed(spark, n=6000)                      # "hot" holds a third of the rows
-    per_bin = _with_bin(df, ["t", "id"], 8).filter(F.col("g") == "hot").groupBy("_bin").count().collect()
-    assert len(per_bin) == 8
-    assert max(r["count"] for r in per_bin) < 500
+    per_bin = _with_bin(df, ["t", "id"], 24, ["g"]).filter(F.col("g") == "hot").groupBy("_bin").count().collect()
+    assert len(per_bin) >= 8
+    assert max(r["count"] for r in per_bin) < 600
+
+
+def outlying(spark, n=30000):
+    """One far outlier, and a value that a third of the rows share."""
+    return spark.range(n).selectExpr("id", "case when id = 0 then 1e15 when id % 3 = 0 then 7 else id * 37 % 1000 end as t",
+                                     "id % 500 as g", "double(id * 7919 % 104729) as v")
+
+
+def test_bins_are_even_whatever_the_values(spark):
+    """Rows per task of the final window, for outliers and ties."""
+    df = outlying(spark)
+    for out in (with_position(df, ["t", "id"], pos_col="pos"), with_position(df, ["t", "id"], ["g"], pos_col="pos"),
+                running_max(df.withColumn("one", F.lit(1)), "v", ["t", "id"], ["one"])):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            per_task = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert sum(per_task) == 30000 and per_task[-1] < 3 * per_task[len(per_task) // 2]
+
+
+def test_outliers_and_ties_change_no_result(spark):
+    df = outlying(spark, 3000)
+    got = with_position(df, ["t", "id"], pos_col="pos")
+    exp = df.withColumn("pos", F.row_number().over(Window.orderBy("t", "id")) - 1)
+    assert sorted(map(tuple, got.select("id", "pos").collect())) == sorted(map(tuple, exp.select("id", "pos").collect()))
+
+
+def test_few_markers(spark):
+    """Small groups lie in one bin, so they cost no marker row."""
+    from cohortlake.operators.position import _with_bin
+    df = outlying(spark, 20000)
+    per_group = _with_bin(df, ["t", "id"], 32, ["g"]).groupBy("g").agg(F.count_distinct("_bin").alias("n"))
+    assert per_group.agg(F.sum(F.col("n") - 1)).first()[0] <= 31
+
+
+def test_order_by_expressions_after_a_name(spark):
+    df = skewed(spark).withColumn("extra", F.create_map(F.lit(1), F.col("id")))
+    got = with_position(df, ["t", F.desc("id")], ["g"], pos_col="pos", num_partitions=7)
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", F.desc("id"))) - 1)
+    assert sorted((r["id"], r["pos"]) for r in got.collect()) == sorted((r["id"], r["pos"]) for r in exp.collect())
 
 
 def test_partial_limit_kept_for_large_k(spark):
