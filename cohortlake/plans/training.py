@@ -13,6 +13,7 @@ from cohortlake.operators.split import check_fractions, split_train_val_test
 from cohortlake.operators.tensors import volumes_to_tensors
 from cohortlake.plans.cohort import collect_cohort
 from cohortlake.sinks import write_tensors, write_tsv
+from cohortlake.sinks.chunks import write_tensor_chunks
 from cohortlake.sources import nifti
 
 
@@ -23,9 +24,11 @@ def build_training_set(layout: DataFrame, clinical: DataFrame, out_dir: str,
                        train: float = 0.8, val: float = 0.1, n_proc: int | None = None,
                        decoder: Callable[[bytes], np.ndarray] = nifti.decode,
                        order_cols: Sequence[str] = ("session", "path", "filename"),
-                       keep_identity: bool = False) -> dict[str, str]:
+                       keep_identity: bool = False, ordered: bool = False) -> dict[str, str]:
     """Writes ``<out>/dataset`` (TSV), ``<out>/splits/split=<s>`` (TSV) and
     ``<out>/tensors/split=<s>`` (parquet, zstd, <=128 rows per file).
+    ``ordered``: the tensor files are ``chunk_<i>.parquet``, each holding exactly its
+    128 rows of the split in (subject, ``order_cols``) order.
     The cohort is computed once and persisted: it feeds all three outputs."""
     check_fractions(train, val)
     cohort = collect_cohort(layout, clinical, phases, valid_dx, suffix, trc, rec, desc, res)
@@ -37,6 +40,12 @@ def build_training_set(layout: DataFrame, clinical: DataFrame, out_dir: str,
         write_tsv(cohort, paths["dataset"])
         rows = split_train_val_test(cohort, train, val, order_cols=list(order_cols))
         write_tsv(rows, paths["splits"], partition_by=["split"])
+        if ordered:
+            if keep_identity:
+                raise ValueError("ordered chunks hold raw and dx only")
+            write_tensor_chunks(rows, paths["tensors"], ["ptid", *order_cols], split_col="split", decoder=decoder,
+                                num_partitions=n_proc)
+            return paths
         keep = ["split"] + (["ptid", "session", "path"] if keep_identity else [])
         tensors = volumes_to_tensors(rows, num_partitions=n_proc, decoder=decoder, keep=keep,
                                      with_shape=keep_identity)

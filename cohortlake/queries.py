@@ -432,3 +432,17 @@ def record_tree_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_tree_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6/C6 on the same records as a flat list linked by offsets."""
     return elements.tree_listing(records.records_from_offsets(demo.index_offsets(spark, sf_dir))).drop("pos")
+
+
+@query
+def tensor_chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2/K3: volumes in vec_id order written as numbered files of 128, read back with
+    each row's file number and place."""
+    from cohortlake.sinks import chunks
+    vols = demo.volumes(spark, sf_dir)
+    out = shared_dir(spark, "volumes")
+    tensors.write_sample_volumes(vols, out, VOLUME_SHAPE).write.format("noop").mode("overwrite").save()
+    paths = vols.select("vec_id", "dx", F.concat(F.lit(out + "/"), F.col("vec_id").cast("string"), F.lit(".nii.gz")).alias("path"))
+    made = shared_dir(spark, "chunks")
+    chunks.write_tensor_chunks(paths, made, ["vec_id"])
+    return chunks.read_tensor_chunks(spark, made).select("chunk", "row", "dx", F.col("raw")[0].alias("first"), F.size("raw").cast("long").alias("n"))

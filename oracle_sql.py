@@ -584,3 +584,9 @@ FROM walked WHERE nth = 5
 
 ORACLE["record_tree_nested"] = _RECORD_TREE
 ORACLE["record_tree_offsets"] = _RECORD_TREE
+
+ORACLE["tensor_chunk_files"] = r"""
+SELECT pos // 128 AS chunk, pos % 128 AS row, CAST(label AS VARCHAR) AS dx,
+       CAST(CAST(embedding[1] AS DOUBLE) / 255.0 AS FLOAT) AS first, CAST(len(embedding) AS BIGINT) AS n
+FROM (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings) t
+"""
