@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
-from cohortlake.operators import deid, elements, listing, position, records, sets, split, tensors
+from cohortlake.operators import deid, elements, listing, position, records, sets, split, strata, tensors
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import demo, readers, walk
@@ -446,3 +446,25 @@ def tensor_chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = shared_dir(spark, "chunks")
     chunks.write_tensor_chunks(paths, made, ["vec_id"])
     return chunks.read_tensor_chunks(spark, made).select("chunk", "row", "dx", F.col("raw")[0].alias("first"), F.size("raw").cast("long").alias("n"))
+
+
+def _strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that ordered, with two attributes to balance by."""
+    seen = demo.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return (demo.table(spark, sf_dir, "customer").join(seen, "c_custkey", "left_semi")
+            .select(F.col("c_custkey").cast("string").alias("ptid"), F.col("c_mktsegment").alias("segment"),
+                    F.floor(F.col("c_acctbal") / 2500).cast("long").alias("band")))
+
+
+@query
+def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + W1: subjects dealt to splits of exact size, alike in segment and balance band."""
+    return strata.assign_stratified(_strata(spark, sf_dir), ["segment", "band"], TRAIN, VAL)
+
+
+@query
+def split_stratified_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per stratum and split, subjects and how far they are off the split's share."""
+    got = strata.assign_stratified(_strata(spark, sf_dir), ["segment", "band"], TRAIN, VAL)
+    return (strata.stratum_gaps(got, ["segment", "band"])
+            .withColumn("gap", F.round("gap", 6)))

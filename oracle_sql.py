@@ -590,3 +590,38 @@ SELECT pos // 128 AS chunk, pos % 128 AS row, CAST(label AS VARCHAR) AS dx,
        CAST(CAST(embedding[1] AS DOUBLE) / 255.0 AS FLOAT) AS first, CAST(len(embedding) AS BIGINT) AS n
 FROM (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings) t
 """
+
+_STRATIFIED = r"""
+WITH subj AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS ptid, c_mktsegment AS segment, CAST(floor(c_acctbal / 2500) AS BIGINT) AS band
+  FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)),
+t AS (
+  SELECT count(*) AS n, CAST(round_even(count(*) * CAST(0.8 AS DOUBLE), 0) AS BIGINT) AS n_train,
+         CAST(round_even(count(*) * CAST(0.1 AS DOUBLE), 0) AS BIGINT) AS n_val FROM subj),
+goal AS (SELECT n, n_val, n - n_train - n_val AS n_test FROM t),
+cell AS (SELECT segment, band, count(*) AS m FROM subj GROUP BY segment, band),
+v1 AS (
+  SELECT cell.*, goal.*, m * n_val // n AS v, m * n_val % n AS rv, m * n_test // n AS u, m * n_test % n AS ru FROM cell, goal),
+v2 AS (
+  SELECT *, v + CASE WHEN row_number() OVER (ORDER BY CASE WHEN m < v + 1 THEN 1 ELSE 0 END, rv DESC, segment NULLS FIRST, band NULLS FIRST)
+                          <= n_val - sum(v) OVER () THEN 1 ELSE 0 END AS val FROM v1),
+v3 AS (
+  SELECT *, u + CASE WHEN row_number() OVER (ORDER BY CASE WHEN m - val < u + 1 THEN 1 ELSE 0 END, rv + ru - (val - v) * n DESC,
+                                             segment NULLS FIRST, band NULLS FIRST)
+                          <= n_test - sum(u) OVER () THEN 1 ELSE 0 END AS test FROM v2),
+assigned AS (
+  SELECT ptid, segment, band,
+         CASE WHEN place < m - val - test THEN 'train' WHEN place < m - test THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY segment, band ORDER BY md5(ptid || ':22'), ptid) - 1 AS place FROM subj) r
+  JOIN v3 USING (segment, band))
+"""
+
+ORACLE["split_stratified"] = _STRATIFIED + "SELECT * FROM assigned"
+
+ORACLE["split_stratified_gaps"] = _STRATIFIED + r"""
+SELECT c.segment, c.band, s.split, count(a.ptid) AS n,
+       round(count(a.ptid) - CAST(c.m AS DOUBLE) * s.k / (SELECT count(*) FROM assigned), 6) AS gap
+FROM cell c CROSS JOIN (SELECT split, count(*) AS k FROM assigned GROUP BY split) s
+LEFT JOIN assigned a ON a.segment = c.segment AND a.band = c.band AND a.split = s.split
+GROUP BY c.segment, c.band, c.m, s.split, s.k
+"""
