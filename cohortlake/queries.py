@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
-from cohortlake.operators import deid, elements, listing, position, records, sets, split, strata, tensors
+from cohortlake.operators import deid, elements, headers, listing, position, records, sets, split, strata, tensors, waves
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import demo, readers, walk
@@ -396,7 +396,6 @@ def deid_elements_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dicom_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's header elements written as a JSON file to the shared
     folder, then read back by the element job through its decoder argument."""
-    from cohortlake.operators import headers
     e = demo.elements(spark, sf_dir)
     out = shared_dir(spark, "headers")
     headers.write_header_files(e, out).write.format("noop").mode("overwrite").save()
@@ -468,3 +467,15 @@ def split_stratified_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = strata.assign_stratified(_strata(spark, sf_dir), ["segment", "band"], TRAIN, VAL)
     return (strata.stratum_gaps(got, ["segment", "band"])
             .withColumn("gap", F.round("gap", 6)))
+
+
+@query
+def first_files_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five readable files per folder of a written tree, decoded in waves."""
+    out = shared_dir(spark, "header_tree")
+    demo.write_tree(demo.header_tree(spark, sf_dir), out)
+    files = (walk.tree_entries(spark, out).where("kind = 'file'").where(names.is_readable_name("name"))
+             .select(F.col("parent").alias("dir"), "name", "path"))
+    status, read, _ = waves.read_first_files(files, lambda p: headers.header_elements(p, headers.decode_json_elements), 5)
+    value = read.groupBy(F.col("file_path").alias("path")).agg(F.max("value").alias("value"))
+    return status.join(value, "path", "left").select(F.element_at(F.split("dir", "/"), -1).alias("dir"), "name", "status", "value")

@@ -325,6 +325,17 @@ def order_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 8 != 0, k % 7).alias("size"))
 
 
+def header_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rel, kind, content): a header file per document in a folder per source; every
+    seventh is unreadable."""
+    d = table(spark, sf_dir, "documents")
+    element = F.struct(F.array(F.lit(0)).alias("elem_pos"), F.lit("(0010,0020)").alias("tag"), F.lit("LO").alias("vr"),
+                       F.lit("PatientID").alias("keyword"), _s("n_chars").alias("value"))
+    good = F.to_json(F.struct(F.array(element).alias("elements")))
+    return d.select(F.concat("source", F.lit("/"), _s("doc_id")).alias("rel"), F.lit("file").alias("kind"),
+                    F.when(F.col("doc_id") % 7 != 0, good).otherwise(F.lit('{"error": "cut off"}')).alias("content"))
+
+
 def write_tree(entries: DataFrame, out_dir: str) -> None:
     """Write the files (``size`` bytes each, or ``content``) and folders of ``entries``
     (rel, kind, size or content) below ``out_dir``."""

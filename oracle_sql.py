@@ -625,3 +625,11 @@ FROM cell c CROSS JOIN (SELECT split, count(*) AS k FROM assigned GROUP BY split
 LEFT JOIN assigned a ON a.segment = c.segment AND a.band = c.band AND a.split = s.split
 GROUP BY c.segment, c.band, c.m, s.split, s.k
 """
+
+ORACLE["first_files_waves"] = r"""
+SELECT dir, name, CASE WHEN ok THEN 'ok' ELSE 'error' END AS status, CASE WHEN ok THEN CAST(n_chars AS VARCHAR) END AS value
+FROM (SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
+                  PARTITION BY dir ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ok_before
+      FROM (SELECT source AS dir, CAST(doc_id AS VARCHAR) AS name, doc_id % 7 <> 0 AS ok, n_chars FROM documents) f) t
+WHERE ok_before < 5
+"""
