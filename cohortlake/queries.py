@@ -16,7 +16,7 @@ from cohortlake.functions import ids, names, tensor, text
 from cohortlake.operators import deid, elements, headers, listing, position, records, sets, split, strata, tensors, waves
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
-from cohortlake.sources import demo, readers, walk
+from cohortlake.sources import bids, demo, readers, walk
 from cohortlake.streaming import peak
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -479,3 +479,15 @@ def first_files_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, read, _ = waves.read_first_files(files, lambda p: headers.header_elements(p, headers.decode_json_elements), 5)
     value = read.groupBy(F.col("file_path").alias("path")).agg(F.max("value").alias("value"))
     return status.join(value, "path", "left").select(F.element_at(F.split("dir", "/"), -1).alias("dir"), "name", "status", "value")
+
+
+@query
+def bids_tree_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + S4: a BIDS tree written from the visits, read with filters that prune its
+    listing: images of two kinds in the first three sessions."""
+    out = shared_dir(spark, "bids")
+    demo.write_tree(demo.bids_tree(spark, sf_dir), out)
+    b = bids.read_bids_tree(spark, out)
+    first = b.where(F.col("session").isin("ses-M000", "ses-M006", "ses-M012") & F.col("suffix").isin("T1w", "pet")
+                    & (F.col("extension") == "nii.gz"))
+    return first.select("filename", "subject", "session", "datatype", "suffix", "tracer", "size")

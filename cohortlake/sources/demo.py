@@ -325,6 +325,23 @@ def order_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 8 != 0, k % 7).alias("size"))
 
 
+def bids_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rel, kind, size): per visit an image (T1w, or pet with its tracer) and, for every
+    fourth, a sidecar file; subjects without sessions are not among them."""
+    v = visits(spark, sf_dir)
+    subject = F.concat(F.lit("sub-ADNI"), "A", F.lit("S"), "B")
+    session = F.concat(F.lit("ses-M"), _three("mo"))
+    pet = F.col("o_orderkey") % 3 == 0
+    tracer = F.when(F.col("o_orderkey") % 2 == 0, F.lit("18FFDG")).otherwise(F.lit("18FAV45"))
+    name = F.concat(subject, F.lit("_"), session, F.when(pet, F.concat(F.lit("_trc-"), tracer, F.lit("_pet"))).otherwise(F.lit("_T1w")))
+    home = F.concat(subject, F.lit("/"), session, F.lit("/"), F.when(pet, F.lit("pet")).otherwise(F.lit("anat")), F.lit("/"))
+    files = F.filter(F.array(F.struct(F.lit(".nii.gz").alias("e"), (F.col("o_orderkey") % 5).alias("size")),
+                             F.when(F.col("o_orderkey") % 4 == 0, F.struct(F.lit(".json").alias("e"), F.lit(2).cast("long").alias("size")))),
+                     lambda x: x.isNotNull())
+    return (v.select(F.concat(home, name).alias("base"), F.inline(files))
+            .select(F.concat("base", "e").alias("rel"), F.lit("file").alias("kind"), "size"))
+
+
 def header_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, kind, content): a header file per document in a folder per source; every
     seventh is unreadable."""
@@ -354,7 +371,7 @@ def write_tree(entries: DataFrame, out_dir: str) -> None:
                     filesystem.create_dir(f"{root}/{folder}", recursive=True)
                     made.add(folder)
                 if kind != "dir":
-                    with filesystem.open_output_stream(f"{root}/{rel}") as f:
+                    with filesystem.open_output_stream(f"{root}/{rel}", compression=None) as f:
                         f.write(what if isinstance(what, bytes) else b"x" * what)
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 

@@ -633,3 +633,15 @@ FROM (SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
       FROM (SELECT source AS dir, CAST(doc_id AS VARCHAR) AS name, doc_id % 7 <> 0 AS ok, n_chars FROM documents) f) t
 WHERE ok_before < 5
 """
+
+ORACLE["bids_tree_get"] = _with(VISITS) + r"""
+SELECT subject || '_' || session || CASE WHEN pet THEN '_trc-' || tracer || '_pet' ELSE '_T1w' END || '.nii.gz' AS filename,
+       subject, session, CASE WHEN pet THEN 'pet' ELSE 'anat' END AS datatype, CASE WHEN pet THEN 'pet' ELSE 'T1w' END AS suffix,
+       CASE WHEN pet THEN tracer END AS tracer, size
+FROM (SELECT 'sub-ADNI' || A || 'S' || B AS subject,
+             'ses-M' || CASE WHEN mo >= 1000 THEN CAST(mo AS VARCHAR) ELSE lpad(CAST(mo AS VARCHAR), 3, '0') END AS session,
+             o_orderkey % 3 = 0 AS pet, CASE WHEN o_orderkey % 2 = 0 THEN '18FFDG' ELSE '18FAV45' END AS tracer,
+             o_orderkey % 5 AS size, visit
+      FROM vv) t
+WHERE visit < 3
+"""
