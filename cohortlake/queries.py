@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
-from cohortlake.operators import deid, elements, headers, listing, position, records, sets, split, strata, tensors, waves
+from cohortlake.operators import deid, digests, elements, headers, listing, position, records, sets, split, strata, tensors, waves
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import bids, demo, readers, walk
@@ -491,3 +491,22 @@ def bids_tree_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = b.where(F.col("session").isin("ses-M000", "ses-M006", "ses-M012") & F.col("suffix").isin("T1w", "pet")
                     & (F.col("extension") == "nii.gz"))
     return first.select("filename", "subject", "session", "datatype", "suffix", "tracer", "size")
+
+
+@query
+def manifest_digest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 by folder digests: each path with its set; only folders that differ are joined by path."""
+    return digests.compare_by_digest(demo.deep_disk_paths(spark, sf_dir), demo.deep_manifest_paths(spark, sf_dir))
+
+
+@query
+def manifest_digest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 by folder digests."""
+    return digests.summary_by_digest(demo.deep_disk_paths(spark, sf_dir), demo.deep_manifest_paths(spark, sf_dir))
+
+
+@query
+def manifest_digest_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which folders agree with the index in all that is below them."""
+    disk, index = demo.deep_disk_paths(spark, sf_dir), demo.deep_manifest_paths(spark, sf_dir)
+    return digests.differing_trees(disk, index.distinct())

@@ -92,6 +92,23 @@ def disk_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(_file_path("l_orderkey").alias("path"), (F.col("l_orderkey") % 20).alias("dir"))
 
 
+def _deep_path(key: str) -> Column:
+    k = F.col(key)
+    return F.concat(F.lit("v"), _s(F.floor(k / 8192)), F.lit("/d"), _s(F.floor(k / 64)), F.lit("/IM_"), _s(k))
+
+
+def deep_disk_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files present in many small folders: the distinct order keys of lineitem."""
+    return table(spark, sf_dir, "lineitem").select("l_orderkey").distinct().select(_deep_path("l_orderkey").alias("path"))
+
+
+def deep_manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of them that has some too few, some too many, and some twice."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct().filter(F.col("k") % 1009 != 0)
+    extra = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")).filter(F.col("o_orderkey") % 2003 == 0)
+    return li.unionByName(extra).select(_deep_path("k").alias("path"))
+
+
 def _file_path(key: str) -> Column:
     return F.concat(F.lit("dir"), _s(F.col(key) % 20), F.lit("/IM_"), _s(key))
 

@@ -645,3 +645,30 @@ FROM (SELECT 'sub-ADNI' || A || 'S' || B AS subject,
       FROM vv) t
 WHERE visit < 3
 """
+
+_DEEP = r"""
+WITH p AS (SELECT k, 'v' || (k // 8192) || '/d' || (k // 64) AS dir, 'v' || (k // 8192) AS top FROM (
+             SELECT l_orderkey AS k FROM lineitem UNION SELECT o_orderkey FROM orders)),
+d AS (SELECT DISTINCT l_orderkey AS k FROM lineitem),
+m AS (SELECT k FROM d WHERE k % 1009 <> 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 2003 = 0),
+status AS (
+  SELECT dir || '/IM_' || p.k AS path, dir, top,
+         CASE WHEN d.k IS NOT NULL AND m.k IS NOT NULL THEN 'common' WHEN d.k IS NOT NULL THEN 'only_on_disk' ELSE 'only_in_manifest' END AS status
+  FROM p LEFT JOIN d ON d.k = p.k LEFT JOIN m ON m.k = p.k WHERE d.k IS NOT NULL OR m.k IS NOT NULL)
+"""
+
+ORACLE["manifest_digest_status"] = _DEEP + "SELECT path, dir, status FROM status"
+
+ORACLE["manifest_digest_summary"] = _DEEP + r"""
+SELECT dir, count(*) FILTER (WHERE status = 'only_on_disk') AS n_only_on_disk,
+       count(*) FILTER (WHERE status = 'only_in_manifest') AS n_only_in_manifest,
+       count(*) FILTER (WHERE status = 'common') AS n_common,
+       CASE WHEN count(*) FILTER (WHERE status <> 'common') = 0 THEN 'up_to_date' ELSE 'out_of_date' END AS state
+FROM status GROUP BY dir
+"""
+
+ORACLE["manifest_digest_trees"] = _DEEP + r"""
+SELECT f AS dir, count(*) FILTER (WHERE status <> 'only_in_manifest') AS n_on_disk,
+       count(*) FILTER (WHERE status <> 'only_on_disk') AS n_in_manifest, count(*) FILTER (WHERE status <> 'common') = 0 AS same
+FROM (SELECT *, unnest(['', top, dir]) AS f FROM status) t GROUP BY f
+"""
