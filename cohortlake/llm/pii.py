@@ -26,16 +26,31 @@ DEMO_KEY = b"demonstration key, not a secret"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
+#: Every alternative starts where a word does not go on, and takes a bounded length (the
+#: name of an address as a whole, without going back), so time follows the text's length
+#: whatever it holds.  The last one steps over long words.
 PATTERN = re.compile(r"""
-    (?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
-  | (?<![\w.])(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)
-  | (?<!\w)(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)
-  | (?<![\w+-])(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?!\w|[/.-]\d)
-  | (?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])
-  | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?<!\w)\(\d{3}\)[ ]?\d{3}-\d{4})(?!\w)
-  | (?<![\w-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])
-  | (?<!\w)(?P<secret>[0-9a-f]{32,64}|[0-9A-F]{32,64})(?!\w)
+    (?<!\w)(?:
+        (?<![.%+-])(?P<email>[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,}+)
+      | (?<!\.)(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)
+      | (?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)
+      | (?<![+-])(?P<date>\d{4}-\d{2}-\d{2}(?=T\d{2}:)|(?:\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?!\w|[/.-]\d))
+      | (?<!-)(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])
+      | (?<!-)(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])
+      | (?P<secret>[0-9a-f]{32,64}|[0-9A-F]{32,64})(?!\w)
+    )
+  | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)
+      | (?<!\w)\(\d{3}\)[ ]?\d{3}-\d{4}(?!\w) | (?<![\w.+-])\d{3}(?P<between>[.-])\d{3}(?P=between)\d{4}(?![\w-]|\.\d))
+  | (?<!\w)\w{65,}+
 """, re.X | re.A)
+#: Longest name of a mail address.
+LONGEST_NAME = 64
+# Country calling codes of one and of two digits; all others have three.
+CODES_1 = "1 7".split()
+CODES_2 = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+           "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()
+#: The country of numbers written without a code: (ddd) ddd-dddd and ddd-ddd-dddd.
+HOME_CODE = "1"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -96,11 +111,20 @@ def _digits(text: str, new: str) -> str:
     return "".join(next(it) if c in DIGITS else c for c in text)
 
 
+def calling_code(digits: str) -> str:
+    """The country code that the digits of an international number start with."""
+    if digits[0] == "0":
+        return ""
+    return digits[:1] if digits[0] in CODES_1 else digits[:2] if digits[:2] in CODES_2 else digits[:3]
+
+
 def pseudonym(feistel: Feistel, kind: str, text: str, back: bool = False) -> str | None:
     """The pseudonym of a value, or None where it isn't a valid one of its kind."""
     only = re.sub(r"\D", "", text)
     if kind == "email":
         name, _, host = text.partition("@")
+        if len(name) > LONGEST_NAME:
+            return None
         return _places(feistel, kind, name, back=back) + "@" + host
     if kind == "ip":
         parts = text.split(".")
@@ -120,12 +144,11 @@ def pseudonym(feistel: Feistel, kind: str, text: str, back: bool = False) -> str
             return None
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
-        if sep == "/":  # a day above 12 tells the order: within each order one to one
-            unclear = [d for d in (_month_days() if order == (2, 0, 1) else _late_days())]
-            new = unclear[feistel.permute(kind + str(order), _place_of(unclear, day), len(unclear), back)]
-        else:
-            new = FIRST_DAY + feistel.permute(kind, day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back)
-        date = dt.date.fromordinal(new)
+        # one permutation of days for all ways to write them; slashed dates are written
+        # month first, which is how they are read unless that can't be
+        date = dt.date.fromordinal(FIRST_DAY + feistel.permute(kind, day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back))
+        if sep == "/":
+            order = (2, 0, 1)
         fields = {order[0]: f"{date.year:04}", order[1]: f"{date.month:02}", order[2]: f"{date.day:02}"}
         return sep.join(fields[i] for i in range(3))
     if kind == "ssn":
@@ -139,7 +162,10 @@ def pseudonym(feistel: Feistel, kind: str, text: str, back: bool = False) -> str
     if kind == "phone":
         if not 7 <= len(only) <= 15:
             return None
-        return _places(feistel, kind, text, fixed=re.match(r"(\+\d{1,3}(?=[ .(-])|\+?)", text).end(), back=back)
+        code = calling_code(only) if text[0] == "+" else ""
+        national = only[len(code):]
+        # by its country and national number, however it is written
+        return _digits(text, code + _places(feistel, f"{kind}{code or HOME_CODE}/", national, back=back))
     if kind == "card":
         if luhn(only[:-1]) != int(only[-1]) or len(set(only)) == 1:
             return None
@@ -160,34 +186,14 @@ def pseudonym(feistel: Feistel, kind: str, text: str, back: bool = False) -> str
     return "".join(alphabet[int(c, 16)] for c in f"{n:0{len(text)}x}")
 
 
-_DAYS: dict[str, list[int]] = {}
-
-
-def _month_days() -> list[int]:
-    """Days whose month comes first in slashed form."""
-    if "m" not in _DAYS:
-        _DAYS["m"] = list(range(FIRST_DAY, LAST_DAY + 1))
-    return _DAYS["m"]
-
-
-def _late_days() -> list[int]:
-    """Days after the 12th of a month: in slashed form they may come first."""
-    if "d" not in _DAYS:
-        _DAYS["d"] = [d for d in range(FIRST_DAY, LAST_DAY + 1) if dt.date.fromordinal(d).day > 12]
-    return _DAYS["d"]
-
-
-def _place_of(days: list[int], day: int) -> int:
-    import bisect
-    return bisect.bisect_left(days, day)
-
-
 def replace(feistel: Feistel, text: str, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind it had."""
     counts: dict[str, int] = {}
 
     def one(m: re.Match) -> str:
-        kind = m.lastgroup
+        kind = next((k for k in KINDS if m[k] is not None), None)
+        if kind is None:
+            return m[0]
         new = pseudonym(feistel, kind, m[kind], back)
         if new is None:
             return m[0]
@@ -197,6 +203,7 @@ def replace(feistel: Feistel, text: str, back: bool = False) -> tuple[str, dict[
     return PATTERN.sub(one, text), counts
 
 
+KINDS = [k for k in PATTERN.groupindex if k != "between"]
 #: What a text needs to have any value: an at sign, a digit, or a long hex run.
 HINT = re.compile(r"@|[0-9]")
 
@@ -207,7 +214,15 @@ def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text") ->
 
     A null text stays null and an empty one empty, both with an empty map; texts
     without valid values stay as they are; rows that repeat are changed alike;
-    no column but ``text`` is read; an empty table gives an empty result."""
+    no column but ``text`` is read; an empty table gives an empty result.  Time follows
+    a text's length, also of a single run of many megabytes.
+
+    Equal values become equal ones however they are written: a day as 2024-02-29,
+    29.02.2024, 02/29/2024 or 29/02/2024 (slashed pseudonyms stand month first), a phone
+    number with or without its country code and separators, a card or account number
+    with or without blanks.  Left as they are: the host of a mail address, national phone
+    numbers in other forms than (ddd) ddd-dddd, ddd-ddd-dddd and ddd.ddd.dddd, dates in
+    words or of two-digit years, names of over 64 characters before an ``@``."""
     ready(docs.sparkSession)
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).withColumn(text, F.col(text).cast("string"))
     at = docs.columns.index(text)
