@@ -24,8 +24,8 @@ from cohortlake.llm import arrays as A
 from cohortlake.llm.common import ready, stored
 
 SHINGLE = 3
-#: Size of the bit table sent to the tasks.
-FILTER_BITS = 1 << 22
+#: Size of the bit table sent to the tasks; places of one row.
+FILTER_BITS, PLACES = 1 << 22, 4096
 
 
 def _words(column):
@@ -105,25 +105,36 @@ def frequency(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def _places(bits: np.ndarray, window: int):
-    """Every document's number of words, and the places of prefix shingles with
-    the words around that a window there could cover."""
+    """Every document's number of words (the row with ``own``), and the places of prefix
+    shingles with the words around that a window there could cover, at most ``PLACES``
+    a row.  A shingle of fewer than ``SHINGLE`` words is a whole window itself."""
+    kind = pa.list_(pa.struct([("at", pa.int64()), ("gram", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.string()))]))
+
     def run(batches):
         for batch in batches:
             for i, part, starts, ends, at, sums in _words(batch.column(2)):
-                raw, found = part.tobytes(), [[] for _ in range(len(at) - 1)]
+                raw, places = part.tobytes(), []
                 for size in range(1, SHINGLE + 1):
                     place, doc, h = _grams(sums, at, size)
                     m = np.flatnonzero(_hits(bits, h))
-                    for p, d, g in zip(place[m].tolist(), doc[m].tolist(), h[m].view(np.int64).tolist()):
-                        a, b = max(int(at[d]), p + size - window), min(int(at[d + 1]), p + window)
-                        found[d].append({"at": p - int(at[d]), "gram": g, "base": a - int(at[d]), "words": [
+                    places.append(np.stack([doc[m], place[m], np.full(len(m), size), h[m].view(np.int64)], 1))
+                places = np.concatenate(places)
+                places = places[np.argsort(places[:, 0], kind="stable")]
+                n = len(at) - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), batch.column(1).slice(i, n), pa.array(np.diff(at).astype(np.int64)),
+                                                  pa.array([True] * n), pa.array([[]] * n, kind)], names)
+                for k in range(0, len(places), PLACES):
+                    found: dict[int, list] = {}
+                    for d, p, size, g in places[k:k + PLACES].tolist():
+                        a, b = (p, p + size) if size < SHINGLE else (max(int(at[d]), p + size - window), min(int(at[d + 1]), p + window))
+                        found.setdefault(d, []).append({"at": p - int(at[d]), "gram": g, "base": a - int(at[d]), "words": [
                             raw[x:y].decode() for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist())]})
-                n = len(found)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, n), batch.column(1).slice(i, n), pa.array(np.diff(at).astype(np.int64)),
-                    pa.array(found, pa.list_(pa.struct([("at", pa.int64()), ("gram", pa.int64()), ("base", pa.int64()),
-                                                        ("words", pa.list_(pa.string()))])))],
-                    ["doc_id", "copy", "n_words", "found"])
+                    of = pa.array([i + d for d in found])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of),
+                                                      pa.array([int(at[d + 1] - at[d]) for d in found]),
+                                                      pa.array([False] * len(found)), pa.array(list(found.values()), kind)], names)
+
+    names = ["doc_id", "copy", "n_words", "own", "found"]
     return run
 
 
@@ -137,32 +148,39 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: s
     hash of the text, so that rows that repeat a doc_id keep their own results.
     Null and empty texts have no words and, as items, no windows; an item
     without an id hits words but is not listed; other columns are not read; an
-    empty benchmark hits nothing and an empty table gives an empty result."""
+    empty benchmark hits nothing and an empty table gives an empty result.  Of a very
+    long text, memory holds the words and some thousand places at once."""
     ready(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                          F.xxhash64(F.col(text).cast("string")).alias("copy"), F.col(text).cast("string").alias("text"))
     windows = stored(item_windows(items, window, item_id, item_text), "windows")
     each = windows.select("item_id", "start", "words", F.posexplode("grams").alias("offset", "gram"))
     rarity = frequency(source, each.select("gram"))
-    prefix = stored(each.join(rarity, "gram").groupBy("item_id", "start", "words")
-                    .agg(F.min(F.struct("n", "gram", "offset")).alias("p"))
-                    .select("item_id", F.col("words").alias("window"), "p.gram", "p.offset").distinct(), "prefixes")
+    # one row for each distinct window, however many items have it
+    prefix = stored(each.join(rarity, "gram").groupBy("words")
+                    .agg(F.min(F.struct("n", "gram", "offset")).alias("p"), F.array_sort(F.collect_set("item_id")).alias("items"))
+                    .select(F.col("words").alias("window"), "p.gram", "p.offset", F.xxhash64("items").alias("group"), "items"), "prefixes")
     found = stored(source.mapInArrow(
-        _places(_bits(prefix.select("gram")), window), "doc_id long, copy long, n_words long, "
+        _places(_bits(prefix.select("gram")), window), "doc_id long, copy long, n_words long, own boolean, "
         "found array<struct<at:long,gram:long,base:long,words:array<string>>>"), "places")
     start, size = F.col("at") - F.col("offset"), F.size("window")
     hits = (found.select("doc_id", "copy", "n_words", F.explode("found").alias("f"))
-            .select("doc_id", "copy", "n_words", "f.*").join(prefix, "gram")
+            .select("doc_id", "copy", "n_words", "f.*").join(prefix.drop("items"), "gram")
             .where((start >= 0) & (start + size <= F.col("n_words")))
             .where(F.slice("words", (start - F.col("base") + 1).cast("int"), size) == F.col("window"))
-            .select("doc_id", "copy", start.alias("from"), (start + size).alias("to"), "item_id"))
+            .select("doc_id", "copy", start.alias("from"), (start + size).alias("to"), "group"))
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("from", "to"))), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
         lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0).cast("long"), x["to"] - F.greatest(x["from"], acc["end"]))).alias("n"),
                                 F.greatest(acc["end"], x["to"]).alias("end")), lambda acc: acc["n"])
-    hit = (hits.groupBy("doc_id", "copy")
-           .agg(covered.alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("items")))
-    rows = found.select("doc_id", "copy", "n_words").alias("d")
+    hit = stored(hits.groupBy("doc_id", "copy").agg(covered.alias("n_hit"), F.collect_set("group").alias("groups")), "hits")
+    # sets of items that windows have in common are united once for each document
+    sets = prefix.groupBy("group").agg(F.first("items").alias("items"))
+    listed = (hit.select("doc_id", "copy", F.explode("groups").alias("group")).join(sets, "group").groupBy("doc_id", "copy")
+              .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+    own = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.copy") == F.col("b.copy"))
+    hit = hit.alias("a").join(listed.alias("b"), own).select("a.doc_id", "a.copy", "n_hit", "items")
+    rows = found.where("own").select("doc_id", "copy", "n_words").alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.copy") == F.col("h.copy"))
     return (rows.join(hit.alias("h"), same, "left")
             .select("d.doc_id", "d.copy", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
