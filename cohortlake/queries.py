@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
-from cohortlake.operators import deid, digests, elements, headers, listing, position, records, sets, split, strata, tensors, waves
+from cohortlake.operators import deid, digests, elements, headers, leaks, listing, position, records, sets, split, strata, tensors, waves
 from cohortlake.plans import cohort
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import bids, demo, readers, walk
@@ -510,3 +510,11 @@ def manifest_digest_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which folders agree with the index in all that is below them."""
     disk, index = demo.deep_disk_paths(spark, sf_dir), demo.deep_manifest_paths(spark, sf_dir)
     return digests.differing_trees(disk, index.distinct())
+
+
+@query
+def identifiers_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customers' names and ids found in comments, private tags and nested elements."""
+    e = materialize(demo.elements_with_comments(spark, sf_dir))
+    return (leaks.identifiers_in_text(e, keywords=["PatientName", "PatientID"])
+            .withColumn("sort_key", elements.position_key()).drop("elem_pos"))

@@ -210,6 +210,26 @@ def dicomdir_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def elements_with_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``elements`` and two free texts per customer file: a comment that names the
+    customer, or another one, or nobody; and a private tag, some with the name in it."""
+    c = table(spark, sf_dir, "customer")
+    k, name = F.col("c_custkey"), F.col("c_name")
+    other = F.regexp_replace(name, r"\d", "7")        # a name of the same form, of few or no customers
+    comment = (F.when(k % 3 == 0, F.concat(F.lit("Seen: "), F.upper(name), F.lit(", again")))
+                .when(k % 3 == 1, F.concat(F.lit("see "), other)).otherwise(F.lit("nothing of note")))
+    private = F.when(k % 5 == 0, F.concat(F.lit("ref("), name, F.lit(")"))).otherwise(F.concat(F.lit("x"), name, F.lit("9")))
+
+    def row(pos, depth, tag, vr, keyword, value):
+        return F.struct(F.array(*[F.lit(p) for p in pos]).alias("elem_pos"), F.lit(depth).alias("depth"), F.lit(tag).alias("tag"),
+                        F.lit(vr).alias("vr"), F.lit(keyword).cast("string").alias("keyword"), value.alias("value"))
+
+    texts = c.select(F.concat(F.lit("files/"), _s(k), F.lit(".dcm")).alias("file_path"), _s(k).alias("subject"),
+                     F.inline(F.array(row([9], 0, "(0020,4000)", "LT", "ImageComments", comment),
+                                      row([4, 0, 7], 1, "(0009,1001)", "UN", None, private))))
+    return elements(spark, sf_dir).unionByName(texts)
+
+
 def _index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order line with the number of its order among the customer's, and its own
     among the order's (from 0)."""

@@ -672,3 +672,24 @@ SELECT f AS dir, count(*) FILTER (WHERE status <> 'only_in_manifest') AS n_on_di
        count(*) FILTER (WHERE status <> 'only_on_disk') AS n_in_manifest, count(*) FILTER (WHERE status <> 'common') = 0 AS same
 FROM (SELECT *, unnest(['', top, dir]) AS f FROM status) t GROUP BY f
 """
+
+ORACLE["identifiers_in_text"] = _with(ELEMENTS, r"""
+texts AS (
+  SELECT file_path, sort_key, keyword, value FROM elements WHERE depth > 0 OR keyword NOT IN ('PatientName', 'PatientID')
+  UNION ALL
+  SELECT 'files/' || c_custkey || '.dcm', '000009', 'ImageComments',
+         CASE c_custkey % 3 WHEN 0 THEN 'Seen: ' || upper(c_name) || ', again' WHEN 1 THEN 'see ' || regexp_replace(c_name, '[0-9]', '7', 'g')
+              ELSE 'nothing of note' END FROM customer
+  UNION ALL
+  SELECT 'files/' || c_custkey || '.dcm', '000004.000000.000007', NULL,
+         CASE WHEN c_custkey % 5 = 0 THEN 'ref(' || c_name || ')' ELSE 'x' || c_name || '9' END FROM customer),
+wanted AS (
+  SELECT 'files/' || c_custkey || '.dcm' AS owner, 'PatientName' AS found_keyword, lower(c_name) AS found FROM customer
+  UNION SELECT 'files/' || c_custkey || '.dcm', 'PatientID', CAST(c_custkey AS VARCHAR) FROM customer WHERE length(CAST(c_custkey AS VARCHAR)) >= 4),
+hit AS (
+  SELECT t.*, w.*, strpos(lower(value), found) AS p FROM texts t JOIN wanted w ON contains(lower(value), found))
+""") + r"""
+SELECT DISTINCT file_path, sort_key, keyword, value, found, found_keyword, owner FROM hit
+WHERE NOT regexp_matches(substr(lower(value), p - 1, CASE WHEN p > 1 THEN 1 ELSE 0 END), '[a-z0-9]')
+  AND NOT regexp_matches(substr(lower(value), p + length(found), 1), '[a-z0-9]')
+"""
