@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions import ids, names, tensor, text
 from cohortlake.operators import deid, digests, elements, headers, leaks, listing, position, records, sets, split, strata, tensors, waves
-from cohortlake.plans import cohort
+from cohortlake.plans import cohort, jobs
 from cohortlake.session import materialize, shared_dir
 from cohortlake.sources import bids, demo, readers, walk
 from cohortlake.streaming import peak
@@ -518,3 +518,38 @@ def identifiers_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = materialize(demo.elements_with_comments(spark, sf_dir))
     return (leaks.identifiers_in_text(e, keywords=["PatientName", "PatientID"])
             .withColumn("sort_key", elements.position_key()).drop("elem_pos"))
+
+
+@query
+def anonymize_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 on files: input and output trees and an id map written from customers, the
+    planned header files decoded and edited."""
+    base = shared_dir(spark, "anonymize")
+    here, done = demo.patient_trees(spark, sf_dir)
+    demo.write_tree(here, f"{base}/in")
+    demo.write_tree(done, f"{base}/out")
+    demo.customer_id_map(spark, sf_dir).write.csv(f"{base}/ids")
+    got = jobs.anonymize(spark, f"{base}/in", f"{base}/ids", f"{base}/out", decoder=headers.decode_json_elements)["elements"]
+    return got.select(F.regexp_extract("target", "/out/(.*)$", 1).alias("target"), "tag", "keyword", "value", "new_id")
+
+
+@query
+def check_manifest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 on files: a written tree against the records of its index."""
+    out = shared_dir(spark, "tree")
+    demo.write_tree(demo.order_tree(spark, sf_dir), out)
+    got = jobs.check_manifest(spark, out, demo.order_records(spark, sf_dir))["status"]
+    return got.select(F.expr("substring(path, length(dir) + 2)").alias("rel"), "status")
+
+
+@query
+def training_set_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 on files: volumes and tables to splits and numbered tensor files, read back."""
+    from cohortlake.plans import training
+    from cohortlake.sinks import chunks
+    base = shared_dir(spark, "training")
+    volumes = f"{base}/derivatives"
+    tensors.write_sample_volumes(demo.volumes(spark, sf_dir), volumes, VOLUME_SHAPE).write.format("noop").mode("overwrite").save()
+    layout, visits = demo.vector_visits(spark, sf_dir, volumes)
+    paths = training.build_training_set(layout, visits, f"{base}/set", train=TRAIN, val=VAL, ordered=True)
+    return chunks.read_tensor_chunks(spark, paths["tensors"]).select("split", "chunk", "row", "dx", F.col("raw")[0].alias("first"))

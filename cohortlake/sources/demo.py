@@ -379,6 +379,60 @@ def bids_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.concat("base", "e").alias("rel"), F.lit("file").alias("kind"), "size"))
 
 
+def _header(*items) -> Column:
+    """A header file's JSON of (tag, vr, keyword, value)."""
+    made = [F.struct(F.array(F.lit(i)).alias("elem_pos"), F.lit(t).alias("tag"), F.lit(v).alias("vr"), F.lit(k).alias("keyword"),
+                     x.cast("string").alias("value")) for i, (t, v, k, x) in enumerate(items)]
+    return F.to_json(F.struct(F.array(*made).alias("elements")))
+
+
+def patient_trees(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Input and output trees (rel, kind, content) of one session per customer: an index
+    file (k % 4 <> 0), an image (k % 9 <> 0) and notes beside some; sessions of
+    k % 17 = 0 stand in the output already."""
+    c = table(spark, sf_dir, "customer")
+    k, session = F.col("c_custkey"), F.concat(F.lit("/S"), _s("c_nationkey"))
+    home = F.concat(_s(k), session)
+    name, birth = F.col("c_name"), F.concat(_s(1920 + k % 80), F.lit("0615"))
+    index = _header(("(0004,1130)", "CS", "FileSetID", F.col("c_mktsegment")), ("(0010,0010)", "PN", "PatientName", name))
+    image = _header(("(0010,0010)", "PN", "PatientName", name), ("(0010,0020)", "LO", "PatientID", k),
+                    ("(0010,0030)", "DA", "PatientBirthDate", birth), ("(0028,0010)", "US", "Rows", k % 512))
+
+    def files(rows, rel, content):
+        return rows.select(rel.alias("rel"), F.lit("file").alias("kind"), content.alias("content"))
+
+    here = (files(c.filter(k % 4 != 0), F.concat(home, F.lit("/DICOMDIR")), index)
+            .unionByName(files(c.filter(k % 9 != 0), F.concat(home, F.lit("/DICOM/IM_0001")), image))
+            .unionByName(files(c.filter((k % 9 != 0) & (k % 6 == 0)), F.concat(home, F.lit("/DICOM/note.txt")), F.lit("note"))))
+    done = files(c.filter((k % 17 == 0) & (k % 5 != 0)), F.concat(_pseudonym("c_custkey"), session, F.lit("/DICOMDIR")), F.lit("{}"))
+    return here, done
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index records over ``order_tree``: its images but some, and some that are not there."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").filter(((k % 4 != 0) & (k % 11 != 0)) | ((k % 4 == 0) & (k % 13 == 0)))
+    return o.select(F.array().cast("array<int>").alias("parent_pos"), k.alias("pos"), F.lit("IMAGE").alias("record_type"),
+                    F.array(F.concat(F.lit("part"), _s(F.col("o_custkey") % 40)), _s("o_custkey"), F.concat(F.lit("IM_"), _s(k)))
+                    .alias("referenced_file_id"))
+
+
+def vector_visits(spark: SparkSession, sf_dir: str, volume_dir: str) -> tuple[DataFrame, DataFrame]:
+    """File index and clinical table of three visits per subject, a volume each."""
+    e = table(spark, sf_dir, "embeddings")
+    subject, visit = F.floor(F.col("vec_id") / 3), F.col("vec_id") % 3
+    a, b = _three(F.floor(subject / 10000)), F.lpad(_s(subject % 10000), 4, "0")
+    months = _three(visit * 6)
+    layout = e.select(F.concat(F.lit("sub-ADNI"), a, F.lit("S"), b, F.lit("_ses-M"), months, F.lit("_T1w.nii.gz")).alias("filename"),
+                      F.concat(F.lit(volume_dir + "/"), _s("vec_id"), F.lit(".nii.gz")).alias("path"),
+                      F.lit("T1w").alias("suffix"), F.lit("nii.gz").alias("extension"), F.lit("Crop").alias("desc"), F.lit("1x1x1").alias("res"),
+                      F.lit(None).cast("string").alias("tracer"), F.lit(None).cast("string").alias("reconstruction"))
+    dx = F.element_at(F.array(F.lit("CN"), F.lit("MCI"), F.lit("Dementia")), (F.col("label") % 3 + 1).cast("int"))
+    clinical_ = e.select(F.lit("ADNI3").alias("COLPROT"), F.concat(a, F.lit("_S_"), b).alias("PTID"),
+                         F.when(visit == 0, F.lit("bl")).otherwise(F.concat(F.lit("m"), _s(visit * 6))).alias("VISCODE"), dx.alias("DX"))
+    return layout, clinical_
+
+
 def header_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, kind, content): a header file per document in a folder per source; every
     seventh is unreadable."""

@@ -693,3 +693,36 @@ SELECT DISTINCT file_path, sort_key, keyword, value, found, found_keyword, owner
 WHERE NOT regexp_matches(substr(lower(value), p - 1, CASE WHEN p > 1 THEN 1 ELSE 0 END), '[a-z0-9]')
   AND NOT regexp_matches(substr(lower(value), p + length(found), 1), '[a-z0-9]')
 """
+
+ORACLE["anonymize_job"] = r"""
+WITH todo AS (
+  SELECT *, 'ANON' || CAST(c_custkey * 7919 AS VARCHAR) AS new_id FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 17 <> 0)
+SELECT new_id || '/S' || c_nationkey || '/DICOMDIR' AS target, '(0010,0010)' AS tag, 'PatientName' AS keyword, new_id AS value, new_id
+FROM todo WHERE c_custkey % 4 <> 0
+UNION ALL
+SELECT new_id || '/S' || c_nationkey || '/DICOM/IM_0001', e.tag, e.keyword,
+       CASE e.keyword WHEN 'PatientName' THEN new_id WHEN 'PatientBirthDate' THEN CAST(1920 + c_custkey % 80 AS VARCHAR) || '0101'
+            ELSE CAST(c_custkey % 512 AS VARCHAR) END, new_id
+FROM todo, (VALUES ('(0010,0010)', 'PatientName'), ('(0010,0030)', 'PatientBirthDate'), ('(0028,0010)', 'Rows')) e(tag, keyword)
+WHERE c_custkey % 9 <> 0
+"""
+
+ORACLE["check_manifest_job"] = r"""
+SELECT 'part' || (o_custkey % 40) || '/' || o_custkey || '/IM_' || o_orderkey AS rel,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'only_in_manifest' WHEN o_orderkey % 11 = 0 THEN 'only_on_disk' ELSE 'common' END AS status
+FROM orders WHERE o_orderkey % 4 <> 0 OR o_orderkey % 13 = 0
+"""
+
+ORACLE["training_set_job"] = _with(r"""
+visit AS (
+  SELECT *, lpad(CAST(vec_id // 3 // 10000 AS VARCHAR), 3, '0') || '_S_' || lpad(CAST(vec_id // 3 % 10000 AS VARCHAR), 4, '0') AS ptid,
+         CASE label % 3 WHEN 0 THEN 'cn' WHEN 1 THEN 'mci' ELSE 'dementia' END AS dx
+  FROM embeddings)
+""", _assign("SELECT DISTINCT ptid FROM visit"), r"""
+kept AS (
+  SELECT * FROM (SELECT v.*, a.split, row_number() OVER (PARTITION BY v.ptid ORDER BY vec_id % 3) AS nth FROM visit v JOIN asg a ON v.ptid = a.ptid) t
+  WHERE split = 'train' OR nth = 1)
+""") + r"""
+SELECT split, pos // 128 AS chunk, pos % 128 AS row, dx, CAST(CAST(embedding[1] AS DOUBLE) / 255.0 AS FLOAT) AS first
+FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY ptid, vec_id % 3) - 1 AS pos FROM kept) t
+"""
