@@ -19,13 +19,13 @@ def ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read again: several
     readers share one computation, and a lost executor loses none of it."""
     spark = df.sparkSession
     checkpoint_base(spark)
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,16 +3,17 @@
 Equal sets are one set.  The sets are sorted by two minimum hashes, so similar ones
 stand together, and cut into groups of a few dozen.  The matrix holds, for each
 group, the union of its members' necessary tokens: with all tokens in one order,
-rare ones first, two sets of similarity t share one of their first
-|S| - ceil(t |S|) + 1.  A set looks its own necessary tokens up in the matrix, for
-groups whose sizes fit.  A group found is bounded by the set's overlap with the
-union of all its tokens; only groups that reach ceil(t |S|) are opened and their
-members compared exactly.
+rare ones first, two sets of similarity t share COMMON of their first
+|S| - ceil(t |S|) + COMMON.  A set looks its own necessary tokens up in the matrix,
+for groups whose sizes fit and that have COMMON of them.  A group found is bounded by
+the set's overlap with the union of all its tokens; only groups that reach
+ceil(t |S|) are opened and their members compared exactly.
 
 A family of copies would meet itself in every one of its groups.  So links are
-found in three steps, all exact: inside each group; from each set to the first group
-of each of its tokens, which connects families; then between groups for pairs whose
-sets are not connected yet.  What is connected already needs no further link.
+found in three steps, all exact: inside each group; from each set to the group that is
+the first one for most of its tokens, which connects families; then between groups for pairs whose
+sets are not connected yet, looked up group by group first.  What is connected already
+needs no further link.
 
 A token is a 64-bit hash of an n-gram; texts travel, tokens are made where they are
 needed.
@@ -20,6 +21,8 @@ needed.
 
 from __future__ import annotations
 
+import itertools
+import math
 import zlib
 
 import numpy as np
@@ -33,8 +36,14 @@ from cohortlake.llm.meeting import Once, meet
 
 #: Sets of a group, and tokens of one (a longer set is a group of its own).
 GROUP, GROUP_TOKENS = 32, 1 << 18
-#: Counters for the order of tokens; bytes of text of one sorted part.
-SLOTS, PART_BYTES = 1 << 20, 8 << 20
+#: Counters of tokens, and the hash below which tokens are counted: a quarter of them,
+#: about twice as many as are necessary.
+SLOTS, COUNTED = 1 << 24, np.uint64(1 << 62)
+#: Bytes of text of one sorted part; texts worked on at once.
+PART_BYTES, SLICE = 8 << 20, 1000
+#: Necessary tokens that two similar sets share at least: COMMON, or SHARE percent of the
+#: smaller set where that is more (fewer where the sets have fewer).
+COMMON, SHARE = 4, 3
 #: Visitors that one task compares with a group before another task takes over.
 VISITORS = 4096
 _SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
@@ -90,8 +99,9 @@ def described(docs: DataFrame, gram: int, percent: int, slots: int, doc_id: str,
     least = linkable(percent)
 
     def run(batches):
-        seen, counts = set(), np.zeros(slots, np.int64)
-        for batch in batches:
+        seen, counts = set(), np.zeros(slots, np.uint32)
+        for batch in itertools.chain.from_iterable(
+                (b.slice(i, SLICE) for i in range(0, b.num_rows, SLICE)) for b in batches):
             tokens, at = token_sets(batch.column(1), gram)
             n = np.diff(at)
             some = np.flatnonzero(n)
@@ -108,14 +118,14 @@ def described(docs: DataFrame, gram: int, percent: int, slots: int, doc_id: str,
                 if key not in seen:
                     seen.add(key)
                     keep[i] = True
-            kept = np.repeat(keep, n)
-            counts += np.bincount(slot(tokens[kept], slots), minlength=slots)
+            np.add.at(counts, slot(tokens[(tokens < COUNTED) & np.repeat(keep, n)], slots), 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(a), pa.array(b), pa.array(m1), pa.array(m2),
-                 pa.compute.if_else(pa.array(keep), batch.column(1).cast(pa.string()), pa.scalar(None, pa.string())),
+                 batch.column(1).take(pa.array(np.arange(len(n)), mask=~keep)).cast(pa.string()),
                  pa.nulls(len(n), pa.binary())], names)
         if counts.any():
-            blob = zlib.compress(counts.astype(np.uint32).tobytes(), 1)
+            at = np.flatnonzero(counts)
+            blob = zlib.compress(np.diff(at, prepend=0).astype(np.uint32).tobytes() + counts[at].tobytes(), 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.array([-1]), *[pa.array([0]) for _ in range(4)], pa.nulls(1, pa.string()),
                  pa.array([blob], pa.binary())], names)
@@ -126,23 +136,40 @@ def described(docs: DataFrame, gram: int, percent: int, slots: int, doc_id: str,
 
 
 def token_grades(rows: DataFrame, slots: int) -> np.ndarray:
-    """How common the tokens of each slot are: the bits of their count (one byte a
-    slot, whatever the input).  Rarer slots come first in the order of tokens."""
+    """How frequent the tokens of each slot are: a byte each, whatever the input (16 is
+    the mean, where that is more)."""
+    pieces = max(1, slots >> 16)
+
+    def pack(total):
+        blobs = [zlib.compress(part.tobytes(), 1) for part in np.split(total, pieces)]
+        return pa.table({"piece": pa.array(np.arange(pieces, dtype=np.int32)), "counts": pa.array(blobs, pa.binary())})
+
     def add(batches):
         total = np.zeros(slots, np.int64)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                total += np.frombuffer(zlib.decompress(blob), np.uint32)
-        some = np.flatnonzero(total)
-        for i in range(0, len(some), 1 << 17):
-            part = some[i:i + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["slot", "c"])
+                steps, counts = np.frombuffer(zlib.decompress(blob), np.uint32).reshape(2, -1)
+                total[np.cumsum(steps, dtype=np.int64)] += counts
+        yield from pack(total).to_batches()
+
+    def total(held):
+        count = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in held.column("counts").to_pylist())
+        return pa.table({"piece": held.column("piece")[:1], "counts": pa.array([zlib.compress(count.tobytes(), 1)], pa.binary())})
 
-    grades = (rows.where("counts is not null").select("counts").mapInArrow(add, "slot int, c long").groupBy("slot")
-              .agg(F.length(F.bin(F.sum("c"))).cast("byte").alias("grade")).toArrow())
-    out = np.zeros(slots, np.uint8)
-    out[grades.column("slot").to_numpy()] = grades.column("grade").to_numpy()
-    return out
+    counts = rows.where("counts is not null").select("counts")
+    parts = math.ceil(math.sqrt(counts.rdd.getNumPartitions()))      # few tasks, each with as many counts to add
+    found = (counts.coalesce(parts).mapInArrow(add, "piece int, counts binary").groupBy("piece")
+             .applyInArrow(total, "piece int, counts binary").orderBy("piece").toArrow())
+    count = [np.frombuffer(zlib.decompress(b), np.int64) for b in found.column("counts").to_pylist()]
+    count = np.concatenate(count) if count else np.zeros(slots, np.int64)
+    return np.minimum(count / max(1.0, count.mean() / 16), 250).astype(np.uint8)
+
+
+def token_order(tokens: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Places of the tokens in the order that all sets share: those counted first,
+    rare ones before frequent ones, then the others; each by hash."""
+    grade = np.where(tokens < COUNTED, grades[slot(tokens, len(grades))], 255)
+    return np.lexsort((tokens, grade))
 
 
 class Members:
@@ -170,17 +197,28 @@ class Members:
 def _leaders(m: Members, percent: int) -> np.ndarray:
     """For each member the first one that it is connected with inside the group."""
     lead = np.arange(len(m.n))
-    for i in range(1, len(m.n)):
-        found = m.similar(m.places(m.tokens[m.at[i]:m.at[i + 1]]), m.n[i], percent)
-        joined = lead[found[found <= i]]
+    if len(lead) == 1:
+        return lead
+    several = m.has.sum(0, dtype=np.int64) > 1          # the others are in no intersection
+    has = m.has[:, several].astype(np.float32 if len(m.union) < 1 << 24 else np.float64)
+    both = np.rint(has @ has.T).astype(np.int64)
+    near = 100 * both >= percent * (m.n[:, None] + m.n[None, :] - both)
+    for i in range(1, len(lead)):
+        joined = lead[:i + 1][near[i, :i + 1]]
         lead[np.isin(lead, joined)] = joined.min()
     return lead
 
 
-def grouped(rows: DataFrame, grades: np.ndarray, gram: int, percent: int, parts: int, group: int) -> DataFrame:
+def shared_least(n: int, percent: int, common: int) -> int:
+    """Necessary tokens that a set of n shares with a similar one of its size or more."""
+    return min(max(common, n * SHARE // 100), needed(n, percent))
+
+
+def grouped(rows: DataFrame, grades: np.ndarray, gram: int, percent: int, parts: int, group: int,
+            common: int) -> DataFrame:
     """(grp, uid, leader, n, a, b, text, first): the distinct sets in their groups;
     ``first`` are the necessary tokens."""
-    order_of = rows.sparkSession.sparkContext.broadcast(grades)
+    shared = rows.sparkSession.sparkContext.broadcast(grades)
 
     def run(batches):
         from pyspark import TaskContext
@@ -195,9 +233,8 @@ def grouped(rows: DataFrame, grades: np.ndarray, gram: int, percent: int, parts:
             first = []
             for i, n in enumerate(m.n.tolist()):
                 t = m.tokens[m.at[i]:m.at[i + 1]]
-                p = n - needed(n, percent) + 1
-                grade = order_of.value[slot(t, len(order_of.value))]
-                first.append(t[np.lexsort((t, grade))[:p]].view(np.int64))
+                p = n - needed(n, percent) + shared_least(n, percent, common)
+                first.append(t[token_order(t, shared.value)[:p]].view(np.int64))
             uid = base + done + np.arange(len(held))
             out = pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(held), base + done)), pa.array(uid), pa.array(uid[lead]), pa.array(m.n),
@@ -232,13 +269,14 @@ def _fits(percent: int):
 
 def open_groups(sets: DataFrame, pairs: DataFrame, gram: int, percent: int, visitors_each: int) -> DataFrame:
     """Links (a, b) between the leaders of each set of ``pairs(uid, key)`` and of the
-    members of group ``key`` that it is similar to."""
+    members of group ``key`` that it is similar to, both among ``sets``."""
     least = F.greatest(F.lit(1), F.ceil(F.col("c") / visitors_each)).cast("long")
     load = pairs.groupBy("key").agg(F.count("*").alias("c")).select("key", least.alias("salts"))
+    load = stored(load, "visited-groups")        # small tables are written, so Spark knows their size
     members = (sets.select(F.col("grp").alias("key"), "leader", "text").join(load, "key")
                .select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "leader", "text"))
-    visitors = (pairs.join(load, "key").join(sets.select("uid", "leader", "text"), "uid")
-                .select("key", F.pmod(F.xxhash64("uid"), F.col("salts")).alias("salt"), "leader", "text"))
+    visits = stored(pairs.join(load, "key").select("uid", "key", F.pmod(F.xxhash64("uid"), F.col("salts")).alias("salt")), "visits")
+    visitors = visits.join(sets.select("uid", "leader", "text"), "uid").select("key", "salt", "leader", "text")
     group = Once(lambda t: Members(t.column("text"), gram))
 
     def work(held, passing):
@@ -255,32 +293,62 @@ def open_groups(sets: DataFrame, pairs: DataFrame, gram: int, percent: int, visi
     return meet(members, visitors, work, "a long, b long", 256).distinct()
 
 
-def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS) -> DataFrame:
+def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS, common: int = COMMON) -> DataFrame:
     """Links between leaders, enough to connect all similar sets."""
     tokens = sets.select(F.explode("first").alias("token"), "grp", "uid", "leader", "n")
-    cells = tokens.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    first = cells.groupBy("token").agg(F.min(F.struct("grp", "low", "high")).alias("f"), F.count("*").alias("c")).where("c > 1")
-    tokens = stored(tokens.join(first.select("token", F.col("f.grp").alias("key"), F.col("f.low").alias("low"),
-                                             F.col("f.high").alias("high")), "token"), "shared-tokens")
-    star = stored(tokens.where((F.col("grp") > F.col("key")) & _fits(percent)).select("uid", "key").distinct(), "first-groups")
-    found = stored(open_groups(sets, star, gram, percent, visitors), "first-links")
-
-    # what is not connected yet
-    known = (tokens.drop("key", "low", "high").join(connected(found), F.col("leader") == F.col("node"), "left")
+    first = (tokens.groupBy("token").agg(F.min("grp").alias("key"), F.max("grp").alias("last"))
+             .where("key <> last").select("token", "key"))
+    # written first: where the tokens of several groups are few, their size lets Spark broadcast them
+    tokens = stored(tokens.join(stored(first, "tokens-of-groups"), "token"), "shared-tokens", "zstd")
+
+    def enough(size):       # as shared_least, for the smaller of two sets
+        return F.least(F.greatest(F.lit(common), F.floor(size * SHARE / 100)), F.ceil(size * percent / 100))
+
+    # a set can be similar to one of another group only if it has enough tokens of several groups
+    able = tokens.groupBy("uid").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(F.col("c") >= enough(F.col("n") * percent / 100)).select("uid")
+    able = stored(able, "sets-with-tokens")
+    tokens = tokens.join(able, "uid", "left_semi")
+    some = sets.join(able, "uid", "left_semi")
+    star = (tokens.where("grp > key").groupBy("uid", "key").agg(F.min("n").alias("n"), F.count("*").alias("c"))
+            .where(F.col("c") >= enough(F.col("n"))).groupBy("uid").agg(F.max_by("key", F.struct("c", -F.col("key"))).alias("key")))
+    star = stored(star, "first-groups")
+    found = stored(open_groups(some, star, gram, percent, visitors), "first-links")
+
+    # what is not connected yet: tokens of several components, sets that have enough of them
+    known = (tokens.drop("key").join(connected(found), F.col("leader") == F.col("node"), "left")
              .withColumn("whole", F.coalesce("component", "leader")).drop("node", "component"))
-    shared = (known.groupBy("token").agg(F.min("whole").alias("x"), F.max("whole").alias("y")).where("x <> y").select("token"))
-    known = known.join(shared, "token", "left_semi")
-    cells = known.groupBy("token", "grp", "whole").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    cells = cells.select("token", F.col("grp").alias("key"), F.col("whole").alias("other"), "low", "high")
-    rest = (known.join(cells, "token")
-            .where((F.col("grp") > F.col("key")) & (F.col("whole") != F.col("other")) & _fits(percent))
-            .select("uid", "key").distinct().join(star, ["uid", "key"], "left_anti"))
-    more = open_groups(sets, stored(rest, "other-groups"), gram, percent, visitors)
+    for _ in range(2):
+        several = known.groupBy("token").agg(F.min("whole").alias("x"), F.max("whole").alias("y")).where("x <> y").select("token")
+        known = known.join(stored(several, "tokens-of-components"), "token", "left_semi")
+        able = known.groupBy("uid").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(F.col("c") >= enough(F.col("n") * percent / 100)).select("uid")
+        known = known.join(stored(able, "sets-with-tokens"), "uid", "left_semi")
+    known = stored(known, "other-tokens")
+    # first between groups, so a family of copies costs the square of its groups at most;
+    # tokens that the same groups have are looked up once and count as many
+    sizes = stored(known.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"),
+                                            F.min("whole").alias("w"), F.max("whole").alias("z")), "groups-apart")
+    cells = stored(known.select("token", "grp").distinct(), "matrix")
+    alike = (cells.groupBy("token").agg(F.sum(F.xxhash64("grp").cast("decimal(38,0)")).alias("x"), F.count("*").alias("y"))
+             .where("y > 1").groupBy("x", "y").agg(F.min("token").alias("token"), F.count("*").alias("weight")).drop("x", "y"))
+    cells = cells.join(alike, "token").join(sizes, "grp")
+    other = cells.select("token", F.col("grp").alias("key"), F.col("low").alias("low2"), F.col("high").alias("high2"),
+                         F.col("w").alias("w2"), F.col("z").alias("z2"))
+    fits = (F.col("low") * percent <= F.col("high2") * 100) & (F.col("low2") * percent <= F.col("high") * 100)
+    apart = (F.col("w") != F.col("z2")) | (F.col("z") != F.col("w2"))
+    pairs = (cells.join(other, "token").where((F.col("grp") > F.col("key")) & fits & apart)
+             .groupBy("grp", "key", "low", "low2", "high2").agg(F.sum("weight").alias("c"))
+             .where(F.col("c") >= enough(F.least("low", "low2")))
+             .select("grp", "key", F.col("low2").alias("low"), F.col("high2").alias("high")))
+    rest = (known.select("uid", "grp", "n").distinct().join(stored(pairs, "group-pairs"), "grp").where(_fits(percent))
+            .select("uid", "key").join(star, ["uid", "key"], "left_anti"))
+    some = sets.join(stored(known.select("uid").distinct(), "sets-apart"), "uid", "left_semi")
+    more = open_groups(some, stored(rest, "other-groups"), gram, percent, visitors)
     return found.unionByName(more)
 
 
 def similar_components(docs: DataFrame, gram: int = 3, percent: int = 90, doc_id: str = "doc_id",
-                       text: str = "text", group: int = GROUP, slots: int = SLOTS, visitors: int = VISITORS) -> DataFrame:
+                       text: str = "text", group: int = GROUP, slots: int = SLOTS, visitors: int = VISITORS,
+                       common: int = COMMON) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id).
 
     A-Z count as lower case; words are runs without blanks; a text's set holds its
@@ -289,7 +357,8 @@ def similar_components(docs: DataFrame, gram: int = 3, percent: int = 90, doc_id
     smallest doc_id reachable, the own one included.
 
     ``group``: sets of a group; ``slots`` (a power of two): counters for the order of
-    tokens; ``visitors`` of a group for one task.  They change time only.
+    tokens; ``visitors`` of a group for one task; ``common``: necessary tokens that
+    candidates share.  They change time only.
 
     Null, empty and blank texts have no set and link with nothing, so their
     component is their own doc_id.  Rows that repeat stay; a null doc_id counts in no
@@ -298,10 +367,11 @@ def similar_components(docs: DataFrame, gram: int = 3, percent: int = 90, doc_id
     result."""
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
-    rows = stored(described(docs, gram, percent, slots, doc_id, text), "token-sets")
+    rows = stored(described(docs, gram, percent, slots, doc_id, text), "token-sets", "zstd")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    sets = stored(grouped(rows, token_grades(rows, slots), gram, percent, blocks_for(size, PART_BYTES), group), "token-groups")
-    joined = connected(links(sets, gram, percent, visitors))
+    sets = stored(grouped(rows, token_grades(rows, slots), gram, percent, blocks_for(size, PART_BYTES), group, common),
+                  "token-groups", "zstd")
+    joined = connected(links(sets, gram, percent, visitors, common))
     classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("least"))
     whole = (sets.select("a", "b", "leader").join(joined, F.col("leader") == F.col("node"), "left")
              .select("a", "b", F.coalesce("component", "leader").alias("component")))
