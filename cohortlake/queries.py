@@ -553,3 +553,15 @@ def training_set_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout, visits = demo.vector_visits(spark, sf_dir, volumes)
     paths = training.build_training_set(layout, visits, f"{base}/set", train=TRAIN, val=VAL, ordered=True)
     return chunks.read_tensor_chunks(spark, paths["tensors"]).select("split", "chunk", "row", "dx", F.col("raw")[0].alias("first"))
+
+
+@query
+def volume_slab_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volumes decoded slab by slab, two slabs a file."""
+    vols = demo.volumes(spark, sf_dir)
+    out = shared_dir(spark, "volumes")
+    tensors.write_sample_volumes(vols, out, VOLUME_SHAPE).write.format("noop").mode("overwrite").save()
+    paths = vols.select("vec_id", "dx", F.concat(F.lit(out + "/"), F.col("vec_id").cast("string"), F.lit(".nii.gz")).alias("path"))
+    slabs = tensors.volume_slabs(paths, buffer_bytes=200, keep=["vec_id"])
+    return (slabs.select("vec_id", "start", F.posexplode("raw").alias("at", "value"))
+            .select("vec_id", (F.col("start") + F.col("at")).alias("idx"), "value"))

@@ -6,7 +6,10 @@ with the first axis fastest (Fortran order)."""
 from __future__ import annotations
 
 import gzip
+import io
+import math
 import struct
+from typing import BinaryIO
 
 import numpy as np
 
@@ -107,3 +110,66 @@ def to_tensor(volume: np.ndarray) -> np.ndarray:
     C order (last axis fastest)."""
     v = np.expand_dims(volume, axis=-1).astype(np.float32) / np.float32(255.0)
     return v.reshape(-1)
+
+
+#: Bytes of a file inflated at once.
+BLOCK_BYTES = 4 << 20
+
+
+def _inflated(stream: BinaryIO) -> BinaryIO:
+    """The stream's contents, inflated as they are read where they are gzip."""
+    head = io.BufferedReader(stream, 1 << 16)
+    return gzip.GzipFile(fileobj=head) if head.peek(2)[:2] == b"\x1f\x8b" else head
+
+
+def _start(stream: BinaryIO) -> tuple[BinaryIO, tuple]:
+    """The inflated stream, at its start, and the header."""
+    data = io.BufferedReader(_inflated(stream), 1 << 16)
+    raw = data.peek(HEADER2_SIZE)[:HEADER2_SIZE]
+    if len(raw) < HEADER_SIZE:
+        raise ValueError("file too short for a NIfTI header")
+    header = _header(raw)
+    if header[2] not in DTYPES:
+        raise ValueError(f"unsupported datatype code {header[2]}")
+    return data, header
+
+
+def slab_width(shape: tuple[int, ...], buffer_bytes: int) -> int:
+    """Planes of the first axis that a slab of float32 values has, one at least."""
+    return max(1, min(shape[0], buffer_bytes // max(4 * math.prod(shape[1:]), 1)))
+
+
+def read_shape(stream: BinaryIO) -> tuple[int, ...]:
+    return _start(stream)[1][1]
+
+
+def read_slab(stream: BinaryIO, first: int, width: int) -> np.ndarray:
+    """Planes ``first`` to ``first + width`` of the first axis as tensor values (as
+    ``to_tensor`` of the whole volume has them, in C order).  The file is inflated block
+    by block; held are one block and the slab, twice while it is turned round."""
+    data, (endian, shape, code, offset, slope, inter) = _start(stream)
+    dtype = np.dtype(DTYPES[code]).newbyteorder(endian)
+    _skip(data, offset)
+    rows, width = math.prod(shape[1:]), min(width, shape[0] - first)
+    out = np.empty((rows, width), np.float32)
+    step = max(1, BLOCK_BYTES // max(shape[0] * dtype.itemsize, 1))
+    for at in range(0, rows, step):
+        n = min(step, rows - at)
+        raw = data.read(n * shape[0] * dtype.itemsize)
+        if len(raw) < n * shape[0] * dtype.itemsize:
+            raise ValueError("file ends before its last voxel")
+        part = np.frombuffer(raw, dtype).reshape(n, shape[0])[:, first:first + width].astype(np.float64)
+        if np.isfinite(slope) and slope != 0:
+            part = part * slope + (inter if np.isfinite(inter) else 0.0)
+        out[at:at + n] = part.astype(np.float32) / np.float32(255.0)
+    # rows come with the second axis fastest; C order has the last one fastest
+    turned = out.reshape(*shape[:0:-1], width)
+    return turned.transpose(*reversed(range(turned.ndim))).reshape(-1)
+
+
+def _skip(data: BinaryIO, n: int) -> None:
+    while n > 0:
+        got = len(data.read(min(n, BLOCK_BYTES)))
+        if not got:
+            raise ValueError("file ends before its first voxel")
+        n -= got

@@ -726,3 +726,5 @@ kept AS (
 SELECT split, pos // 128 AS chunk, pos % 128 AS row, dx, CAST(CAST(embedding[1] AS DOUBLE) / 255.0 AS FLOAT) AS first
 FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY ptid, vec_id % 3) - 1 AS pos FROM kept) t
 """
+
+ORACLE["volume_slab_tensors"] = ORACLE["tensor_scale"]
