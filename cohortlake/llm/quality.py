@@ -174,7 +174,8 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold
              text: str = "text", host: Column | None = None, path: Column | None = None) -> DataFrame:
     """(doc_id, copy, host, path, low_quality, toxic, path_low_quality, path_toxic, kept)
     for every row of ``docs``: posterior probabilities, and whether both are below
-    ``threshold``.
+    ``threshold``.  path_* are the rates of the document's path and host as the other
+    documents there make them.
 
     ``labels``: (doc_id, quality, toxic), 1 or 0 (null: not known); the worst of
     repeated ones counts; at most ``sample`` documents are read for training, all
@@ -197,13 +198,15 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold
     hosts = stored(paths.groupBy("host").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names]), "hosts")
     total = hosts.agg(F.sum("n"), *[F.sum(n) for n in names]).first()
     site = paths.join(hosts.select("host", F.col("n").alias("host_n"), *[F.col(n).alias(f"host_{n}") for n in names]), "host")
+    out = rows.join(site.select("host", "path", "n", "host_n", *[F.col(n).alias(f"path_{n}") for n in names], *[f"host_{n}" for n in names]),
+                    ["host", "path"])
     for k, n in enumerate(names):
         mean = min(max((total[k + 1] or 0) / max(total[0] or 0, 1), 1e-4), 1 - 1e-4)
         by_host, by_path = _strength(hosts, n, mean), _strength(paths, n, mean)
-        above = (F.col(f"host_{n}") + by_host * mean) / (F.col("host_n") + by_host)
-        site = site.withColumn(f"path_{n}", (F.col(n) + by_path * above) / (F.col("n") + by_path))
-    site = site.select("host", "path", *[f"path_{n}" for n in names])
-    out = rows.join(site, ["host", "path"])
+        # what the others of the site say: a document's own evidence counts once
+        others = lambda c: F.greatest(F.col(c) - chance[n], F.lit(0.0))  # noqa: B023, E731
+        above = (others(f"host_{n}") + by_host * mean) / (F.col("host_n") - 1 + by_host)
+        out = out.withColumn(f"path_{n}", (others(f"path_{n}") + by_path * above) / (F.col("n") - 1 + by_path))
     for n in names:
         out = out.withColumn(n, _sigmoid(F.col(n) + _logit(F.greatest(F.least(F.col(f"path_{n}"), F.lit(1 - 1e-6)), F.lit(1e-6)))))
     kept = (F.col("low_quality") < threshold) & (F.col("toxic") < threshold)
