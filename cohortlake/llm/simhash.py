@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlake.llm import arrays as A
 from cohortlake.llm.common import connected, ready, stored
@@ -181,6 +182,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4,
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def row_hash(docs: DataFrame, at: str = "") -> Column:
+    """A hash of all columns; maps, which can't be hashed or compared, count as JSON."""
+    def part(f: T.StructField) -> Column:
+        column = F.col(f"{at}`{f.name}`")
+        return F.to_json(F.struct(column)) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else column
+    return F.xxhash64(*map(part, docs.schema.fields))
+
+
 def first_copies(docs: DataFrame, shingle: int = 4, bits: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, copy, row): one row for each component of near copies, its least by
     doc_id, then copy (a hash of the text), then row (a hash of all columns).
@@ -189,7 +198,7 @@ def first_copies(docs: DataFrame, shingle: int = 4, bits: int = 4, doc_id: str =
     them.  Rows without a doc_id link others but are never the one that stands;
     components of such rows only are not in the result."""
     ready(docs.sparkSession)
-    hashes = {"copy": F.xxhash64(F.col(text).cast("string")), "row": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])}
+    hashes = {"copy": F.xxhash64(F.col(text).cast("string")), "row": row_hash(docs)}
     prints = stored(fingerprints(docs, shingle, doc_id, text, hashes), "fingerprints")
     least = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "copy", "row"))
     return (_components(prints, least, bits).groupBy("component").agg(F.min("least").alias("least"))
