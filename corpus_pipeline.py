@@ -29,12 +29,13 @@ def near_dedup(spark, docs, sf_dir):
     text hash, then hash of all columns.  A doc_id with several texts keeps each
     text that is the first of its group; documents without a doc_id can't be told
     apart and stay."""
-    from cohortlake.llm.simhash import first_copies
+    from cohortlake.llm.simhash import first_copies, row_hash
     same = ((F.col("d.doc_id") == F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.copy"))
-            & (F.xxhash64(*[F.col(f"d.`{c}`") for c in docs.columns]) == F.col("c.row")))
+            & (row_hash(docs, "d.") == F.col("c.row")))
     first = first_copies(docs, shingle=4, bits=4)
-    kept = docs.alias("d").join(first.alias("c"), same, "left_semi").distinct()  # rows that repeat whole
-    return kept.unionByName(docs.where("doc_id is null"))
+    kept = docs.alias("d").join(first.alias("c"), same, "left_semi")
+    once = kept.withColumn("_row", row_hash(docs)).dropDuplicates(["doc_id", "_row"]).drop("_row")  # rows that repeat whole
+    return once.unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark, docs, sf_dir):
