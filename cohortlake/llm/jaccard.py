@@ -1,7 +1,7 @@
 """Jaccard join of word n-grams with a token-group matrix.
 
 Equal sets are one set.  The sets are sorted by two minimum hashes, so similar ones
-stand together, and cut into groups of a few dozen.  The matrix holds, for each
+stand together, and cut into groups of some hundred.  The matrix holds, for each
 group, the union of its members' necessary tokens: with all tokens in one order,
 rare ones first, two sets of similarity t share COMMON of their first
 |S| - ceil(t |S|) + COMMON.  A set looks its own necessary tokens up in the matrix,
@@ -12,8 +12,8 @@ ceil(t |S|) are opened and their members compared exactly.
 A family of copies would meet itself in every one of its groups.  So links are
 found in three steps, all exact: inside each group; from each set to the group that is
 the first one for most of its tokens, which connects families; then between groups for pairs whose
-sets are not connected yet, looked up group by group first.  What is connected already
-needs no further link.
+sets are not connected yet; those sets are grouped anew and looked up group by group
+first.  What is connected already needs no further link.
 
 A token is a 64-bit hash of an n-gram; texts travel, tokens are made where they are
 needed.
@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from cohortlake.llm import arrays as A
 from cohortlake.llm.common import blocks_for, connected, ready, stored
 from cohortlake.llm.meeting import Once, meet
+from cohortlake.operators.position import with_position
 
 #: Sets of a group, and tokens of one (a longer set is a group of its own).
-GROUP, GROUP_TOKENS = 32, 1 << 18
+GROUP, GROUP_TOKENS = 128, 1 << 18
 #: Counters of tokens, and the hash below which tokens are counted: a quarter of them,
 #: about twice as many as are necessary.
 SLOTS, COUNTED = 1 << 24, np.uint64(1 << 62)
@@ -160,9 +161,10 @@ def token_grades(rows: DataFrame, slots: int) -> np.ndarray:
     parts = math.ceil(math.sqrt(counts.rdd.getNumPartitions()))      # few tasks, each with as many counts to add
     found = (counts.coalesce(parts).mapInArrow(add, "piece int, counts binary").groupBy("piece")
              .applyInArrow(total, "piece int, counts binary").orderBy("piece").toArrow())
-    count = [np.frombuffer(zlib.decompress(b), np.int64) for b in found.column("counts").to_pylist()]
-    count = np.concatenate(count) if count else np.zeros(slots, np.int64)
-    return np.minimum(count / max(1.0, count.mean() / 16), 250).astype(np.uint8)
+    counts = found.column("counts").to_pylist()
+    mean = sum(int(np.frombuffer(zlib.decompress(b), np.int64).sum()) for b in counts) / slots
+    grade = lambda c: np.minimum(c / max(1.0, mean / 16), 250).astype(np.uint8)  # noqa: E731  a piece at a time
+    return np.concatenate([grade(np.frombuffer(zlib.decompress(b), np.int64)) for b in counts]) if counts else np.zeros(slots, np.uint8)
 
 
 def token_order(tokens: np.ndarray, grades: np.ndarray) -> np.ndarray:
@@ -203,6 +205,7 @@ def _leaders(m: Members, percent: int) -> np.ndarray:
     has = m.has[:, several].astype(np.float32 if len(m.union) < 1 << 24 else np.float64)
     both = np.rint(has @ has.T).astype(np.int64)
     near = 100 * both >= percent * (m.n[:, None] + m.n[None, :] - both)
+    np.fill_diagonal(near, True)
     for i in range(1, len(lead)):
         joined = lead[:i + 1][near[i, :i + 1]]
         lead[np.isin(lead, joined)] = joined.min()
@@ -293,7 +296,7 @@ def open_groups(sets: DataFrame, pairs: DataFrame, gram: int, percent: int, visi
     return meet(members, visitors, work, "a long, b long", 256).distinct()
 
 
-def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS, common: int = COMMON) -> DataFrame:
+def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS, common: int = COMMON, group: int = GROUP) -> DataFrame:
     """Links between leaders, enough to connect all similar sets."""
     tokens = sets.select(F.explode("first").alias("token"), "grp", "uid", "leader", "n")
     first = (tokens.groupBy("token").agg(F.min("grp").alias("key"), F.max("grp").alias("last"))
@@ -308,7 +311,8 @@ def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS, co
     able = tokens.groupBy("uid").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(F.col("c") >= enough(F.col("n") * percent / 100)).select("uid")
     able = stored(able, "sets-with-tokens")
     tokens = tokens.join(able, "uid", "left_semi")
-    some = sets.join(able, "uid", "left_semi")
+    # texts are shuffled here once, at every size of the table; what follows reads the chosen ones
+    some = stored(sets.drop("first").join(able.hint("merge"), "uid", "left_semi"), "sets-to-compare", "zstd")
     star = (tokens.where("grp > key").groupBy("uid", "key").agg(F.min("n").alias("n"), F.count("*").alias("c"))
             .where(F.col("c") >= enough(F.col("n"))).groupBy("uid").agg(F.max_by("key", F.struct("c", -F.col("key"))).alias("key")))
     star = stored(star, "first-groups")
@@ -323,25 +327,31 @@ def links(sets: DataFrame, gram: int, percent: int, visitors: int = VISITORS, co
         able = known.groupBy("uid").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(F.col("c") >= enough(F.col("n") * percent / 100)).select("uid")
         known = known.join(stored(able, "sets-with-tokens"), "uid", "left_semi")
     known = stored(known, "other-tokens")
+    # these sets are grouped anew by the token that most of them have, so a family stands together
+    spread = known.groupBy("token").agg(F.count("*").alias("c"))
+    by_token = known.join(spread, "token").groupBy("uid").agg(F.max(F.struct("c", "token"))["token"].alias("lead"))
+    place = with_position(stored(by_token, "leading-tokens"), ["lead", "uid"], pos_col="at")
+    regrouped = stored(place.select("uid", F.floor(F.col("at") / group).alias("grp")), "second-groups")
+    known = stored(known.drop("grp").join(regrouped, "uid"), "grouped-tokens")
     # first between groups, so a family of copies costs the square of its groups at most;
     # tokens that the same groups have are looked up once and count as many
     sizes = stored(known.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"),
                                             F.min("whole").alias("w"), F.max("whole").alias("z")), "groups-apart")
     cells = stored(known.select("token", "grp").distinct(), "matrix")
     alike = (cells.groupBy("token").agg(F.sum(F.xxhash64("grp").cast("decimal(38,0)")).alias("x"), F.count("*").alias("y"))
-             .where("y > 1").groupBy("x", "y").agg(F.min("token").alias("token"), F.count("*").alias("weight")).drop("x", "y"))
+             .groupBy("x", "y").agg(F.min("token").alias("token"), F.count("*").alias("weight")).drop("x", "y"))
     cells = cells.join(alike, "token").join(sizes, "grp")
     other = cells.select("token", F.col("grp").alias("key"), F.col("low").alias("low2"), F.col("high").alias("high2"),
                          F.col("w").alias("w2"), F.col("z").alias("z2"))
     fits = (F.col("low") * percent <= F.col("high2") * 100) & (F.col("low2") * percent <= F.col("high") * 100)
     apart = (F.col("w") != F.col("z2")) | (F.col("z") != F.col("w2"))
-    pairs = (cells.join(other, "token").where((F.col("grp") > F.col("key")) & fits & apart)
+    pairs = (cells.join(other, "token").where((F.col("grp") >= F.col("key")) & fits & apart)
              .groupBy("grp", "key", "low", "low2", "high2").agg(F.sum("weight").alias("c"))
-             .where(F.col("c") >= enough(F.least("low", "low2")))
+             .where((F.col("c") >= enough(F.least("low", "low2"))) | (F.col("grp") == F.col("key")))
              .select("grp", "key", F.col("low2").alias("low"), F.col("high2").alias("high")))
     rest = (known.select("uid", "grp", "n").distinct().join(stored(pairs, "group-pairs"), "grp").where(_fits(percent))
-            .select("uid", "key").join(star, ["uid", "key"], "left_anti"))
-    some = sets.join(stored(known.select("uid").distinct(), "sets-apart"), "uid", "left_semi")
+            .select("uid", "key"))
+    some = some.drop("grp").join(regrouped, "uid")
     more = open_groups(some, stored(rest, "other-groups"), gram, percent, visitors)
     return found.unionByName(more)
 
@@ -371,7 +381,7 @@ def similar_components(docs: DataFrame, gram: int = 3, percent: int = 90, doc_id
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     sets = stored(grouped(rows, token_grades(rows, slots), gram, percent, blocks_for(size, PART_BYTES), group, common),
                   "token-groups", "zstd")
-    joined = connected(links(sets, gram, percent, visitors, common))
+    joined = connected(links(sets, gram, percent, visitors, common, group))
     classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("least"))
     whole = (sets.select("a", "b", "leader").join(joined, F.col("leader") == F.col("node"), "left")
              .select("a", "b", F.coalesce("component", "leader").alias("component")))

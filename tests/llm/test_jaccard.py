@@ -73,7 +73,7 @@ def result(df):
     return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("group,slots,visitors,common", [(32, 1 << 18, 4096, 4), (3, 4, 2, 1), (1, 1 << 18, 4096, 20), (5, 64, 9, 2)])
+@pytest.mark.parametrize("group,slots,visitors,common", [(128, 1 << 18, 4096, 4), (3, 4, 2, 1), (1, 1 << 18, 4096, 20), (5, 64, 9, 2)])
 def test_against_brute_force(spark, rows, group, slots, visitors, common):
     got = jaccard.similar_components(frame(spark, rows), group=group, slots=slots, visitors=visitors, common=common)
     assert result(got) == by_force(rows)
