@@ -1,10 +1,12 @@
 """D2 in free text: identifying values of any file found inside other elements, such as
 comments and private tags, which the header edit leaves as they are.
 
-An n-gram index finds the candidates.  Each identifying value is looked up by the one of
-its n-grams that the fewest texts have; texts send only n-grams that some value has.
-Candidates are then searched for the whole value.  Nothing is broadcast, and no file, text
-or value meets all others."""
+An index of words finds the candidates.  An identifying value stands in a text only where
+its words do, one after the other, so each value is looked up by the hash of its words (the
+first ``WORDS`` of them) and a text sends the hashes of its runs of as many words as some
+value has, without the text.  Values without a letter or digit are looked up by their first
+n-gram.  Candidates are then searched for the whole value.  Nothing is broadcast, and no
+file, text or value meets all others."""
 
 from __future__ import annotations
 
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 from cohortlake.operators.deid import IDENTIFYING_KEYWORDS
 from cohortlake.session import materialize
 
-#: Characters of an n-gram; shorter values are not looked for.
-GRAM = 4
+#: Characters of an n-gram; shorter values are not looked for.  Words of a value's key at most.
+GRAM, WORDS = 4, 8
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -25,6 +27,27 @@ def _grams(text: Column, n: int) -> Column:
         F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))))
 
 
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def _key(found: Column, n: int) -> Column:
+    """The hash that a value is looked up by."""
+    words = _words(found)
+    return F.when(F.size(words) > 0, F.xxhash64(F.slice(words, 1, WORDS))).otherwise(F.xxhash64(F.substring(found, 1, n)))
+
+
+def _text_keys(text: Column, sizes: Column, n: int) -> Column:
+    """The distinct hashes of a text's runs of ``sizes`` words, and for size 0 those of
+    the n-grams between its words."""
+    words = F.col("_words")
+    runs = F.flatten(F.transform(F.filter(sizes, lambda k: (k > 0) & (k <= F.size(words))), lambda k: F.transform(
+        F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.xxhash64(F.slice(words, i, k)))))
+    between = F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}]{%d,}" % n), F.lit(0))
+    grams = F.when(F.array_contains(sizes, 0), F.transform(F.flatten(F.transform(between, lambda x: _grams(x, n))), lambda g: F.xxhash64(g)))
+    return F.array_distinct(F.concat(runs, F.coalesce(grams, F.array().cast("array<bigint>"))))
+
+
 def identifying_values(elements: DataFrame, keywords: Sequence[str] = tuple(IDENTIFYING_KEYWORDS), parts: bool = True) -> DataFrame:
     """(file_path, keyword, value) of each file's top-level identifying elements, in lower
     case; with ``parts`` also the pieces of a name (cut at ``^``, commas and blanks)."""
@@ -46,17 +69,17 @@ def identifiers_in_text(elements: DataFrame, values: DataFrame | None = None, ow
     values = identifying_values(elements, keywords) if values is None else values
     wanted = materialize(values.select(F.col("file_path").alias("owner"), F.col("keyword").alias("found_keyword"),
                                        F.lower("value").alias("found")).filter(F.length("found") >= gram).distinct())
-    asked = (wanted.select("found").distinct().select("found", F.explode(_grams(F.col("found"), gram)).alias("g")))
+    asked = wanted.select("found").distinct().select("found", _key(F.col("found"), gram).alias("g"))
+    sizes = wanted.agg(F.collect_set(F.least(F.size(_words(F.col("found"))), F.lit(WORDS)))).scalar()
     texts = elements.filter(F.col("value").isNotNull() & ~((F.col("depth") == 0) & F.coalesce(F.col("keyword").isin(*keywords), F.lit(False))))
-    texts = texts.select("file_path", "elem_pos", "keyword", "value", F.lower("value").alias("_text"))
-    index = materialize(texts.select("file_path", "elem_pos", "keyword", "value", "_text", F.explode(_grams(F.col("_text"), gram)).alias("g"))
-                        .join(asked.select("g").distinct(), "g", "left_semi"))
-    common = index.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    # a value with an n-gram that no text has stands nowhere
-    key = (asked.join(common, "g", "left").groupBy("found")
-           .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("k"))
-           .filter("k.n > 0").select("found", F.col("k.g").alias("g")))
+    texts = texts.select("file_path", "elem_pos", "keyword", "value", F.lower("value").alias("_text"),
+                         F.xxhash64("file_path", "elem_pos", "keyword", "value").alias("_id"))
+    # only hashes meet; a text that has a value's words is then fetched, and searched
+    keys = (texts.select("_id", "_text", _words(F.col("_text")).alias("_words")).withColumn("_sizes", sizes)
+            .select("_id", F.explode(_text_keys(F.col("_text"), F.col("_sizes"), gram)).alias("g")))
+    near = keys.join(asked, "g").select("_id", "found").distinct()
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace(F.col("found"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![\p{L}\p{N}])"))
-    hits = index.join(key, "g").filter(F.contains("_text", "found")).filter(F.rlike("_text", pattern)).drop("g", "_text")
+    hits = (texts.join(near, "_id").filter(F.contains("_text", "found")).filter(F.rlike("_text", pattern))
+            .drop("_id", "_text").distinct())
     whose = hits.join(wanted.withColumn("file_path", F.col("owner")), ["found", "file_path"]) if own_only else hits.join(wanted, "found")
-    return whose.select("file_path", "elem_pos", "keyword", "value", "found", "found_keyword", "owner").distinct()
+    return whose.select("file_path", "elem_pos", "keyword", "value", "found", "found_keyword", "owner")

@@ -515,7 +515,7 @@ def manifest_digest_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def identifiers_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customers' names and ids found in comments, private tags and nested elements."""
-    e = materialize(demo.elements_with_comments(spark, sf_dir))
+    e = materialize(demo.elements_with_comments(spark, sf_dir), spread=True)
     return (leaks.identifiers_in_text(e, keywords=["PatientName", "PatientID"])
             .withColumn("sort_key", elements.position_key()).drop("elem_pos"))
 

@@ -55,3 +55,25 @@ def test_given_values_and_no_rows(spark):
     got = leaks.identifiers_in_text(df, values)
     assert {(r["found"], r["owner"]) for r in got.collect()} == {("a\\eb", "x"), ("(c*d)", "x")}
     assert leaks.identifiers_in_text(df.limit(0)).count() == 0
+
+
+def test_texts_are_not_kept_per_word(spark, monkeypatch):
+    """Texts meet values by hashes; nothing is kept that has a text for each of its words."""
+    text = " ".join(f"w{i}" for i in range(400)) + " Doe Jane"
+    kept, real = [], leaks.materialize
+    monkeypatch.setattr(leaks, "materialize", lambda df: (kept.append(df), real(df))[1])
+    df = spark.createDataFrame([("f", [0], 0, "t", "PN", "PatientName", "Doe Jane"), ("f", [1], 0, "t", "LT", "ImageComments", text)], SCHEMA)
+    got = leaks.identifiers_in_text(df, keywords=["PatientName"])
+    assert {r["found"] for r in got.collect()} == {"doe jane", "jane"}
+    assert all("_text" not in df.columns for df in kept)
+
+
+def test_values_of_many_words_or_none(spark):
+    long = " ".join(f"n{i}" for i in range(12))
+    data = [("f", [0], 0, "t", "LT", None, f"of {long}, and {long}x"), ("g", [0], 0, "t", "LT", None, f"x{long}"),
+            ("h", [0], 0, "t", "LT", None, "a *+*+*\n b"), ("i", [0], 0, "t", "LT", None, "a*+*+* b"), ("j", [0], 0, "t", "LT", None, "n0-n1")]
+    values = spark.createDataFrame([("x", "k", v) for v in (long, "*+*+", "+*+*", "n0 n1")], "file_path string, keyword string, value string")
+    got = leaks.identifiers_in_text(spark.createDataFrame(data, SCHEMA), values)
+    want = {(f, v) for f, *_, t in data for v in (long, "*+*+", "+*+*", "n0 n1")
+            if re.search(r"(?<![^\W_])" + re.escape(v) + r"(?![^\W_])", t)}
+    assert {(r["file_path"], r["found"]) for r in got.collect()} == want and len(want) > 3
