@@ -178,3 +178,17 @@ def test_deid_plan_second_subject_of_a_target_is_skipped(spark):
         done = [(r["old_id"], r["session"]) for r in rows if r["action"] == "anonymize"]
         assert sorted(set(done)) == sorted([(first, "S1"), ("q", "S2")])
         assert len({r["target"] for r in rows if r["action"] == "anonymize"}) == 4
+
+
+def test_trees_are_written_by_many_tasks(spark, tmp_dir, monkeypatch):
+    """One input split of many entries is dealt out."""
+    import os
+
+    from cohortlake.sources import demo
+    monkeypatch.setattr(demo, "ENTRIES_PER_TASK", 20)
+    dealt, real = [], type(spark.range(1)).repartition
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda df, n, *c: (dealt.append(n), real(df, n, *c))[1])
+    entries = spark.range(0, 1000, 1, 1).selectExpr("concat('a', id % 3, '/f', id) AS rel", "'file' AS kind", "id % 7 AS size")
+    demo.write_tree(entries, f"{tmp_dir}/t")
+    assert dealt == [max(50, spark.sparkContext.defaultParallelism)]
+    assert sum(len(f) for _, _, f in os.walk(f"{tmp_dir}/t")) == 1000

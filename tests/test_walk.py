@@ -84,3 +84,14 @@ def test_empty_session_folders_count(spark, tmp_dir):
     entries = walk.tree_entries(spark, tmp_dir)
     assert [tuple(r) for r in listing.session_folders(entries).collect()] == [("sub-01", "ses-M000", "anat")]
     assert sorted(r[0] for r in listing.top_level_folders(entries).collect()) == ["sub-01", "sub-02"]
+
+
+def test_no_folder_waits_twice(spark, tmp_dir, monkeypatch):
+    """Tasks grow with the folders to list: each is put off once at most."""
+    for i in range(40):
+        os.makedirs(f"{tmp_dir}/t/a{i}/b/c")
+    seen, real = [], walk.shared_dir
+    monkeypatch.setattr(walk, "shared_dir", lambda *a: (seen.append(real(*a)), seen[-1])[1])
+    assert walk.walk(spark, f"{tmp_dir}/t", folders_per_task=1).count() == 120
+    left = spark.read.parquet(seen[0]).where("kind = 'todo'")
+    assert left.count() == left.select("path").distinct().count() == 120
