@@ -186,8 +186,8 @@ def test_trees_are_written_by_many_tasks(spark, tmp_dir, monkeypatch):
 
     from cohortlake.sources import demo
     monkeypatch.setattr(demo, "ENTRIES_PER_TASK", 20)
-    dealt, real = [], type(spark.range(1)).repartition
-    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda df, n, *c: (dealt.append(n), real(df, n, *c))[1])
+    dealt, real = [], type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *c: (dealt.append(n), real(df, n, *c))[1])
     entries = spark.range(0, 1000, 1, 1).selectExpr("concat('a', id % 3, '/f', id) AS rel", "'file' AS kind", "id % 7 AS size")
     demo.write_tree(entries, f"{tmp_dir}/t")
     assert dealt == [max(50, spark.sparkContext.defaultParallelism)]

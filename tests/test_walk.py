@@ -95,3 +95,38 @@ def test_no_folder_waits_twice(spark, tmp_dir, monkeypatch):
     assert walk.walk(spark, f"{tmp_dir}/t", folders_per_task=1).count() == 120
     left = spark.read.parquet(seen[0]).where("kind = 'todo'")
     assert left.count() == left.select("path").distinct().count() == 120
+
+
+def test_a_tree_in_portions(spark, tmp_dir, monkeypatch):
+    """The same entries as those of the tree written at once; no more than a portion stands."""
+    from cohortlake.sources import demo
+    entries = spark.range(0, 600, 1, 2).selectExpr(
+        "concat('p', id % 3, '/', id % 11, if(id % 4 = 0, concat('/S', id), concat('/f', id))) AS rel",
+        "if(id % 4 = 0, 'dir', 'file') AS kind", "if(id % 4 = 0, null, id % 7) AS size")
+    more = spark.createDataFrame([("top", "file", 3), ("p0/0/S0/in", "file", 1), ("p0/0/S0/in", "file", 1)], entries.schema)
+    entries = entries.unionByName(more)
+    whole = f"{tmp_dir}/whole"
+    demo.write_tree(entries, whole)
+    out, stood = f"{tmp_dir}/out", []
+
+    def read():
+        stood.append(sum(len(f) for _, _, f in os.walk(out)))
+        return walk.tree_entries(spark, out)
+
+    got = walk.each_folder_once(demo.tree_in_portions(entries, out, read, portion=100))
+    assert rows(got) == by_os(whole) and got.count() == len(by_os(whole))
+    assert len(stood) == 7 and max(stood) < 300 and not os.path.exists(out)
+
+
+def test_queries_leave_no_tree(spark, monkeypatch):
+    """Disk stays bounded: what is written is removed once it has been read."""
+    from cohortlake import queries
+    from cohortlake.sources import demo
+    made, real = [], demo.write_tree
+    monkeypatch.setattr(demo, "write_tree", lambda e, out: (made.append((out, e.count())), real(e, out))[1])
+    monkeypatch.setattr(demo, "PORTION", 500)
+    for name in ("tree_walk", "check_manifest_job", "bids_tree_get"):
+        made.clear()
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+        assert len(made) > 1 and max(n for _, n in made) < 1500
+        assert not any(os.path.exists(out) for out, _ in made)
