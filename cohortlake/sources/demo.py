@@ -12,7 +12,7 @@ import os
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlake.operators.position import _with_bin, with_position
@@ -236,11 +236,14 @@ def elements_with_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order line with the number of its order among the customer's, and its own
-    among the order's (from 0)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    o = with_position(o, ["o_orderkey"], ["o_custkey"], pos_col="study")
+    among the order's (from 0).  A window numbers them in one pass and spills
+    where a customer has many."""
+    def number(group, order):
+        return (F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1).cast("long")
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").withColumn("study", number("o_custkey", "o_orderkey"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    li = with_position(li, ["l_orderkey", "l_linenumber"], ["l_orderkey"], pos_col="image")
+    li = li.withColumn("image", number("l_orderkey", "l_linenumber"))
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
 
