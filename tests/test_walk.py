@@ -118,15 +118,17 @@ def test_a_tree_in_portions(spark, tmp_dir, monkeypatch):
     assert len(stood) == 7 and max(stood) < 300 and not os.path.exists(out)
 
 
-def test_queries_leave_no_tree(spark, monkeypatch):
+def test_queries_leave_no_tree(spark, tmp_dir, monkeypatch):
     """Disk stays bounded: what is written is removed once it has been read."""
     from cohortlake import queries
     from cohortlake.sources import demo
     made, real = [], demo.write_tree
     monkeypatch.setattr(demo, "write_tree", lambda e, out: (made.append((out, e.count())), real(e, out))[1])
-    monkeypatch.setattr(demo, "PORTION", 500)
+    monkeypatch.setattr(demo, "PORTION", 50)
+    (spark.range(300).selectExpr("id AS o_orderkey", "id % 20 AS o_custkey", "'F' AS o_orderstatus", "timestamp'2001-01-01' AS o_orderdate",
+                                 "'5-LOW' AS o_orderpriority").write.parquet(f"{tmp_dir}/orders.parquet"))
     for name in ("tree_walk", "check_manifest_job", "bids_tree_get"):
         made.clear()
-        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
-        assert len(made) > 1 and max(n for _, n in made) < 1500
+        assert queries.QUERIES[name](spark, tmp_dir).count() > 0
+        assert len(made) > 1 and max(n for _, n in made) < 150
         assert not any(os.path.exists(out) for out, _ in made)
