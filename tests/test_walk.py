@@ -132,3 +132,48 @@ def test_queries_leave_no_tree(spark, tmp_dir, monkeypatch):
         assert queries.QUERIES[name](spark, tmp_dir).count() > 0
         assert len(made) > 1 and max(n for _, n in made) < 150
         assert not any(os.path.exists(out) for out, _ in made)
+
+
+def test_portions_are_made_of_those_before(spark, tmp_dir, monkeypatch):
+    """A removed tree's files and folders make up the next one: none is made anew while some are left,
+    contents are those of the new entries, and nothing is left at the end."""
+    from cohortlake.sources import demo
+    schema = "rel string, kind string, content string"
+    first = spark.createDataFrame([(f"a{i % 2}/b{i % 5}/f{i}", "file", "old and long " * (i % 3)) for i in range(60)]
+                                  + [(f"a0/b{i}/empty", "dir", None) for i in range(5)], schema)
+    then = spark.createDataFrame([(f"a1/c{i % 3}/g{i}", "file", f"new {i}" * (i % 2)) for i in range(50)]
+                                 + [("a1/c0/none", "dir", None)], schema)
+    out, pool = f"{tmp_dir}/t", f"{tmp_dir}/t.pool"
+    inode = lambda top: {os.stat(os.path.join(at, x)).st_ino for at, _, files in os.walk(top) for x in files}
+    demo.write_tree(first, out)
+    before = inode(out)
+    demo.remove_tree(first, out, keep=True)
+    assert not os.path.exists(out) and inode(pool) == before
+    demo.write_tree(then, out)
+    assert inode(out) <= before and len(inode(out)) == 50 and inode(pool) | inode(out) == before
+    got = {os.path.relpath(os.path.join(at, x), out): open(os.path.join(at, x)).read() for at, _, files in os.walk(out) for x in files}
+    assert got == {r["rel"]: r["content"] for r in then.where("kind = 'file'").collect()}
+    assert os.listdir(f"{out}/a1/c0/none") == [] and sorted(os.listdir(f"{out}/a1")) == ["c0", "c1", "c2"]
+    demo.remove_tree(then, out)
+    assert not os.path.exists(out) and not os.path.exists(pool)
+
+
+def test_a_pool_gives_no_file_twice(tmp_dir):
+    """A file that a lost task had linked but not unlinked is not written as two; folders are shared by tasks."""
+    from cohortlake.sources import demo
+    pool, out = f"{tmp_dir}/pool", f"{tmp_dir}/out"
+    os.makedirs(f"{tmp_dir}/old/d")
+    for n in "ab":
+        with open(f"{tmp_dir}/old/d/{n}", "w") as f:
+            f.write(n * 9)
+    os.link(f"{tmp_dir}/old/d/a", f"{tmp_dir}/old/d/again")
+    p = demo._Pool(pool)
+    p.put_tree(f"{tmp_dir}/old")
+    one, two = demo._Pool(pool), demo._Pool(pool)
+    for task, n in ((one, "x"), (two, "y"), (one, "z"), (one, "x")):
+        task.folder(f"{out}/s")
+        task.file(f"{out}/s/{n}", n.encode())
+    for task in (one, two):
+        task.close()
+    assert {n: open(f"{out}/s/{n}").read() for n in os.listdir(f"{out}/s")} == {"x": "x", "y": "y", "z": "z"}
+    assert len({os.stat(f"{out}/s/{n}").st_ino for n in "xyz"}) == 3
