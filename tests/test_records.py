@@ -121,3 +121,78 @@ def test_index_lines_are_numbered_in_one_pass(spark, tmp_dir):
     assert plan.count("Relation [") == 2
     got = {(r["o_orderkey"], r["study"], r["l_linenumber"], r["image"]) for r in lines.collect()}
     assert got == {(3, 0, None, None), (5, 1, None, None), (7, 2, 1, 0), (7, 2, 2, 1), (4, 0, 3, 0), (9, 0, 1, 0), (9, 0, 5, 1)}
+
+
+def odd_links(r, files=6, n=60):
+    """Rows with links to anywhere: circles, double and missing links, repeated and null offsets."""
+    def some():
+        return r.choice([None, 0, r.randrange(1, n), r.randrange(1, n), r.randrange(1, n)])
+
+    return [(f"f{r.randrange(files)}" if r.random() < 0.98 else None, some(), some(), some() if r.random() < 0.4 else 0, r.choice(TYPES), None)
+            for _ in range(files * n)]
+
+
+@pytest.mark.parametrize("most", [0, 45, 200_000])
+def test_files_linked_in_a_task_and_by_joins_are_alike(spark, trees, monkeypatch, most):
+    """Files in tasks, files by joins, and some of both: the rows of the joins alone."""
+    r = random.Random(11)
+    rows = [x for p, t in trees.items() for x in as_offsets(t, p, r)] + odd_links(r)
+    flat = spark.createDataFrame(rows, OFFSETS)
+    show = lambda df: sorted((x["dicomdir_path"], x["parent_pos"], x["pos"], x["record_type"]) for x in df.collect())
+    ways, real = [], records._linked_by_joins
+    monkeypatch.setattr(records, "_linked_by_joins", lambda rec: (ways.append(rec.select("dicomdir_path").distinct().count()), real(rec))[1])
+    monkeypatch.setattr(records, "FILE_RECORDS", 0)
+    want = show(records.records_from_offsets(flat))
+    monkeypatch.setattr(records, "FILE_RECORDS", most)
+    assert show(records.records_from_offsets(flat)) == want and len(want) > 100
+    all_files = ways.pop(0)
+    assert ways == ([] if most == 200_000 else ways) and (not ways or (ways[0] == all_files) == (most == 0))
+
+
+def test_whole_files_of_many_batches(trees, monkeypatch):
+    """Files are linked whole however the rows are batched, and long paths in pieces."""
+    import pyarrow as pa
+    r = random.Random(5)
+    schema = pa.schema([("dicomdir_path", pa.string()), ("id", pa.int64()), ("next", pa.int64()), ("lower", pa.int64()),
+                        ("record_type", pa.string()), ("referenced_file_id", pa.list_(pa.string()))])
+    rows = sorted((p, i, n or None, b or None, k, None) for p, t in trees.items() for p, i, n, b, k, _ in as_offsets(t, p, r))
+    rows += [("z", i, None, i + 1 if i < 50 else None, "SERIES", ["A", "B"]) for i in range(1, 51)]       # one below the other
+    table = pa.Table.from_pylist([dict(zip(schema.names, x)) for x in rows], schema=schema)
+    whole = [x for b in records._link_files(iter(table.to_batches())) for x in b.to_pylist()]
+    assert len(whole) == len(rows) and whole[-1]["parent_pos"] == [1] * 49 and whole[-1]["referenced_file_id"] == ["A", "B"]
+    monkeypatch.setattr(records, "FILE_RECORDS", 40)
+    monkeypatch.setattr(records, "PATH_NUMBERS", 30)
+    for size in (1, 7, 41):
+        got = [x for b in records._link_files(iter(table.to_batches(max_chunksize=size))) for x in b.to_pylist()]
+        assert got == whole
+
+
+def test_linking_leaves_only_the_records(spark, trees, monkeypatch):
+    """What is written on the way is removed: neither the rows nor a round of pointers stay on disk."""
+    import os
+    made, real = [], records.shared_dir
+    monkeypatch.setattr(records, "shared_dir", lambda *a: (made.append(real(*a)), made[-1])[1])
+    monkeypatch.setattr("cohortlake.session.shared_dir", lambda *a: (made.append(real(*a)), made[-1])[1])
+    r = random.Random(2)
+    flat = spark.createDataFrame([x for p, t in trees.items() for x in as_offsets(t, p, r)], OFFSETS)
+    for most, kept in ((200_000, ["large-files", "records"]), (0, ["large-files", "linked-records", "record-paths", "records", "siblings"])):
+        made.clear()
+        monkeypatch.setattr(records, "FILE_RECORDS", most)
+        assert records.records_from_offsets(flat).count() > 100
+        assert sorted(os.path.basename(p).rpartition("-")[0] for p in made if os.path.exists(p)) == kept
+
+
+def test_offsets_of_lines_in_one_pass(spark, tmp_dir):
+    """Orders and lines are read once each; repeated and null keys give the records they gave."""
+    from cohortlake.sources import demo
+    spark.createDataFrame([(7, 1), (3, 1), (5, 1), (5, 1), (4, 2), (9, None), (None, 1)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(7, 2), (7, 1), (5, 3), (9, 1), (9, 5), (None, 1)], "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    flat = demo.index_offsets(spark, tmp_dir)
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    s = lambda i: i * 4096 + 2
+    got = sorted(((p or "", o, n, w, k) for p, o, n, w, k, _ in flat.collect()), key=lambda x: x[:2])
+    assert got == [("", 1, None, 2, "PATIENT"), ("index/1", 1, None, 2, "PATIENT"), ("index/1", s(0), s(1), None, "STUDY"),
+                   ("index/1", s(1), s(2), None, "STUDY"), ("index/1", s(2), s(3), s(2) + 1, "STUDY"), ("index/1", s(2) + 1, None, None, "IMAGE"),
+                   ("index/1", s(3), s(4), s(3) + 1, "STUDY"), ("index/1", s(3) + 1, None, None, "IMAGE"),
+                   ("index/1", s(4), None, s(4) + 1, "STUDY"), ("index/1", s(4) + 1, s(4) + 2, None, "IMAGE"),
+                   ("index/1", s(4) + 2, None, None, "PRESENTATION"), ("index/2", 1, None, 2, "PATIENT"), ("index/2", s(0), None, None, "STUDY")]
